@@ -1,0 +1,140 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tastegraph.operators import ratings as prep
+from tastegraph.operators.evaluate import rmse, score
+from tastegraph.operators.factors import dropped_pairs, fit_als, predict_als
+from tastegraph.operators.iterative import eligible_cells, predict_iterative
+from tastegraph.sources.readers import read_interactions, read_pairs, read_ratings
+from tastegraph.sources.writers import write_pairs, write_predictions
+from tests.conftest import SCHEMA, TEST, TRAIN
+
+
+def test_preparation(spark, train, test_pairs):
+    assert {r.user: round(r.mean, 6) for r in prep.means(train).collect()} == {
+        1: 4.0, 2: 3.5, 3: 3.333333, 4: 3.666667,
+    }
+    doubled = prep.dedup(train.union(train.withColumn("rating", F.lit(0.5))))
+    assert sorted(map(tuple, doubled.collect())) == TRAIN
+    everything = prep.with_test(train, test_pairs)
+    assert everything.count() == 17
+    assert sorted(map(tuple, prep.holdout(everything, test_pairs).collect())) == TRAIN
+    changed = test_pairs.withColumn("rating", F.when(F.col("user") == 1, 1.0).otherwise(F.col("rating")))
+    assert prep.holdout(everything, changed, on="triple").count() == 14
+    assert prep.shape(train).first() == (4, 4, 13)
+    assert prep.density_gamma(train).first()["gamma"] == 3 * 7 * 13 // 16
+    assert prep.density_gamma(train, 6, 5).first()["gamma"] == 6 * 7 * 13 // (5 * 16)
+    centred = {(r.user, r.item): r.centered for r in prep.mean_center(train).collect()}
+    assert centred[2, 13] == -0.5
+
+
+def test_adjacency_in_parts(train):
+    whole = {r.id: (r.elements, r.ratings) for r in prep.rating_lists(train).collect()}
+    assert whole[3] == ([10, 11, 13], [1.0, 5.0, 4.0])
+    parts = prep.rating_lists(train, part_rows=2).where("id = 2").collect()
+    assert len(parts) <= 2 and sorted(e for p in parts for e in p.elements) == [10, 11, 12, 13]
+    maps = {r.id: r.ratings for r in prep.rating_maps(train, by="item").collect()}
+    assert maps[13] == {2: 3.0, 3: 4.0, 4: 5.0}
+
+
+def run(df):
+    return {(r.user, r.item): (r.passes, r.prediction) for r in df.collect()}
+
+
+@pytest.fixture(scope="session")
+def known(test_pairs):
+    return test_pairs.where("user < 9")
+
+
+def test_iterative_without_imputation(train, known):
+    got = run(predict_iterative(train, known, gamma_factor=3, min_support=2))
+    assert {k: round(v[1], 6) for k, v in got.items()} == {(1, 13): 5.0, (3, 12): 2.5, (4, 10): 3.0}
+
+
+def test_iterative_with_imputation(train, known):
+    got = run(predict_iterative(train, known, gamma_factor=1, min_support=2, block_rows=2))
+    assert {k: v[0] for k, v in got.items()} == {(1, 13): 3, (3, 12): 3, (4, 10): 3}
+    assert got[1, 13][1] == pytest.approx(4.951903, rel=1e-6)
+    assert got[3, 12][1] == pytest.approx(-143.673249, rel=1e-6)
+    assert got[4, 10][1] == pytest.approx(1.883817, rel=1e-6)
+    one = run(predict_iterative(train, known, gamma_factor=1, min_support=2, max_iter=1))
+    assert {k: round(v[1], 6) for k, v in one.items()} == {(1, 13): 5.0, (3, 12): 2.5, (4, 10): 3.0}
+
+
+def test_iterative_without_neighbours(train, known, test_pairs):
+    got = run(predict_iterative(train, known, min_support=3))
+    assert {k: round(v[1], 6) for k, v in got.items()} == {(1, 13): 4.0, (3, 12): 3.333333, (4, 10): 3.666667}
+    unknown = run(predict_iterative(train, test_pairs, min_support=3, rescale="clamp"))
+    assert unknown[9, 10][1] == 3.0
+
+
+def test_eligible_cells_match_brute_force(spark):
+    users = {u: u % 7 * 3 for u in range(40)}
+    items = {i: i * i % 23 for i in range(35)}
+    rated = {(u, i) for u in users for i in items if (u * i) % 5 == 1}
+    for gamma in (0, 5, 17, 30, 39, 50):
+        got = eligible_cells(
+            spark.createDataFrame(list(users.items()), "user long, degree long"),
+            spark.createDataFrame(list(items.items()), "item long, degree long"),
+            F.lit(gamma),
+            spark.createDataFrame(list(rated), "user long, item long"),
+            block_rows=6,
+        )
+        want = {(u, i) for u in users for i in items if users[u] + items[i] > gamma} - rated
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(want) and set(rows) == want
+
+
+def test_als(spark, train, test_pairs):
+    got = predict_als(train, test_pairs, rank=2, max_iter=5, reg=0.1, blocks=2)
+    values = {(r.user, r.item): r.prediction for r in got.collect()}
+    assert set(values) == {(1, 13), (3, 12), (4, 10)}
+    assert min(values.values()) == pytest.approx(1.0) and max(values.values()) == pytest.approx(5.0)
+    assert [tuple(r) for r in dropped_pairs(got, test_pairs).collect()] == [(9, 10)]
+    model = fit_als(train, rank=3, max_iter=15, reg=0.01, blocks=2)
+    fitted = score(model.transform(train.select("user", "item")), train)
+    mean = train.agg(F.avg("rating")).first()[0]
+    flat = score(train.select("user", "item").withColumn("prediction", F.lit(mean)), train)
+    assert rmse(fitted).first()["rmse"] < 0.5 * rmse(flat).first()["rmse"]
+
+
+def test_read_ratings_csv(spark, tmp_path):
+    path = tmp_path / "ratings.csv"
+    path.write_text("userId,movieId,rating,timestamp\n1,10,5.0,7\nuserId,movieId,rating,timestamp\n2,11,3.5,8\n")
+    assert sorted(map(tuple, read_ratings(spark, str(path)).collect())) == [(1, 10, 5.0), (2, 11, 3.5)]
+    assert sorted(map(tuple, read_interactions(spark, str(path)).collect())) == [(1, 10), (2, 11)]
+    text = read_interactions(spark, str(path), text_ids=True)
+    assert sorted(map(tuple, text.collect())) == [("1", "10"), ("2", "11")]
+    (tmp_path / "bad.csv").write_text("u,i,r\n1,x,5\n")
+    with pytest.raises(Exception):
+        read_ratings(spark, str(tmp_path / "bad.csv")).collect()
+    (tmp_path / "short.csv").write_text("u,i,r\n1,2\n")
+    with pytest.raises(Exception):
+        read_ratings(spark, str(tmp_path / "short.csv")).collect()
+
+
+def test_read_ratings_columnar(spark, train, tmp_path):
+    for kind in ("parquet", "orc", "json"):
+        columns = ["item", "rating", "user"] if kind == "json" else ["user", "item", "rating"]
+        train.select("user", "item", "rating").write.format(kind).save(str(tmp_path / kind))
+        if kind != "json":  # JSON has no column order
+            assert sorted(map(tuple, read_ratings(spark, str(tmp_path / kind), kind).collect())) == TRAIN
+            assert read_interactions(spark, str(tmp_path / kind), kind).columns == columns[:2]
+
+
+def test_pair_files(spark, tmp_path):
+    pairs = spark.createDataFrame([(2, 1, 0.5), (1, 2, 0.5), (4, 3, 0.75), (10, 3, 1.0)], "a long, b long, similarity double")
+    write_pairs(pairs, str(tmp_path / "pairs"))
+    text = "".join(f.read_text() for f in sorted((tmp_path / "pairs").glob("part-*")))
+    assert text == "1,2,0.5\n3,4,0.75\n3,10,1.0\n"
+    truth = tmp_path / "truth.csv"
+    truth.write_text("2,1\n\n1,2\n10,3,x\n")
+    assert sorted(map(tuple, read_pairs(spark, str(truth)).collect())) == [(1, 2), (3, 10)]
+    assert sorted(map(tuple, read_pairs(spark, str(truth), text_ids=True).collect())) == [("1", "2"), ("10", "3")]
+
+
+def test_prediction_files(spark, test_pairs, tmp_path):
+    predictions = test_pairs.withColumnRenamed("rating", "prediction")
+    write_predictions(predictions, str(tmp_path / "out"))
+    lines = "".join(f.read_text() for f in sorted((tmp_path / "out").glob("part-*"))).split()
+    assert [tuple(map(float, line.split(","))) for line in lines] == TEST
