@@ -49,6 +49,12 @@ def mean_center(ratings: DataFrame) -> DataFrame:
     )
 
 
+def presence(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
+    """``(user, item, present)``: 1.0 where the pair is rated, else 0.0; only for the pairs asked for."""
+    rated = ratings.select(*PAIR).distinct().withColumn("hit", F.lit(1.0))
+    return pairs.select(*PAIR).join(rated, PAIR, "left").select(*PAIR, F.coalesce("hit", F.lit(0.0)).alias("present"))
+
+
 def degrees(ratings: DataFrame, by: str) -> DataFrame:
     return ratings.groupBy(by).agg(F.count(F.lit(1)).alias("degree"))
 

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from tastegraph.operators.ratings import PAIR
 
 
-def write_pairs(pairs: DataFrame, path: str, format: str = "csv", mode: str = "errorifexists") -> None:
-    """``a, b, similarity`` sorted by (a, b), smaller id first, one row per pair."""
-    canonical = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+def canonical_pairs(pairs: DataFrame) -> DataFrame:
+    """Smaller id first and one row per pair, with its largest similarity."""
+    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.max("similarity").alias("similarity")
     )
-    canonical.orderBy("a", "b").write.mode(mode).format(format).save(path)
+
+
+def write_pairs(pairs: DataFrame, path: str, format: str = "csv", mode: str = "errorifexists") -> None:
+    """``a, b, similarity`` sorted by (a, b), smaller id first, one row per pair."""
+    canonical_pairs(pairs).orderBy("a", "b").write.mode(mode).format(format).save(path)
 
 
 def write_predictions(predictions: DataFrame, path: str, format: str = "csv", mode: str = "errorifexists") -> None:
