@@ -7,8 +7,8 @@ from tastegraph.catalog import inputs, queries
 from tastegraph.functions.hashing import LARGE_PRIME, SMALL_PRIME, hash_params
 
 
-def tidy(value: str) -> str:
-    return f"(CASE WHEN round({value}, 6) = 0 THEN 0.0 ELSE round({value}, 6) END)"
+def tidy(value: str, digits: int = 6) -> str:
+    return f"(CASE WHEN round({value}, {digits}) = 0 THEN 0.0 ELSE round({value}, {digits}) END)"
 
 
 SPLIT = f"""
@@ -135,24 +135,31 @@ exact AS (SELECT a, b, {value} AS s FROM shared JOIN sizes na ON na.id = a JOIN
   WHERE {value} >= {threshold})"""
 
 
-def signs(bands: int, rows: int) -> str:
+# the rows per band follow from the number of members
+SHAPE = """
+shape AS (SELECT rows, {bits} // rows AS bands FROM (
+  SELECT greatest(4, ceil(log2(greatest(count(*), 8) / 8.0)))::BIGINT AS rows FROM {source}))"""
+
+SIGN_CANDIDATES = """
+band AS (SELECT id, n // rows AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
+  FROM sums, shape WHERE n < bands * rows GROUP BY 1, 2),
+cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id)"""
+
+
+def signs(bits: int) -> str:
     return f"""
 sums AS (SELECT id, n, sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) AS s FROM el, p GROUP BY id, n),
-band AS (SELECT id, n // {rows} AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
-  FROM sums GROUP BY 1, 2),
-cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id)"""
+{SHAPE.format(bits=bits, source="sizes")},{SIGN_CANDIDATES}"""
 
 
-def vectors(bands: int, rows: int, threshold: float) -> str:
+def vectors(bits: int, threshold: float) -> str:
     return f"""
 vec AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE len(embedding) = {inputs.EMBEDDING_DIMS}),
 coords AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS d FROM vec),
 signs AS (SELECT d.d, n.n, 1 - 2 * (('0x' || substr(md5(d.d || ':' || n.n), 1, 1))::INT % 2) AS s
-  FROM range({inputs.EMBEDDING_DIMS}) d(d), range({bands * rows}) n(n)),
+  FROM range({inputs.EMBEDDING_DIMS}) d(d), range({bits}) n(n)),
 sums AS (SELECT id, n, sum(x * s) AS s FROM coords JOIN signs USING (d) GROUP BY id, n),
-band AS (SELECT id, n // {rows} AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
-  FROM sums GROUP BY 1, 2),
-cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id),
+{SHAPE.format(bits=bits, source="vec")},{SIGN_CANDIDATES},
 cosines AS (
   SELECT a, b, list_inner_product(x.v, y.v)
     / (sqrt(list_inner_product(x.v, x.v)) * sqrt(list_inner_product(y.v, y.v))) AS s
@@ -370,10 +377,10 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
         ),
         "cosine_words": with_(WORDS, direct("cosine", q.WORD_COSINE), select=EXACT),
         "cosine_lsh_sets": with_(
-            WORDS, hash_values(150), signs(10, 15), checked("cosine", q.WORD_COSINE), select=PAIRS
+            WORDS, hash_values(150), signs(150), checked("cosine", q.WORD_COSINE), select=PAIRS
         ),
         "cosine_vectors": with_(
-            vectors(q.VECTOR_LSH["bands"], q.VECTOR_LSH["rows"], 0.47), select=PAIRS
+            vectors(150, 0.47), select=PAIRS
         ),
         # nothing reaches the density cut at factor 3, so the second pass repeats the first
         "iterative_cf": with_(
@@ -387,7 +394,7 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
             iterative_pass(1, "train", *q.IMPUTE_FACTOR, True),
             iterative_pass(2, "table1", *q.IMPUTE_FACTOR, True),
             select=f"""SELECT u AS "user", i AS item,
-  {tidy("least(5.0, greatest(1.0, p))")} AS prediction FROM state2""",
+  {tidy("least(5.0, greatest(1.0, p))", 3)} AS prediction FROM state2""",
         ),
         "als_dropped": with_(
             SPLIT,

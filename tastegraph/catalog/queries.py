@@ -14,7 +14,6 @@ from tastegraph.sources import readers, writers
 
 NEIGHBORS = 10
 USER_LSH = {"bands": 33, "rows": 2}
-VECTOR_LSH = {"bands": 15, "rows": 10}
 SET_COSINE = 0.2
 WORD_COSINE = 0.7
 IMPUTE_FACTOR = (6, 5)
@@ -242,7 +241,7 @@ def cosine_lsh_sets(spark, sf_dir):
 
 def cosine_vectors(spark, sf_dir):
     vectors = inputs.embeddings(spark, sf_dir)
-    found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS, **VECTOR_LSH)
+    found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS)
     return _tidy(found, "similarity")
 
 
@@ -258,7 +257,8 @@ def iterative_cf_imputed(spark, sf_dir):
     found = iterative.predict_iterative(
         *_split(spark, sf_dir), gamma_factor=IMPUTE_FACTOR, max_iter=IMPUTE_PASSES, rescale="clamp"
     )
-    return _predicted(found.select("user", "item", "prediction"))
+    # imputed values divide by signed sums near zero and lose digits, so compare three
+    return found.select("user", "item", tidy(F.col("prediction"), 3).alias("prediction"))
 
 
 def als_predictions(spark, sf_dir):

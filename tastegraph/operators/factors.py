@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators.ratings import PAIR, holdout
 from tastegraph.operators.rescale import rescale as rescaled
-from tastegraph.plans.durable import durable
+from tastegraph.plans.durable import checkpoint_ready, durable
 
 
 def fit_als(
@@ -36,6 +36,7 @@ def predict_als(
 ) -> DataFrame:
     """``(user, item, prediction)``; pairs with an unknown user or item have no prediction and drop."""
     # ALS draws its starting factors per partition, so the training rows are fixed in files first.
+    checkpoint_ready(ratings.sparkSession)
     train = durable(holdout(ratings, test, on).select(*PAIR, "rating"))
     model = fit_als(train, rank, max_iter, reg, seed, blocks)
     predicted = model.transform(test.select(*PAIR)).select(*PAIR, F.col("prediction").cast("double"))

@@ -13,6 +13,7 @@ from tastegraph.functions.columns import ratio_or
 from tastegraph.operators.pearson import pearson_of, pearson_pairs
 from tastegraph.operators.ratings import PAIR, dedup, holdout, means, with_test
 from tastegraph.operators.rescale import rescale as rescaled
+from tastegraph.plans.durable import durable
 from tastegraph.plans.pairing import BLOCK_ROWS, mirrored
 
 
@@ -30,13 +31,14 @@ def neighbor_lists(ratings: DataFrame, by: str = "user", k: int = 10, min_suppor
 
 
 def _training(ratings: DataFrame, test: DataFrame, leaky: bool) -> DataFrame:
-    return dedup(with_test(ratings, test)) if leaky else holdout(ratings, test)
+    """The training table, written once: means, popularity, pairs and votes all read it."""
+    return durable(dedup(with_test(ratings, test)) if leaky else holdout(ratings, test))
 
 
-def _weights(train, test, by, min_support, candidates, block_rows):
+def _weights(train, pairs, by, min_support, candidates, block_rows):
     if candidates is not None:
         return mirrored(pearson_of(candidates, train, by, min_support))
-    only = test.select(by).distinct()
+    only = pairs.select(by).distinct()
     return mirrored(pearson_pairs(train, by, min_support, only=only, block_rows=block_rows))
 
 
@@ -59,9 +61,9 @@ def predict_user_knn(
     side unless ``leaky``. ``candidates`` restricts the neighbours to given pairs ``(a, b)``.
     """
     train = _training(ratings, test, leaky)
-    pairs = test.select(*PAIR)
+    pairs = durable(test.select(*PAIR))
     stats = means(train)
-    weights = _weights(train, test, "user", min_support, candidates, block_rows)
+    weights = _weights(train, pairs, "user", min_support, candidates, block_rows)
     mean_v = F.col("mean")
     if exclude_target_from_mean:
         mean_v = ratio_or(F.col("total") - F.col("rating"), F.col("n") - F.lit(1), F.col("rating"))
@@ -105,8 +107,8 @@ def predict_item_knn(
 ) -> DataFrame:
     """``(user, item, prediction)``: Σ w·r_uj / Σ|w| over the neighbour items j that u rated."""
     train = _training(ratings, test, leaky)
-    pairs = test.select(*PAIR)
-    weights = _weights(train, test, "item", min_support, candidates, block_rows)
+    pairs = durable(test.select(*PAIR))
+    weights = _weights(train, pairs, "item", min_support, candidates, block_rows)
     rated = train.select("user", F.col("item").alias("neighbor"), "rating")
     voters = (
         pairs.join(weights, pairs["item"] == weights["id"])

@@ -7,6 +7,10 @@ hashes and goes straight into the bucket join; full signatures are only put toge
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +21,9 @@ from tastegraph.functions.hashing import (
     hash_params,
     projection_signs,
 )
-from tastegraph.operators.setjoin import Cosine, Jaccard, distinct_sets, representatives, sizes_allow, verify
-from tastegraph.plans.copies import expand_copies, fingerprint, group_copies, set_copies
+from tastegraph.operators.setjoin import Cosine, Jaccard, distinct_sets, prepared, sizes_allow, verify
+from tastegraph.plans.copies import expand_copies, fingerprint, group_copies, has_copies
+from tastegraph.plans.durable import durable
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 
 BANDS = 33
@@ -92,7 +97,8 @@ def bucket_pairs(
     The bucket is the 64-bit hash of band and key values: narrower to shuffle than the key, and a
     collision could only add a candidate, which verification removes.
     """
-    buckets = bands.select("id", *carry, F.xxhash64("band", *keys).alias("bucket"))
+    # Read by the bucket count and by both sides of the pairing.
+    buckets = durable(bands.select("id", *carry, F.xxhash64("band", *keys).alias("bucket")))
     met = pairs_within(buckets, ["bucket"], "id", list(carry), keep=keep, block_rows=block_rows)
     return met.select(
         F.col("a_id").alias("a"),
@@ -112,9 +118,8 @@ def minhash_candidates(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Candidate pairs ``(a, b)`` of sets with an equal band; feeds ``candidates=`` of the predictors."""
-    sets = distinct_sets(df, set_col, element_col)
-    members = set_copies(sets)
-    banded = minhash_bands(representatives(sets, members), bands, rows, prime, universe)
+    unique, members = prepared(distinct_sets(df, set_col, element_col))
+    banded = minhash_bands(unique, bands, rows, prime, universe)
     found = bucket_pairs(banded, [f"h{j}" for j in range(rows)], block_rows=block_rows)
     return expand_copies(found.withColumn("similarity", F.lit(1.0)), members, block_rows).select("a", "b")
 
@@ -131,9 +136,7 @@ def jaccard_lsh_join(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: MinHash candidates, checked exactly against the threshold."""
-    sets = distinct_sets(df, set_col, element_col)
-    members = set_copies(sets)
-    unique = representatives(sets, members)
+    unique, members = prepared(distinct_sets(df, set_col, element_col))
     banded = minhash_bands(unique, bands, rows, prime, universe)
     return _checked_sets(banded, [f"h{j}" for j in range(rows)], unique, members, Jaccard, threshold, block_rows)
 
@@ -148,6 +151,12 @@ def _checked_sets(banded, keys, unique, members, measure, threshold, block_rows)
     return expand_copies(verify(found, unique, measure, threshold), members, block_rows)
 
 
+def default_rows(sets: int, bits: int = BITS) -> int:
+    """Signature bits per band so that a bucket of unrelated members holds about eight of them:
+    candidates then grow with the number of members, not with its square."""
+    return max(4, min(bits, math.ceil(math.log2(max(sets, 8) / 8))))
+
+
 def sign_bands(sets: DataFrame, bands: int, rows: int, prime: int = LARGE_PRIME) -> DataFrame:
     """``(id, band, key)``: signs of random ±1 projections of each set's 0/1 vector, ``rows`` per band.
 
@@ -164,10 +173,7 @@ def sign_bands(sets: DataFrame, bands: int, rows: int, prime: int = LARGE_PRIME)
             for j in range(rows)
         ]
     )
-    key = sum(
-        (F.when(F.col(f"s{j}") >= 0, F.lit(1 << j)).otherwise(F.lit(0)).cast("long") for j in range(rows)),
-        F.lit(0).cast("long"),
-    )
+    key = F.concat(*[F.when(F.col(f"s{j}") >= 0, "1").otherwise("0") for j in range(rows)])
     return sums.select("id", "band", key.alias("key"))
 
 
@@ -176,20 +182,43 @@ def cosine_lsh_join(
     set_col: str,
     element_col: str,
     threshold: float = 0.47,
-    bands: int = 10,
-    rows: int = 15,
+    bits: int = BITS,
+    rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Pairs of sets ``(a, b, similarity)``: sign-band candidates (150 bits), exact 0/1 cosine."""
-    sets = distinct_sets(df, set_col, element_col)
-    members = set_copies(sets)
-    unique = representatives(sets, members)
-    return _checked_sets(sign_bands(unique, bands, rows), ["key"], unique, members, Cosine, threshold, block_rows)
+    """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
+
+    The ``bits`` of a signature form ``bits // rows`` bands. More bits raise the recall, more rows
+    per band lower the number of candidates.
+    """
+    unique, members = prepared(distinct_sets(df, set_col, element_col))
+    rows = rows or default_rows(members.count(), bits)
+    banded = sign_bands(unique, bits // rows, rows)
+    return _checked_sets(banded, ["key"], unique, members, Cosine, threshold, block_rows)
+
 
+def _sign_keys(dims: int, bands: int, rows: int):
+    """Arrow-batched band keys of dense vectors: one matrix product per batch."""
+    signs = np.array(projection_signs(dims, bands * rows), dtype="float64").T
 
-def _dot(x: Column, y: Column) -> Column:
-    products = F.zip_with(x, y, lambda p, q: p * q)
-    return F.aggregate(products, F.lit(0.0), lambda total, value: total + value)
+    @F.pandas_udf("array<string>")
+    def keys(vectors: pd.Series) -> pd.Series:
+        bits = np.where(np.stack(vectors.to_numpy()) @ signs >= 0, "1", "0")
+        return pd.Series([["".join(row[b * rows : (b + 1) * rows]) for b in range(bands)] for row in bits])
+
+    return keys
+
+
+def _dots():
+    """Arrow-batched inner products of two vector columns."""
+
+    @F.pandas_udf("double")
+    def dots(left: pd.Series, right: pd.Series) -> pd.Series:
+        if left.empty:
+            return pd.Series([], dtype="float64")
+        return pd.Series(np.einsum("ij,ij->i", np.stack(left.to_numpy()), np.stack(right.to_numpy())))
+
+    return dots
 
 
 def cosine_join_vectors(
@@ -198,39 +227,36 @@ def cosine_join_vectors(
     vector_col: str,
     dims: int,
     threshold: float = 0.47,
-    bands: int = 15,
-    rows: int = 10,
+    bits: int = BITS,
+    rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of dense vectors ``(a, b, similarity)``: sign-band candidates, exact cosine.
 
     Vectors of another length or of norm 0 have no cosine and form no pair. Identical vectors are
-    joined once.
+    joined once. ``bits`` and ``rows`` as in ``cosine_lsh_join``.
     """
-    vectors = df.select(
-        F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("vector")
-    ).where(F.size("vector") == dims)
-    vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector")))).where(F.col("norm") > 0)
-    one, two = fingerprint(F.col("vector"))
-    members = group_copies(vectors.select("id", F.lit(dims).alias("n"), one, two))
-    unique = vectors.join(members.where(F.col("id") == F.col("rep")).select("id"), "id", "left_semi")
-
-    signs = projection_signs(dims, bands * rows)
-    projections = F.array(*[F.array(*[F.lit(float(s)) for s in row]) for row in signs])
-    bits = F.transform(projections, lambda row: F.when(_dot(F.col("vector"), row) >= 0, 1).otherwise(0))
-    banded = unique.select("id", bits.alias("bits")).select(
-        "id",
-        F.posexplode(
-            F.array(*[F.slice("bits", band * rows + 1, rows) for band in range(bands)])
-        ).alias("band", "key"),
+    vectors = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    vectors = durable(
+        vectors.where(F.size("vector") == dims).withColumn("norm", F.sqrt(squares)).where(F.col("norm") > 0)
     )
+    one, two = fingerprint(F.col("vector"))
+    members = durable(group_copies(vectors.select("id", F.lit(dims).alias("n"), one, two)))
+    unique = vectors
+    if has_copies(members):
+        unique = vectors.join(members.where(F.col("id") == F.col("rep")).select("id"), "id", "left_semi")
+
+    rows = rows or default_rows(members.count(), bits)
+    keys = _sign_keys(dims, bits // rows, rows)
+    banded = unique.select("id", F.posexplode(keys(F.col("vector"))).alias("band", "key"))
     found = bucket_pairs(banded, ["key"], block_rows=block_rows)
     left = unique.select(F.col("id").alias("a"), F.col("vector").alias("va"), F.col("norm").alias("la"))
     right = unique.select(F.col("id").alias("b"), F.col("vector").alias("vb"), F.col("norm").alias("lb"))
     checked = (
         found.join(left, "a")
         .join(right, "b")
-        .select("a", "b", (_dot(F.col("va"), F.col("vb")) / (F.col("la") * F.col("lb"))).alias("similarity"))
+        .select("a", "b", (_dots()("va", "vb") / (F.col("la") * F.col("lb"))).alias("similarity"))
         .where(F.col("similarity") >= threshold)
     )
     return expand_copies(checked, members, block_rows)

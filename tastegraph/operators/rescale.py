@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import clamp, stretch
+from tastegraph.plans.durable import durable
 
 
 def rescale(
@@ -19,5 +20,7 @@ def rescale(
         return predictions.withColumn(column, clamp(value, low, high))
     if how != "minmax":
         raise ValueError(f"unknown rescale {how!r}")
+    # Read twice, once for the ends, so the predictions are written rather than worked out again.
+    predictions = durable(predictions)
     ends = predictions.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi")).alias("ends")).scalar()
     return predictions.withColumn(column, stretch(value, ends["lo"], ends["hi"], low, high))

@@ -15,12 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.plans.copies import expand_copies, set_copies
+from tastegraph.plans.copies import expand_copies, has_copies, set_copies
+from tastegraph.plans.durable import durable
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 
 # Relative slack that keeps float noise in thresholds from cutting a pair that lies exactly on them.
 SLACK = 1e-9
 
+# Elements up to this popularity class (64 holders) are counted for every pair that shares them: at
+# most 32 pairs per row, and pairs of sets without busier elements need no second look.
+DIRECT_CLASS = 48
+
 
 class Jaccard:
     """|A∩B| / |A∪B|"""
@@ -99,34 +104,38 @@ def _popularity_class(holders: Column) -> Column:
 
 
 def _prefixes(sets: DataFrame, members: DataFrame, measure, threshold: float) -> DataFrame:
-    """``(element, id, n, before, upto)`` rows of each set's prefix: ``before`` and ``upto`` count the
-    set's elements in lower classes and up to the element's class."""
+    """``(element, id, n, before, upto, direct)`` rows to be joined: each set's prefix and its elements
+    with few holders. ``before`` counts the set's elements in lower classes, ``upto`` those up to the
+    element's class or up to the directly counted ones, whichever reaches further."""
     holders = sets.groupBy("element").agg(F.count(F.lit(1)).alias("holders"))
     ranked = sets.join(holders, "element").select(
         "id", "element", _popularity_class(F.col("holders")).alias("klass"), "holders"
     )
+    direct = F.col("klass") <= DIRECT_CLASS
     histogram = ranked.groupBy("id", "klass").agg(F.count(F.lit(1)).alias("rows"))
     # At most a few hundred classes per set.
-    upto = F.sum("rows").over(Window.partitionBy("id").orderBy("klass"))
+    classes = Window.partitionBy("id")
     required = F.ceil(F.lit(measure.size_ratio(threshold) * (1.0 - SLACK)) * F.col("n"))
     places = (
-        histogram.withColumn("upto", upto)
+        histogram.withColumn("upto", F.sum("rows").over(classes.orderBy("klass")))
         .withColumn("before", F.col("upto") - F.col("rows"))
+        .withColumn("counted", F.coalesce(F.sum(F.when(direct, F.col("rows"))).over(classes), F.lit(0)))
         .join(members.select("id", "n"), "id")
-        .where(F.col("before") <= F.col("n") - required)
-        .select("id", "klass", "n", "before", "upto")
+        .where(direct | (F.col("before") <= F.col("n") - required))
+        .select("id", "klass", "n", "before", F.greatest("upto", "counted").alias("upto"))
     )
     return (
         ranked.where(F.col("holders") > 1)
         .join(places, ["id", "klass"])
-        .select("element", "id", "n", "before", "upto")
+        .select("element", "id", "n", "before", "upto", direct.alias("direct"))
     )
 
 
 def prefix_candidates(
     sets: DataFrame, members: DataFrame, measure, threshold: float, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Pairs ``(a, b, na, nb)`` that the prefix and position bounds cannot rule out."""
+    """Pairs ``(a, b, na, nb, met, left_over)`` that the prefix and position bounds cannot rule out:
+    ``met`` common elements are known and at most ``left_over`` more can be common."""
 
     def needed(na, nb):
         return F.ceil(measure.needed(threshold, na, nb) * F.lit(1.0 - SLACK))
@@ -134,14 +143,13 @@ def prefix_candidates(
     def keep(left, right):
         # The prefix each set needs for this partner's size; shorter than the one for any partner.
         spare = needed(left("n"), right("n"))
-        return (
-            sizes_allow(measure, threshold, left("n"), right("n"))
-            & (left("before") <= left("n") - spare)
-            & (right("before") <= right("n") - spare)
-        )
-
-    prefix = _prefixes(sets, members, measure, threshold)
-    met = pairs_within(prefix, ["element"], "id", ["n", "before", "upto"], keep=keep, block_rows=block_rows)
+        in_prefixes = (left("before") <= left("n") - spare) & (right("before") <= right("n") - spare)
+        return sizes_allow(measure, threshold, left("n"), right("n")) & (left("direct") | in_prefixes)
+
+    prefix = durable(_prefixes(sets, members, measure, threshold))
+    met = pairs_within(
+        prefix, ["element"], "id", ["n", "before", "upto", "direct"], keep=keep, block_rows=block_rows
+    )
     counted = met.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(
         F.max("a_n").alias("na"),
         F.max("b_n").alias("nb"),
@@ -152,23 +160,32 @@ def prefix_candidates(
     # Common elements up to the last class met have all been met; later ones fit in what is left of
     # either set.
     left_over = F.least(F.col("na") - F.col("ua"), F.col("nb") - F.col("ub"))
-    possible = F.col("met") + left_over >= needed(F.col("na"), F.col("nb"))
-    return counted.where(possible).select("a", "b", "na", "nb")
+    return counted.withColumn("left_over", left_over).where(
+        F.col("met") + F.col("left_over") >= needed(F.col("na"), F.col("nb"))
+    )
 
 
-def representatives(sets: DataFrame, members: DataFrame) -> DataFrame:
+def prepared(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(unique, members)``: the distinct sets' rows and the copy groups, both written once."""
+    sets = durable(sets)
+    members = durable(set_copies(sets))
+    if not has_copies(members):
+        return sets, members
     heads = members.where(F.col("id") == F.col("rep")).select("id")
-    return sets.join(heads, "id", "left_semi")
+    return durable(sets.join(heads, "id", "left_semi")), members
 
 
 def _exact_join(df, set_col, element_col, measure, threshold, block_rows):
     if threshold <= 0:
         raise ValueError("an exact set join needs a threshold above 0")
-    sets = distinct_sets(df, set_col, element_col)
-    members = set_copies(sets)
-    unique = representatives(sets, members)
-    candidates = prefix_candidates(unique, members, measure, threshold, block_rows)
-    return expand_copies(verify(candidates, unique, measure, threshold), members, block_rows)
+    unique, members = prepared(distinct_sets(df, set_col, element_col))
+    candidates = durable(prefix_candidates(unique, members, measure, threshold, block_rows))
+    settled = candidates.where(F.col("left_over") == 0).select(
+        "a", "b", measure.value(F.col("met"), F.col("na"), F.col("nb")).alias("similarity")
+    )
+    open_pairs = verify(candidates.where(F.col("left_over") > 0), unique, measure, threshold)
+    pairs = settled.where(F.col("similarity") >= threshold).unionByName(open_pairs)
+    return expand_copies(pairs, members, block_rows)
 
 
 def jaccard_join(

@@ -33,8 +33,14 @@ def set_copies(sets: DataFrame) -> DataFrame:
     return group_copies(prints)
 
 
+def has_copies(members: DataFrame) -> bool:
+    return not members.where(F.col("copies") > 1).isEmpty()
+
+
 def expand_copies(pairs: DataFrame, members: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs of representatives ``(a, b, similarity)`` → pairs of all members, copies included."""
+    if not has_copies(members):
+        return pairs.select("a", "b", "similarity")
     a_side = members.select(F.col("rep").alias("a"), F.col("id").alias("_x"))
     b_side = members.select(F.col("rep").alias("b"), F.col("id").alias("_y"))
     across = (

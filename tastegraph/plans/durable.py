@@ -30,9 +30,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and go on from the files."""
-    context = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write the frame as a table in the shared folder and go on from its files.
+
+    For frames that several branches of a plan read: each branch would otherwise run its source
+    again. The plan ends here, a lost executor costs a re-read, and the file sizes give the optimizer
+    true statistics, so that it broadcasts only what is small. The session owner empties the folder.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpoint_ready(spark: SparkSession) -> None:
+    """Make sure that library code that checkpoints by itself has a folder to do so."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -111,7 +111,7 @@ def test_jaccard_lsh_within_exact(spark, threshold):
 
 def test_cosine_lsh_within_exact(spark):
     sets = skewed_sets(7)
-    found = scores(lsh.cosine_lsh_join(frame(spark, sets), "id", "element", 0.8, bands=25, rows=6, block_rows=9))
+    found = scores(lsh.cosine_lsh_join(frame(spark, sets), "id", "element", 0.8, rows=6, block_rows=9))
     exact = brute(sets, "cosine", 0.8)
     assert found.items() <= exact.items()
     assert len(found) > 0.9 * len(exact)
@@ -123,7 +123,7 @@ def test_vector_join(spark):
     rows = [(n, [x + rng.gauss(0, 0.02) for x in base[n % 12]]) for n in range(36)]
     rows += [(100 + n, rows[0][1]) for n in range(15)] + [(200, [0.0] * 8), (201, [1.0])]
     df = spark.createDataFrame(rows, "id long, vector array<double>")
-    found = scores(lsh.cosine_join_vectors(df, "id", "vector", 8, 0.9, bands=15, rows=6, block_rows=4))
+    found = scores(lsh.cosine_join_vectors(df, "id", "vector", 8, 0.9, rows=6, block_rows=4))
     kept = {n: v for n, v in rows if n < 200}
 
     def cosine(x, y):
