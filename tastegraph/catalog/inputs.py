@@ -7,7 +7,6 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.functions.hashing import text_id
 from tastegraph.operators.ratings import dedup
 
 # Ratings from orders of this date or later form the test set.
@@ -40,11 +39,9 @@ def test_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, word)``: the words of each document, as numeric ids."""
+    """``(doc_id, word)``: the words of each document."""
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", F.explode(F.split("text", " ")).alias("text")).select(
-        "doc_id", text_id(F.col("text")).alias("word")
-    )
+    return documents.select("doc_id", F.explode(F.split("text", " ")).alias("word"))
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

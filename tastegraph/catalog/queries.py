@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.catalog import inputs
 from tastegraph.functions.columns import tidy
-from tastegraph.functions.hashing import LARGE_PRIME
+from tastegraph.functions.hashing import LARGE_PRIME, text_id
 from tastegraph.operators import evaluate, factors, iterative, knn, lsh, pearson, setjoin
 from tastegraph.operators import ratings as prep
 from tastegraph.plans.durable import scratch_path
@@ -199,15 +199,15 @@ def minhash_signatures(spark, sf_dir):
 
 
 def lsh_candidates(spark, sf_dir):
-    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME)
+    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME, code=text_id)
 
 
 def lsh_candidates_small_prime(spark, sf_dir):
-    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word")
+    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", code=text_id)
 
 
 def _jaccard_lsh(spark, sf_dir):
-    return lsh.jaccard_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME)
+    return lsh.jaccard_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME, code=text_id)
 
 
 def jaccard_lsh_join(spark, sf_dir):
@@ -236,7 +236,8 @@ def cosine_words(spark, sf_dir):
 
 
 def cosine_lsh_sets(spark, sf_dir):
-    return _tidy(lsh.cosine_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE), "similarity")
+    found = lsh.cosine_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE, code=text_id)
+    return _tidy(found, "similarity")
 
 
 def cosine_vectors(spark, sf_dir):

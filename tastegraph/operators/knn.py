@@ -1,7 +1,7 @@
 """Neighbourhood predictors: user-based and item-based.
 
-Neighbour weights are joined to test pairs in long form (test id → neighbour → the neighbour's
-rating of the target), so nothing is held per user or per item and all sums combine map-side.
+Test pairs, neighbour weights and ratings meet in long form (``plans.votes``), so nothing is held per
+user or per item and all sums combine map-side.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from tastegraph.operators.ratings import PAIR, dedup, holdout, means, with_test
 from tastegraph.operators.rescale import rescale as rescaled
 from tastegraph.plans.durable import durable
 from tastegraph.plans.pairing import BLOCK_ROWS, mirrored
+from tastegraph.plans.votes import neighbor_votes
 
 
 def top_neighbors(weights: DataFrame, k: int | None, group: list[str], cut: float = 0.0) -> DataFrame:
@@ -36,10 +37,11 @@ def _training(ratings: DataFrame, test: DataFrame, leaky: bool) -> DataFrame:
 
 
 def _weights(train, pairs, by, min_support, candidates, block_rows):
+    """Both directions of the weighted pairs, written once: both ways to the votes read them."""
     if candidates is not None:
-        return mirrored(pearson_of(candidates, train, by, min_support))
+        return durable(mirrored(pearson_of(candidates, train, by, min_support)))
     only = pairs.select(by).distinct()
-    return mirrored(pearson_pairs(train, by, min_support, only=only, block_rows=block_rows))
+    return durable(mirrored(pearson_pairs(train, by, min_support, only=only, block_rows=block_rows)))
 
 
 def predict_user_knn(
@@ -67,18 +69,12 @@ def predict_user_knn(
     mean_v = F.col("mean")
     if exclude_target_from_mean:
         mean_v = ratio_or(F.col("total") - F.col("rating"), F.col("n") - F.lit(1), F.col("rating"))
-    offsets = train.join(stats, "user").select(
-        F.col("user").alias("neighbor"), "item", (F.col("rating") - mean_v).alias("offset")
-    )
-    voters = (
-        pairs.join(weights, pairs["user"] == weights["id"])
-        .select(*PAIR, "neighbor", "weight")
-        .join(offsets, ["neighbor", "item"])
-    )
+    offsets = train.join(stats, "user").select(*PAIR, (F.col("rating") - mean_v).alias("value"))
+    voters = neighbor_votes(pairs, weights, offsets, "user")
     votes = (
         top_neighbors(voters, k, PAIR, cut)
         .groupBy(*PAIR)
-        .agg(F.sum(F.col("weight") * F.col("offset")).alias("up"), F.sum(F.abs("weight")).alias("down"))
+        .agg(F.sum(F.col("weight") * F.col("value")).alias("up"), F.sum(F.abs("weight")).alias("down"))
     )
     predicted = (
         pairs.join(stats.select("user", "mean"), "user", "left")
@@ -109,16 +105,11 @@ def predict_item_knn(
     train = _training(ratings, test, leaky)
     pairs = durable(test.select(*PAIR))
     weights = _weights(train, pairs, "item", min_support, candidates, block_rows)
-    rated = train.select("user", F.col("item").alias("neighbor"), "rating")
-    voters = (
-        pairs.join(weights, pairs["item"] == weights["id"])
-        .select(*PAIR, "neighbor", "weight")
-        .join(rated, ["user", "neighbor"])
-    )
+    voters = neighbor_votes(pairs, weights, train.withColumnRenamed("rating", "value"), "item")
     votes = (
         top_neighbors(voters, k, PAIR, cut)
         .groupBy(*PAIR)
-        .agg(F.sum(F.col("weight") * F.col("rating")).alias("up"), F.sum(F.abs("weight")).alias("down"))
+        .agg(F.sum(F.col("weight") * F.col("value")).alias("up"), F.sum(F.abs("weight")).alias("down"))
     )
     predicted = pairs.join(votes, PAIR, "left").select(
         *PAIR, ratio_or(F.col("up"), F.col("down"), default).alias("prediction")

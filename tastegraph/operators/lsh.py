@@ -8,6 +8,7 @@ hashes and goes straight into the bucket join; full signatures are only put toge
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -53,19 +54,27 @@ def _band_params(bands: int, rows: int) -> Column:
     )
 
 
+def _spread(sets: DataFrame, bands: int, rows: int, code: Callable[[Column], Column] | None) -> DataFrame:
+    """One row per element and band, with the band's parameters; the code is worked out before that."""
+    value = F.col("element") if code is None else code(F.col("element"))
+    return sets.select("id", value.alias("code")).select("id", "code", F.inline(_band_params(bands, rows)))
+
+
 def minhash_bands(
     sets: DataFrame,
     bands: int = BANDS,
     rows: int = ROWS,
     prime: int | None = SMALL_PRIME,
     universe: Column | None = None,
+    code: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``(id, band, h0 … h<rows-1>)``: the minimum of each hash over the set's elements.
 
-    ``element`` must be a non-negative integer; ``universe`` is an optional final modulus.
+    ``code`` turns an element into a non-negative integer; without it elements must be such numbers.
+    ``universe`` is an optional final modulus.
     """
-    spread = sets.select("id", "element", F.inline(_band_params(bands, rows)))
-    element = F.col("element")
+    spread = _spread(sets, bands, rows, code)
+    element = F.col("code")
     return spread.groupBy("id", "band").agg(
         *[
             F.min(affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime, universe)).alias(f"h{j}")
@@ -115,11 +124,12 @@ def minhash_candidates(
     rows: int = ROWS,
     prime: int | None = SMALL_PRIME,
     universe: Column | None = None,
+    code: Callable[[Column], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Candidate pairs ``(a, b)`` of sets with an equal band; feeds ``candidates=`` of the predictors."""
     unique, members = prepared(distinct_sets(df, set_col, element_col))
-    banded = minhash_bands(unique, bands, rows, prime, universe)
+    banded = minhash_bands(unique, bands, rows, prime, universe, code)
     found = bucket_pairs(banded, [f"h{j}" for j in range(rows)], block_rows=block_rows)
     return expand_copies(found.withColumn("similarity", F.lit(1.0)), members, block_rows).select("a", "b")
 
@@ -133,11 +143,12 @@ def jaccard_lsh_join(
     rows: int = ROWS,
     prime: int | None = SMALL_PRIME,
     universe: Column | None = None,
+    code: Callable[[Column], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: MinHash candidates, checked exactly against the threshold."""
     unique, members = prepared(distinct_sets(df, set_col, element_col))
-    banded = minhash_bands(unique, bands, rows, prime, universe)
+    banded = minhash_bands(unique, bands, rows, prime, universe, code)
     return _checked_sets(banded, [f"h{j}" for j in range(rows)], unique, members, Jaccard, threshold, block_rows)
 
 
@@ -157,14 +168,20 @@ def default_rows(sets: int, bits: int = BITS) -> int:
     return max(4, min(bits, math.ceil(math.log2(max(sets, 8) / 8))))
 
 
-def sign_bands(sets: DataFrame, bands: int, rows: int, prime: int = LARGE_PRIME) -> DataFrame:
+def sign_bands(
+    sets: DataFrame,
+    bands: int,
+    rows: int,
+    prime: int = LARGE_PRIME,
+    code: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """``(id, band, key)``: signs of random ±1 projections of each set's 0/1 vector, ``rows`` per band.
 
     The sign of an element under a hash function is the parity of its hash, so the projections are
     sums of integers and do not depend on the order of rows.
     """
-    spread = sets.select("id", "element", F.inline(_band_params(bands, rows)))
-    element = F.col("element")
+    spread = _spread(sets, bands, rows, code)
+    element = F.col("code")
     sums = spread.groupBy("id", "band").agg(
         *[
             F.sum(F.lit(1) - F.lit(2) * (affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime) % 2)).alias(
@@ -184,6 +201,7 @@ def cosine_lsh_join(
     threshold: float = 0.47,
     bits: int = BITS,
     rows: int | None = None,
+    code: Callable[[Column], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
@@ -193,7 +211,7 @@ def cosine_lsh_join(
     """
     unique, members = prepared(distinct_sets(df, set_col, element_col))
     rows = rows or default_rows(members.count(), bits)
-    banded = sign_bands(unique, bits // rows, rows)
+    banded = sign_bands(unique, bits // rows, rows, code=code)
     return _checked_sets(banded, ["key"], unique, members, Cosine, threshold, block_rows)
 
 

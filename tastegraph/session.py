@@ -11,6 +11,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .appName("tastegraph")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small inputs with costly joins: keep one task per core where the default merges them to one
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
