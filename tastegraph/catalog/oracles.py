@@ -138,7 +138,8 @@ exact AS (SELECT a, b, {value} AS s FROM shared JOIN sizes na ON na.id = a JOIN
 # the rows per band follow from the number of members
 SHAPE = """
 shape AS (SELECT rows, {bits} // rows AS bands FROM (
-  SELECT greatest(4, ceil(log2(greatest(count(*), 8) / 8.0)))::BIGINT AS rows FROM {source}))"""
+  SELECT greatest(4, ceil(ln(greatest(count(*), 8) / 8.0) / -ln(1 - acos({background}) / pi())))::BIGINT AS rows
+  FROM {source}))"""
 
 SIGN_CANDIDATES = """
 band AS (SELECT id, n // rows AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
@@ -149,7 +150,7 @@ cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y
 def signs(bits: int) -> str:
     return f"""
 sums AS (SELECT id, n, sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) AS s FROM el, p GROUP BY id, n),
-{SHAPE.format(bits=bits, source="sizes")},{SIGN_CANDIDATES}"""
+{SHAPE.format(bits=bits, background=0.25, source="sizes")},{SIGN_CANDIDATES}"""
 
 
 def vectors(bits: int, threshold: float) -> str:
@@ -159,7 +160,7 @@ coords AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS d FROM ve
 signs AS (SELECT d.d, n.n, 1 - 2 * (('0x' || substr(md5(d.d || ':' || n.n), 1, 1))::INT % 2) AS s
   FROM range({inputs.EMBEDDING_DIMS}) d(d), range({bits}) n(n)),
 sums AS (SELECT id, n, sum(x * s) AS s FROM coords JOIN signs USING (d) GROUP BY id, n),
-{SHAPE.format(bits=bits, source="vec")},{SIGN_CANDIDATES},
+{SHAPE.format(bits=bits, background=0.0, source="vec")},{SIGN_CANDIDATES},
 cosines AS (
   SELECT a, b, list_inner_product(x.v, y.v)
     / (sqrt(list_inner_product(x.v, x.v)) * sqrt(list_inner_product(y.v, y.v))) AS s

@@ -14,6 +14,7 @@ from tastegraph.operators.pearson import pearson_of, pearson_pairs
 from tastegraph.operators.ratings import PAIR, dedup, holdout, means, with_test
 from tastegraph.operators.rescale import rescale as rescaled
 from tastegraph.plans.durable import durable
+from tastegraph.plans.lookup import lookup
 from tastegraph.plans.pairing import BLOCK_ROWS, mirrored
 from tastegraph.plans.votes import neighbor_votes
 
@@ -64,12 +65,12 @@ def predict_user_knn(
     """
     train = _training(ratings, test, leaky)
     pairs = durable(test.select(*PAIR))
-    stats = means(train)
+    stats = durable(means(train))
     weights = _weights(train, pairs, "user", min_support, candidates, block_rows)
     mean_v = F.col("mean")
     if exclude_target_from_mean:
         mean_v = ratio_or(F.col("total") - F.col("rating"), F.col("n") - F.lit(1), F.col("rating"))
-    offsets = train.join(stats, "user").select(*PAIR, (F.col("rating") - mean_v).alias("value"))
+    offsets = lookup(train, stats, "user", "n").select(*PAIR, (F.col("rating") - mean_v).alias("value"))
     voters = neighbor_votes(pairs, weights, offsets, "user")
     votes = (
         top_neighbors(voters, k, PAIR, cut)

@@ -162,10 +162,11 @@ def _checked_sets(banded, keys, unique, members, measure, threshold, block_rows)
     return expand_copies(verify(found, unique, measure, threshold), members, block_rows)
 
 
-def default_rows(sets: int, bits: int = BITS) -> int:
-    """Signature bits per band so that a bucket of unrelated members holds about eight of them:
-    candidates then grow with the number of members, not with its square."""
-    return max(4, min(bits, math.ceil(math.log2(max(sets, 8) / 8))))
+def default_rows(members: int, bits: int = BITS, background: float = 0.0) -> int:
+    """Signature bits per band so that a bucket holds about eight unrelated members, ``background``
+    being their usual cosine: candidates then grow with the number of members, not its square."""
+    agreement = 1.0 - math.acos(background) / math.pi
+    return max(4, min(bits, math.ceil(math.log(max(members, 8) / 8) / -math.log(agreement))))
 
 
 def sign_bands(
@@ -201,16 +202,18 @@ def cosine_lsh_join(
     threshold: float = 0.47,
     bits: int = BITS,
     rows: int | None = None,
+    background: float = 0.25,
     code: Callable[[Column], Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
 
     The ``bits`` of a signature form ``bits // rows`` bands. More bits raise the recall, more rows
-    per band lower the number of candidates.
+    per band lower the number of candidates; ``background`` is the usual cosine of unrelated sets,
+    from which the rows follow when they are not given.
     """
     unique, members = prepared(distinct_sets(df, set_col, element_col))
-    rows = rows or default_rows(members.count(), bits)
+    rows = rows or default_rows(members.count(), bits, background)
     banded = sign_bands(unique, bits // rows, rows, code=code)
     return _checked_sets(banded, ["key"], unique, members, Cosine, threshold, block_rows)
 

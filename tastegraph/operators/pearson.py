@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import correlation
+from tastegraph.plans.lookup import lookup
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 
 MAX_TAIL = 2
@@ -29,20 +30,22 @@ def _sides(ratings: DataFrame, by: str) -> DataFrame:
 
 
 def _popular_tail(rows: DataFrame, length: int) -> DataFrame:
-    """The ``length`` most popular keys of each id as columns k0, r0, k1, r1."""
+    """The ``length`` most popular keys of each id as columns k0, r0, k1, r1, and its number of rows."""
+    total = F.count(F.lit(1)).alias("rows")
     if length == 1:
-        top = rows.groupBy("id").agg(F.max(F.struct("size", "key", "r")).alias("t"))
-        return top.select("id", F.col("t.key").alias("k0"), F.col("t.r").alias("r0"))
+        top = rows.groupBy("id").agg(F.max(F.struct("size", "key", "r")).alias("t"), total)
+        return top.select("id", "rows", F.col("t.key").alias("k0"), F.col("t.r").alias("r0"))
     # rank <= constant is planned with a group limit before the shuffle, so a busy id stays small.
     by_size = Window.partitionBy("id").orderBy(F.col("size").desc(), F.col("key").desc())
     ranked = rows.withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= length)
-    return ranked.groupBy("id").agg(
+    tops = ranked.groupBy("id").agg(
         *[
             F.max(F.when(F.col("rank") == n + 1, F.col(c))).alias(f"{name}{n}")
             for n in range(length)
             for c, name in (("key", "k"), ("r", "r"))
         ]
     )
+    return tops.join(rows.groupBy("id").agg(total), "id")
 
 
 def _in_tail(key: Column, length: int) -> Column:
@@ -88,19 +91,18 @@ def pearson_pairs(
     tail = min(need - 1, MAX_TAIL)
     rows = _sides(ratings, by)
     popularity = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    rows = rows.join(popularity, "key")
+    rows = lookup(rows, popularity, "key", "size")
 
     carry = ["r"]
-    per_id = None
+    per_id = _popular_tail(rows, tail) if tail else rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
     if tail:
-        per_id = _popular_tail(rows, tail)
         carry += ["in_tail"] + [f"{c}{n}" for n in range(tail) for c in "kr"]
     if only is not None:
         marked = only.select(F.col(only.columns[0]).alias("id"), F.lit(True).alias("wanted"))
-        per_id = marked if per_id is None else per_id.join(marked, "id", "left")
+        per_id = per_id.join(marked, "id", "left")
         carry += ["wanted"]
-    if per_id is not None:
-        rows = rows.join(per_id, "id", "left" if not tail else "inner")
+    if len(carry) > 1:
+        rows = lookup(rows, per_id, "id", "rows")
     if tail:
         rows = rows.withColumn("in_tail", _in_tail(F.col("key"), tail))
     if only is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.hashing import text_id
+from tastegraph.plans.lookup import lookup
 
 PAIR = ["user", "item"]
 
@@ -44,7 +45,7 @@ def means(ratings: DataFrame, by: str = "user") -> DataFrame:
 def mean_center(ratings: DataFrame) -> DataFrame:
     """Each rating minus its user's mean. A join on aggregated means, not a window: a window would
     put all rows of one user in one task."""
-    return ratings.join(means(ratings).select("user", "mean"), "user").select(
+    return lookup(ratings, means(ratings), "user", "n").select(
         *PAIR, "rating", "mean", (F.col("rating") - F.col("mean")).alias("centered")
     )
 
@@ -72,7 +73,7 @@ def rating_lists(ratings: DataFrame, by: str = "user", part_rows: int = 256) ->
     """
     other = "item" if by == "user" else "user"
     parts = F.ceil(F.col("degree") / F.lit(float(part_rows))).cast("long")
-    rows = ratings.join(degrees(ratings, by), by).select(
+    rows = lookup(ratings, degrees(ratings, by), by, "degree").select(
         F.col(by).alias("id"),
         F.pmod(text_id(F.col(other).cast("string")), parts).alias("part"),
         F.struct(F.col(other).alias("element"), F.col("rating").alias("rating")).alias("entry"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.plans.copies import expand_copies, has_copies, set_copies
 from tastegraph.plans.durable import durable
+from tastegraph.plans.lookup import lookup
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 
 # Relative slack that keeps float noise in thresholds from cutting a pair that lies exactly on them.
@@ -108,7 +109,7 @@ def _prefixes(sets: DataFrame, members: DataFrame, measure, threshold: float) ->
     with few holders. ``before`` counts the set's elements in lower classes, ``upto`` those up to the
     element's class or up to the directly counted ones, whichever reaches further."""
     holders = sets.groupBy("element").agg(F.count(F.lit(1)).alias("holders"))
-    ranked = sets.join(holders, "element").select(
+    ranked = lookup(sets, holders, "element", "holders").select(
         "id", "element", _popularity_class(F.col("holders")).alias("klass"), "holders"
     )
     direct = F.col("klass") <= DIRECT_CLASS
@@ -122,12 +123,10 @@ def _prefixes(sets: DataFrame, members: DataFrame, measure, threshold: float) ->
         .withColumn("counted", F.coalesce(F.sum(F.when(direct, F.col("rows"))).over(classes), F.lit(0)))
         .join(members.select("id", "n"), "id")
         .where(direct | (F.col("before") <= F.col("n") - required))
-        .select("id", "klass", "n", "before", F.greatest("upto", "counted").alias("upto"))
+        .select("id", "klass", "rows", "n", "before", F.greatest("upto", "counted").alias("upto"))
     )
-    return (
-        ranked.where(F.col("holders") > 1)
-        .join(places, ["id", "klass"])
-        .select("element", "id", "n", "before", "upto", direct.alias("direct"))
+    return lookup(ranked.where(F.col("holders") > 1), places, ["id", "klass"], "rows").select(
+        "element", "id", "n", "before", "upto", direct.alias("direct")
     )
 
 

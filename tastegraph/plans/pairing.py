@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.plans.lookup import lookup
+
 BLOCK_ROWS = 2048
 
 
@@ -38,7 +40,7 @@ def pairs_within(
     if size is None:
         size = "_rows"
         counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)).where(F.col(size) > 1)
-        df = df.join(counted, keys)
+        df = lookup(df, counted, keys, size)
     columns = [member, *[c for c in carry if c != member]]
     split = df.select(
         *keys,

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.plans.durable import durable
+from tastegraph.plans.lookup import lookup
+
 BUSY = 1024
 
 
@@ -19,12 +22,14 @@ def neighbor_votes(cells: DataFrame, weights: DataFrame, rated: DataFrame, by: s
     """
     other = "item" if by == "user" else "user"
     known = rated.select(F.col(by).alias("neighbor"), other, "value")
-    sizes = known.groupBy(other).agg(F.count(F.lit(1)).alias("raters"))
+    sizes = durable(known.groupBy(other).agg(F.count(F.lit(1)).alias("raters")))
     heavy = sizes.where(F.col("raters") > busy).select(other)
     columns = ["user", "item", "neighbor", "weight", "value"]
 
     edges = weights.select(F.col("id").alias(by), "neighbor", "weight")
-    light_known = known.join(heavy, other, "left_anti")
+    if heavy.isEmpty():
+        return cells.join(known, other).join(edges, [by, "neighbor"]).select(*columns)
+    light_known = lookup(known, sizes, other, "raters").where(F.col("raters") <= busy).drop("raters")
     light = cells.join(light_known, other).join(edges, [by, "neighbor"])
     busy_cells = cells.join(heavy, other, "left_semi")
     dense = busy_cells.join(edges, by).join(known, ["neighbor", other])
