@@ -70,7 +70,7 @@ def predict_user_knn(
     mean_v = F.col("mean")
     if exclude_target_from_mean:
         mean_v = ratio_or(F.col("total") - F.col("rating"), F.col("n") - F.lit(1), F.col("rating"))
-    offsets = lookup(train, stats, "user", "n").select(*PAIR, (F.col("rating") - mean_v).alias("value"))
+    offsets = lookup(train, stats, "user", "n", written=True).select(*PAIR, (F.col("rating") - mean_v).alias("value"))
     voters = neighbor_votes(pairs, weights, offsets, "user")
     votes = (
         top_neighbors(voters, k, PAIR, cut)

@@ -9,25 +9,36 @@ from tastegraph.plans.durable import durable
 
 # A key with more than 1/HOT_KEYS of all rows is hot; fewer than HOT_KEYS keys can be.
 HOT_KEYS = 16384
+# A table of up to this many keys is broadcast whole: a few numbers per key, so a few MB.
+BROADCAST_KEYS = 131072
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str | list[str], count: str) -> DataFrame:
+def lookup(
+    rows: DataFrame, table: DataFrame, key: str | list[str], count: str, written: bool = False
+) -> DataFrame:
     """Inner join of ``rows`` with ``table``, which holds one row per key and in ``count`` the number of
-    rows that have it.
+    rows that have it; ``written`` says that the table is read from files already.
 
-    A shuffle join would send all rows of a key to one task. Hot keys are joined by broadcast
-    instead: their number is bounded by ``HOT_KEYS`` whatever the size of the data. No other key
-    holds enough rows to unbalance the shuffle join that serves the rest.
+    A shuffle join would send all rows of a key to one task. Here hot keys, whose number is bounded by
+    ``HOT_KEYS`` whatever the size of the data, get their values by broadcast; their rows pass the
+    shuffle join that serves the other keys under a salted key, evenly spread and without a match.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    table = durable(table)
-    total = table.agg(F.sum(count)).first()[0] or 0
-    hot = table.where(F.col(count) * HOT_KEYS > total)
-    cold = table.where(F.col(count) * HOT_KEYS <= total)
-    if hot.isEmpty():
-        return rows.join(cold, keys)
-    by_broadcast = rows.join(F.broadcast(hot), keys)
-    if cold.isEmpty():
-        return by_broadcast
-    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return by_broadcast.unionByName(others.join(cold, keys))
+    table = table if written else durable(table)
+    entries, total, most = table.agg(F.count(F.lit(1)), F.sum(count), F.max(count)).first()
+    if entries <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(table), keys)
+    if most * HOT_KEYS <= total:
+        return rows.join(table, keys)
+    values = [c for c in table.columns if c not in keys]
+    hot = table.where(F.col(count) * HOT_KEYS > total).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values])
+    cold = table.where(F.col(count) * HOT_KEYS <= total).withColumn("_salt", F.lit(0).cast("long"))
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) + F.lit(1)
+    tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col(f"_hot_{count}").isNull(), F.lit(0)).otherwise(spread).cast("long")
+    )
+    return (
+        tagged.join(cold, [*keys, "_salt"], "left")
+        .select(*rows.columns, *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in values])
+        .where(F.col(count).isNotNull())
+    )

@@ -22,14 +22,15 @@ def neighbor_votes(cells: DataFrame, weights: DataFrame, rated: DataFrame, by: s
     """
     other = "item" if by == "user" else "user"
     known = rated.select(F.col(by).alias("neighbor"), other, "value")
-    sizes = durable(known.groupBy(other).agg(F.count(F.lit(1)).alias("raters")))
-    heavy = sizes.where(F.col("raters") > busy).select(other)
+    sizes = known.groupBy(other).agg(F.count(F.lit(1)).alias("raters"))
     columns = ["user", "item", "neighbor", "weight", "value"]
 
     edges = weights.select(F.col("id").alias(by), "neighbor", "weight")
-    if heavy.isEmpty():
+    if (sizes.agg(F.max("raters")).first()[0] or 0) <= busy:
         return cells.join(known, other).join(edges, [by, "neighbor"]).select(*columns)
-    light_known = lookup(known, sizes, other, "raters").where(F.col("raters") <= busy).drop("raters")
+    sizes = durable(sizes)
+    heavy = sizes.where(F.col("raters") > busy).select(other)
+    light_known = lookup(known, sizes, other, "raters", written=True).where(F.col("raters") <= busy).drop("raters")
     light = cells.join(light_known, other).join(edges, [by, "neighbor"])
     busy_cells = cells.join(heavy, other, "left_semi")
     dense = busy_cells.join(edges, by).join(known, ["neighbor", other])

@@ -148,3 +148,57 @@ def test_pair_quality(spark):
     assert (row.tp, row.fp, row.fn, row.precision, row.recall) == (1, 1, 1, 0.5, 0.5)
     empty = pair_quality(found.limit(0), truth).first()
     assert empty.precision is None and empty.recall == 0.0
+
+
+def test_busy_targets_take_the_other_way(spark):
+    """Both ways from cells to votes give the same predictions."""
+    from tastegraph.plans.votes import neighbor_votes
+
+    rng = random.Random(4)
+    rated = [(u, i, float(rng.randint(1, 5))) for u in range(30) for i in range(12) if rng.random() < 0.3 or i == 0]
+    cells = [(u, i) for u in range(30) for i in range(12) if (u + i) % 4 == 0]
+    edges = [(u, v, (u * v % 7) / 7) for u in range(30) for v in range(30) if u != v and (u + v) % 3]
+    weight = {(u, v): w for u, v, w in edges}
+    for by, busy in itertools.product(("user", "item"), (0, 5, 1000)):
+        got = neighbor_votes(
+            spark.createDataFrame(cells, "user long, item long"),
+            spark.createDataFrame(edges, "id long, neighbor long, weight double"),
+            spark.createDataFrame(rated, "user long, item long, value double"),
+            by,
+            busy,
+        )
+        if by == "user":
+            want = {(u, i, v, weight[u, v], x) for u, i in cells for v, j, x in rated if j == i and (u, v) in weight}
+        else:
+            want = {(u, i, j, weight[i, j], x) for u, i in cells for v, j, x in rated if v == u and (i, j) in weight}
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(want) and set(rows) == want
+
+
+@pytest.mark.parametrize("hot_keys,broadcast_keys", [(2, 0), (8, 0), (10**6, 0), (8, 1000)])
+def test_lookup_splits_hot_keys(spark, monkeypatch, hot_keys, broadcast_keys):
+    from tastegraph.plans import lookup as module
+
+    monkeypatch.setattr(module, "HOT_KEYS", hot_keys)
+    monkeypatch.setattr(module, "BROADCAST_KEYS", broadcast_keys)
+    rows = [(n % 3 if n < 60 else n, n) for n in range(100)]
+    df = spark.createDataFrame(rows, "key long, n long")
+    table = df.where("key <> 77").groupBy("key").count()
+    got = module.lookup(df, table, "key", "count")
+    assert got.columns == ["key", "n", "count"]
+    assert sorted((r.key, r.n, r["count"]) for r in got.collect()) == sorted(
+        (k, n, 20 if k < 3 else 1) for k, n in rows if k != 77
+    )
+
+
+@pytest.mark.parametrize("by", ["user", "item"])
+def test_pearson_with_salted_lookups(spark, monkeypatch, by):
+    from tastegraph.plans import lookup as module
+
+    monkeypatch.setattr(module, "HOT_KEYS", 20)
+    monkeypatch.setattr(module, "BROADCAST_KEYS", 0)
+    rng = random.Random(11)
+    cells = {(u, i) for u in range(30) for i in rng.sample(range(40), 6)} | {(u, 0) for u in range(30)}
+    triples = [(u, i, float(rng.randint(1, 5))) for u, i in cells]
+    got = pearson_pairs(spark.createDataFrame(triples, SCHEMA), by, block_rows=7).collect()
+    assert {(r.a, r.b): (r.n, round(r.similarity, 6)) for r in got} == brute_pearson(triples, by, 1)
