@@ -9,7 +9,7 @@ from tastegraph.functions.columns import tidy
 from tastegraph.functions.hashing import LARGE_PRIME, text_id
 from tastegraph.operators import evaluate, factors, iterative, knn, lsh, pearson, setjoin
 from tastegraph.operators import ratings as prep
-from tastegraph.plans.durable import scratch_path
+from tastegraph.plans.durable import durable, scratch_path
 from tastegraph.sources import readers, writers
 
 NEIGHBORS = 10
@@ -32,6 +32,11 @@ def _train(spark, sf_dir):
     return prep.holdout(*_split(spark, sf_dir))
 
 
+def _written(frame, spark, sf_dir):
+    """For operators that read their input more than once."""
+    return durable(frame(spark, sf_dir))
+
+
 # rating preparation
 
 
@@ -57,7 +62,7 @@ def user_means(spark, sf_dir):
 
 
 def mean_centered(spark, sf_dir):
-    return _tidy(prep.mean_center(_train(spark, sf_dir)), "mean", "centered")
+    return _tidy(prep.mean_center(_written(_train, spark, sf_dir)), "mean", "centered")
 
 
 def presence_flags(spark, sf_dir):
@@ -75,11 +80,11 @@ def item_degrees(spark, sf_dir):
 
 
 def density_gamma(spark, sf_dir):
-    return prep.density_gamma(_train(spark, sf_dir))
+    return prep.density_gamma(_written(_train, spark, sf_dir))
 
 
 def user_rating_lists(spark, sf_dir):
-    lists = prep.rating_lists(inputs.ratings(spark, sf_dir), part_rows=16)
+    lists = prep.rating_lists(_written(inputs.ratings, spark, sf_dir), part_rows=16)
     whole = F.transform("ratings", lambda r: r.cast("long"))
     return lists.select(
         "id",
@@ -100,19 +105,19 @@ def item_rating_maps(spark, sf_dir):
 
 
 def pearson_users(spark, sf_dir):
-    return _tidy(pearson.pearson_pairs(inputs.ratings(spark, sf_dir), "user"), "similarity")
+    return _tidy(pearson.pearson_pairs(_written(inputs.ratings, spark, sf_dir), "user"), "similarity")
 
 
 def pearson_items(spark, sf_dir):
-    return _tidy(pearson.pearson_pairs(inputs.ratings(spark, sf_dir), "item"), "similarity")
+    return _tidy(pearson.pearson_pairs(_written(inputs.ratings, spark, sf_dir), "item"), "similarity")
 
 
 def pearson_users_support3(spark, sf_dir):
-    return _tidy(pearson.pearson_pairs(inputs.ratings(spark, sf_dir), "user", min_support=3), "similarity")
+    return _tidy(pearson.pearson_pairs(_written(inputs.ratings, spark, sf_dir), "user", min_support=3), "similarity")
 
 
 def topk_neighbors(spark, sf_dir):
-    return _tidy(knn.neighbor_lists(_train(spark, sf_dir), "user", NEIGHBORS), "weight")
+    return _tidy(knn.neighbor_lists(_written(_train, spark, sf_dir), "user", NEIGHBORS), "weight")
 
 
 def _predicted(df):
@@ -184,7 +189,7 @@ def item_knn_quality(spark, sf_dir):
 
 
 def _rating_bands(spark, sf_dir):
-    everything = inputs.ratings(spark, sf_dir)
+    everything = _written(inputs.ratings, spark, sf_dir)
     users = prep.distinct_count(everything, "user")
     return lsh.minhash_bands(prep.interactions(everything), universe=users)
 

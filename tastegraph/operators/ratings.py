@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.hashing import text_id
+from tastegraph.plans.durable import durable
 from tastegraph.plans.lookup import lookup
 
 PAIR = ["user", "item"]
@@ -87,7 +88,7 @@ def rating_lists(ratings: DataFrame, by: str = "user", part_rows: int = 256) ->
 
 def rating_maps(ratings: DataFrame, by: str = "user", part_rows: int = 256) -> DataFrame:
     """Sparse matrix rows as maps, in parts as in ``rating_lists``: ``(id, part, ratings)``."""
-    lists = rating_lists(dedup(ratings), by, part_rows)
+    lists = rating_lists(durable(dedup(ratings)), by, part_rows)
     return lists.select("id", "part", F.map_from_arrays("elements", "ratings").alias("ratings"))
 
 
