@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import packing, pii
+from tastegraph.llm import decontaminate, packing, pii
+from tastegraph.llm.oracles import ORACLES
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +29,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op5_packing": op5_packing,
+    "op9_decontaminate": op9_decontaminate,
 }
-ORACLES: dict[str, str] = {}
