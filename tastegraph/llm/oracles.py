@@ -28,4 +28,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES = {"op9_decontaminate": DECONTAMINATE}
+BITSLICE = """
+WITH q AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+        CAST(list_sum(list_transform(list_zip(a.v, b.v), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op3_bitslice": BITSLICE, "op9_decontaminate": DECONTAMINATE}

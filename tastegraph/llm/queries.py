@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import decontaminate, packing, pii
+from tastegraph.llm import bitslice, decontaminate, packing, pii
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -23,6 +23,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,6 +44,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_bitslice": op3_bitslice,
     "op5_packing": op5_packing,
     "op9_decontaminate": op9_decontaminate,
 }
