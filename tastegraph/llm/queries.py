@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, packing, pii
+from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -46,5 +50,6 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_bitslice": op3_bitslice,
     "op5_packing": op5_packing,
+    "op7_minhash": op7_minhash,
     "op9_decontaminate": op9_decontaminate,
 }
