@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii
+from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, suffixes
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -44,6 +44,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -52,4 +56,5 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op7_minhash": op7_minhash,
     "op9_decontaminate": op9_decontaminate,
+    "op10_suffixes": op10_suffixes,
 }
