@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, suffixes
+from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, quality, suffixes
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -27,6 +27,17 @@ def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Grades from the labels: 0 for bad text, 1 for good text that is toxic, 2 for good text that is not."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2)
+    return quality.fit_on(docs, table(spark, sf_dir, "labels"), grade)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.graded(docs, quality_model(spark, docs, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,6 +64,7 @@ __all__ = ["ORACLES", "QUERIES"]
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_bitslice": op3_bitslice,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op7_minhash": op7_minhash,
     "op9_decontaminate": op9_decontaminate,

@@ -54,9 +54,14 @@ class Words:
         last = np.flatnonzero(gap & ~before)
         up, down = _powers_to(len(data) + 1)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_RANDOM[lower[data]] * up[: len(data)], dtype=np.uint64)))
+        self.first, self.last, self.sums, self.down = first, last, sums, down
         self.hashes = mix((sums[last] - sums[first]) * down[first])
         self.starts = np.searchsorted(first, np.concatenate(([0], np.cumsum(lengths))))
 
+    def beginnings(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word."""
+        return mix((self.sums[np.minimum(self.last, self.first + size)] - self.sums[self.first]) * self.down[self.first])
+
     def shingles(self, size: int) -> Iterator[np.ndarray]:
         """For each text the hashes of its runs of ``size`` words; a shorter text is one run."""
         h = self.hashes
