@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, quality, suffixes
+from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, quality, shards, suffixes
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -23,6 +23,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its shard; a shard holds at most 32 MiB of text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = shards.shards(docs, F.col("doc_id"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "shard", "depth", "row_bytes", "shard_bytes")
+
+
 def op3_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -63,6 +70,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_shards": op2_shards,
     "op3_bitslice": op3_bitslice,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
