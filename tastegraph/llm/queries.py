@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, neardup, packing, pii, quality, shards, suffixes
+from tastegraph.llm import bitslice, decontaminate, licenses, neardup, packing, pii, quality, shards, suffixes
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -51,6 +51,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", licenses.find_licenses("text").alias("found"))
+    return found.select("doc_id", F.size("found").cast("long").alias("n_licenses"), licenses.listed(F.col("found")).alias("licenses"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op3_bitslice": op3_bitslice,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_licenses": op6_licenses,
     "op7_minhash": op7_minhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffixes": op10_suffixes,
