@@ -9,7 +9,8 @@ drained: their pieces are concatenated, cut into full windows, and the tail is c
 lengths are powers of two, which need no padding. So no sequence is padded at all.
 
 Texts become ids word by word: white space never lies inside a token of the vocabulary used here, so the
-ids of a text are those of its blank-separated words, and a bounded cache holds the frequent ones.
+ids of a text are those of its blank-separated words (ASCII letters in lower case, as in the vocabulary), and
+a bounded cache holds the words met.
 
 Edge cases: a null or empty text gives the end id only; repeated rows are packed one by one; an empty table
 gives an empty result; further columns are ignored. A text longer than a window spans several sequences.
@@ -17,6 +18,7 @@ gives an empty result; further columns are ignored. A text longer than a window
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +29,9 @@ from pyspark.sql import types as T
 
 WINDOW = 4096
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
+# texts that are cut into words at once
+TEXTS = 128
 OPEN_WINDOWS = 4096
 
 PIECES = (
@@ -41,42 +45,87 @@ PIECES = (
     .add("offset", T.LongType())
 )
 IDS = np.dtype("<u4")
-BLANKS = str.maketrans("\n\t\r", "   ")
+# lead bytes of combining marks, which can change how an ASCII letter before them is composed
+MARKS = (b"\xcc", b"\xcd")
+# a word of the vocabulary that no other word contains
+FENCE = b"\x00"
+# Latin letters that stay single letters in lower case
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
 
 class WordIds:
-    """Ids of whole texts, from the ids of their words."""
+    """Ids of whole texts, from the ids of their words.
+
+    A word is learnt once: a point or comma after a letter is a piece of its own in the vocabulary, so the
+    ids of ``word,`` are those of ``word`` and ``,``. Words to learn go through the tokenizer together: a word
+    of letters is one piece, so the token that ends it tells its ids apart from the next; other words are
+    joined by a fence.
+    """
 
     def __init__(self, path: str, words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = words
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.limit:
-            self.known = {"": b""}
-        fresh = list(words)
-        for word, found in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, IDS).tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        words = text.translate(BLANKS).split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            needed = set(words)
-            if len(needed) > self.limit // 4:  # a text of very many different words, in parts
-                half = len(words) // 2
-                return self.ids(" ".join(words[:half])) + self.ids(" ".join(words[half:]))
-            self._learn({w for w in needed if w not in self.known})
-            # learning may have emptied the cache of words learnt before
-            self._learn({w for w in needed if w not in self.known})
-            return b"".join(map(self.known.__getitem__, words))
+        self.known: dict[bytes, bytes] = {}
+        self.fence = self.tokenizer.encode(FENCE.decode(), add_special_tokens=False).ids
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _joined(self, words: list[str], fence: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([fence.join(words)], add_special_tokens=False)[0].ids, IDS)
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        letters = [t for t in texts if LETTERS.fullmatch(t)]
+        for at in range(0, len(letters), 4096):
+            part = letters[at : at + 4096]
+            ids = self._joined(part, " ")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            data = ids.tobytes()
+            for word, start, end in zip(part, [0, *cuts[:-1]], cuts, strict=True):
+                self.known[word.encode()] = data[4 * start : 4 * end]
+        others = [t for t in texts if not LETTERS.fullmatch(t)]
+        fenced = [t for t in others if FENCE.decode() not in t]
+        for at in range(0, len(fenced), 4096):
+            part = fenced[at : at + 4096]
+            ids = self._joined(part, f" {FENCE.decode()} ")
+            cuts = np.flatnonzero(ids == self.fence[0]).tolist()
+            data = ids.tobytes()
+            for word, start, end in zip(part, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                self.known[word.encode()] = data[4 * start + 4 : 4 * end]
+        for word in others:
+            if FENCE.decode() in word:
+                self.known[word.encode()] = self._joined([word], "").tobytes()
+
+    def _meet(self, words: set[bytes]) -> None:
+        """Make all of these words known."""
+        missing = words.difference(self.known)
+        if len(missing) + len(self.known) > self.limit:
+            self.known.clear()
+            missing = words
+        split, fresh = [], set()
+        for word in missing:
+            stem = word.rstrip(b".,")
+            if len(stem) < len(word) and stem and LETTERS.fullmatch(stem.decode()[-1]):
+                split.append((word, stem, word[len(stem) :]))
+                fresh.update(split[-1][1:])
+            else:
+                fresh.add(word)
+        self._learn(list(fresh.difference(self.known)))
+        for word, stem, tail in split:
+            self.known[word] = self.known[stem] + self.known[tail]
+
+    def ids(self, texts: list[bytes | None]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit numbers."""
+        rows = [(t if any(m in t for m in MARKS) else t.lower()).split() if t else [] for t in texts]
+        if sum(map(len, rows)) > self.limit // 4 and len(rows) > 1:
+            half = len(rows) // 2
+            return self.ids(texts[:half]) + self.ids(texts[half:])
+        self._meet(set().union(*rows))
+        return [b"".join(map(self.known.__getitem__, row)) for row in rows]
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -190,11 +239,12 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
         words = word_ids(tokenizer)
         end = np.array([END_ID], IDS).tobytes()
         for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                packer.add(doc, words.ids(body.as_py()) + end)
-                if len(packer.out) > 65536:
-                    yield packer.take()
-            yield packer.take()
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                bodies = part.column(1).cast(pa.binary()).to_pylist()
+                for doc, ids in zip(part.column(0).to_pylist(), words.ids(bodies), strict=True):
+                    packer.add(doc, ids + end)
+                yield packer.take()
         packer.drain()
         yield packer.take()
 
