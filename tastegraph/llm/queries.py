@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, licenses, neardup, packing, pii, quality, shards, suffixes
+from tastegraph.llm import bitslice, decontaminate, licenses, neardup, packing, pii, pseudolik, quality, shards, suffixes
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -60,6 +60,14 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op8_pseudolik(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores are rounded: sums of floats differ in their last digits from run to run."""
+    found = pseudolik.pseudo_likelihood(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.round("log_likelihood", 3).alias("log_likelihood"), F.round("mean", 5).alias("mean_log_likelihood")
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -81,6 +89,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
     "op7_minhash": op7_minhash,
+    "op8_pseudolik": op8_pseudolik,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffixes": op10_suffixes,
 }
