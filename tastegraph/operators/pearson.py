@@ -5,9 +5,10 @@ The sums behind r come from a co-rating self-join. Three things keep it within b
 * A pair with one common key has r = 0 and no effect anywhere, so a pair needs two. Hence the pairs
   inside a key's group need not be formed when that key is the most popular one of *both* members:
   the pair is found through another key or it is not needed, and the skipped key's term is added
-  from two columns that travel with the row. A key that everybody has rated forms no pairs at all.
-* The remaining groups are joined in blocks of bounded size (``plans.pairing``).
-* Test-set consumers pass ``only`` so that pairs without a test id are never formed.
+  from two columns that travel with the row. A key that is everybody's most popular one forms no pairs.
+* Test-set consumers pass ``only``: a pair must hold a wanted id.
+* Rows are sorted into classes (in the tail or not, wanted or not) before pairing, and only classes that can form
+  a pair meet, in blocks of bounded size (``plans.pairing``). Rows without a partner are neither copied nor joined.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import correlation
+from tastegraph.plans.durable import durable
 from tastegraph.plans.lookup import lookup
-from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
+from tastegraph.plans.pairing import BLOCK_ROWS, pairs_across, pairs_within
 
 MAX_TAIL = 2
 
@@ -74,6 +76,32 @@ def _finish(sums: DataFrame, min_support: int, keep_zero: bool) -> DataFrame:
     return pairs if keep_zero else pairs.where(F.col("similarity") != 0)
 
 
+def _useful_pairs(rows: DataFrame, carry: list[str], tail: bool, only: bool, block_rows: int) -> DataFrame:
+    """Pairs under a key that are not both in the tail, and of which at least one is wanted."""
+    if not tail and not only:
+        return pairs_within(rows, ["key"], "id", carry, block_rows=block_rows, size="size")
+    in_tail = F.col("in_tail") if tail else F.lit(False)
+    wanted = F.col("wanted") if only else F.lit(True)
+    classes = {"rest": wanted & ~in_tail, "tail": wanted & in_tail, "unwanted": ~wanted & ~in_tail}
+    counts = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), *[F.sum(c.cast("long")).alias(f"n_{name}") for name, c in classes.items()]
+    )
+    counts = counts.withColumn("n_other", F.col("size") - F.col("n_rest")).where(
+        ((F.col("n_rest") > 0) & (F.col("size") > 1)) | ((F.col("n_unwanted") > 0) & (F.col("n_tail") > 0))
+    )
+    rows = durable(lookup(rows.drop("size"), counts, "key", "size"))
+    rest = rows.where(classes["rest"])
+    met = pairs_within(rest, ["key"], "id", carry, block_rows=block_rows, size="n_rest").unionByName(
+        pairs_across(rest, rows.where(~classes["rest"]), ["key"], "id", carry, ("n_rest", "n_other"), block_rows)
+    )
+    if tail and only:
+        unwanted, tails = rows.where(classes["unwanted"]), rows.where(classes["tail"])
+        met = met.unionByName(
+            pairs_across(unwanted, tails, ["key"], "id", carry, ("n_unwanted", "n_tail"), block_rows)
+        )
+    return met
+
+
 def pearson_pairs(
     ratings: DataFrame,
     by: str = "user",
@@ -107,16 +135,7 @@ def pearson_pairs(
         rows = rows.withColumn("in_tail", _in_tail(F.col("key"), tail))
     if only is not None:
         rows = rows.withColumn("wanted", F.coalesce("wanted", F.lit(False)))
-
-    def useful(left, right):
-        test = F.lit(True)
-        if tail:
-            test = test & ~(left("in_tail") & right("in_tail"))
-        if only is not None:
-            test = test & (left("wanted") | right("wanted"))
-        return test
-
-    met = pairs_within(rows, ["key"], "id", carry, keep=useful, block_rows=block_rows, size="size")
+    met = _useful_pairs(rows, carry, tail > 0, only is not None, block_rows)
     shared = []
     for n in range(tail):
         partner = F.lit(None).cast("double")

@@ -65,6 +65,12 @@ def pairs_within(
     met = met.where((F.col("_p") < F.col("_q")) | ordered)
     if keep is not None:
         met = met.where(keep(lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")))
+    return _named(met, keys, columns, member)
+
+
+def _named(met: DataFrame, keys: list[str], columns: list[str], member: str) -> DataFrame:
+    """Sides ``l_`` and ``r_`` as ``a_`` and ``b_``, the smaller member first."""
+    ordered = F.col(f"l_{member}") < F.col(f"r_{member}")
     return met.select(
         *keys,
         *[F.when(ordered, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias(f"a_{c}") for c in columns],
@@ -72,6 +78,38 @@ def pairs_within(
     )
 
 
+def pairs_across(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    member: str,
+    carry: list[str],
+    sizes: tuple[str, str],
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Pairs of a row of ``left`` with a row of ``right`` of the same key; no member is on both sides of a key.
+
+    ``sizes`` names two columns that both frames have: how many rows of the key are in ``left`` and in ``right``.
+    Rows whose key has none on the other side are left out before anything is copied, and a row is copied once
+    for each block of the other side only. The result is named as that of ``pairs_within``.
+    """
+    columns = [member, *[c for c in carry if c != member]]
+    on_left, on_right = sizes
+
+    def side(frame: DataFrame, prefix: str, mine: str, other: str, own: str, copied: str) -> DataFrame:
+        blocks = _blocks(F.col(other), block_rows)
+        return frame.where((F.col(mine) > 0) & (F.col(other) > 0)).select(
+            *keys,
+            *[F.col(c).alias(f"{prefix}_{c}") for c in columns],
+            F.pmod(F.xxhash64(F.col(member)), _blocks(F.col(mine), block_rows)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), blocks - 1)).alias(copied),
+        )
+
+    lefts = side(left, "l", on_left, on_right, "_p", "_q")
+    rights = side(right, "r", on_right, on_left, "_q", "_p")
+    return _named(lefts.join(rights, [*keys, "_p", "_q"]), keys, columns, member)
+
+
 def pairs_between(
     left: DataFrame, right: DataFrame, key: str, condition: Column, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:

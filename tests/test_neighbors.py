@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tastegraph.operators.evaluate import error_histogram, pair_quality, rating_quality, rmse, score
 from tastegraph.operators.knn import neighbor_lists, predict_item_knn, predict_user_knn
+from tastegraph.operators import pearson
 from tastegraph.operators.pearson import pearson_of, pearson_pairs
+from tastegraph.plans import pairing
 from tests.conftest import SCHEMA
 
 
@@ -203,3 +205,45 @@ def test_pearson_with_salted_lookups(spark, monkeypatch, by):
     triples = [(u, i, float(rng.randint(1, 5))) for u, i in cells]
     got = pearson_pairs(spark.createDataFrame(triples, SCHEMA), by, block_rows=7).collect()
     assert {(r.a, r.b): (r.n, round(r.similarity, 6)) for r in got} == brute_pearson(triples, by, 1)
+
+
+@pytest.mark.parametrize("support,keep_zero", [(1, False), (1, True), (3, False)])
+def test_pearson_only_with_hot_keys_matches_brute_force(spark, support, keep_zero):
+    rng = random.Random(12)
+    triples = [(u, 0, float(rng.randint(1, 5))) for u in range(40)]
+    triples += [(u, i, float(rng.randint(1, 5))) for u in range(40) for i in rng.sample(range(1, 12), 4)]
+    only = spark.createDataFrame([(u,) for u in (0, 3, 17, 99)], "user long")
+    got = pearson_pairs(
+        spark.createDataFrame(triples, SCHEMA), "user", support, only=only, keep_zero=keep_zero, block_rows=7
+    )
+    want = {p: v for p, v in brute_pearson(triples, "user", support, keep_zero).items() if {0, 3, 17} & set(p)}
+    assert {(r.a, r.b): (r.n, round(r.similarity, 6)) for r in got.collect()} == want
+
+
+def test_rows_without_a_useful_pair_are_not_joined(spark, monkeypatch):
+    joined = []
+
+    def counting(kind):
+        real = getattr(pairing, kind)
+
+        def run(*args, **kwargs):
+            frames = [a for a in args[:2] if hasattr(a, "columns")]
+            if kind == "pairs_across":
+                on_left, on_right = args[5]
+                frames = [f.where((F.col(on_left) > 0) & (F.col(on_right) > 0)) for f in frames]
+            joined.append(sum(f.count() for f in frames))
+            return real(*args, **kwargs)
+
+        monkeypatch.setattr(pearson, kind, run)
+
+    counting("pairs_within")
+    counting("pairs_across")
+    # everybody has rated item 0, which is everybody's most popular one
+    triples = [(u, i, float(1 + (u + i) % 5)) for u in range(300) for i in (0, 1 + u)]
+    assert pearson_pairs(spark.createDataFrame(triples, SCHEMA), "user").count() == 0
+    assert sum(joined) == 0
+    joined.clear()
+    only = spark.createDataFrame([(7,)], "user long")
+    assert pearson_pairs(spark.createDataFrame(triples, SCHEMA), "user", only=only, keep_zero=True).count() == 299
+    # the wanted row and those it meets, once each
+    assert sum(joined) <= 2 + 300
