@@ -27,7 +27,7 @@ LEAKY = """
 leaky AS (SELECT u, i, max(r) AS r FROM (SELECT * FROM ratings UNION ALL SELECT * FROM test) GROUP BY u, i)"""
 
 
-def pearson(name: str, source: str, by: str, support: int = 2, restrict: str = "TRUE") -> str:
+def pearson(name: str, source: str, by: str, support: int = 2, restrict: str = "TRUE", zero: bool = False) -> str:
     key = "i" if by == "u" else "u"
     vx, vy = "(sxx - sx * sx / n)", "(syy - sy * sy / n)"
     return f"""
@@ -41,7 +41,7 @@ def pearson(name: str, source: str, by: str, support: int = 2, restrict: str = "
   SELECT a, b, n, s FROM (
     SELECT a, b, n, CASE WHEN {vx} < 1e-12 OR {vy} < 1e-12 THEN 0
       ELSE (sxy - sx * sy / n) / sqrt({vx} * {vy}) END AS s FROM {name}_sums)
-  WHERE s <> 0),
+  WHERE s <> 0 OR {zero}),
 {name}_both AS (SELECT a AS id, b AS nb, s AS w FROM {name} UNION ALL SELECT b, a, s FROM {name})"""
 
 
@@ -70,11 +70,19 @@ predicted AS (
   FROM test q LEFT JOIN means m ON m.u = q.u LEFT JOIN votes v ON v.u = q.u AND v.i = q.i)"""
 
 
+def strongest(k: int) -> str:
+    return f"""
+w_top AS (SELECT id, nb, w FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(w) DESC, nb) AS k FROM w_both) WHERE k <= {k})"""
+
+
 def item_knn(weights: str, source: str = "train", k: int | None = None, how: str = "minmax") -> str:
     rank = f"WHERE k <= {k}" if k else ""
     scaled = (
         "least(5.0, greatest(1.0, p))"
         if how == "clamp"
+        else "p"
+        if how == "none"
         else """CASE WHEN (SELECT max(p) - min(p) FROM raw) > 0
     THEN (p - (SELECT min(p) FROM raw)) * 5.0 / (SELECT max(p) - min(p) FROM raw) ELSE p END"""
     )
@@ -302,6 +310,9 @@ FROM (SELECT count(DISTINCT u) AS users, count(DISTINCT i) AS items, count(*) AS
         "pearson_users_support3": with_(
             SPLIT, pearson("w", "ratings", "u", 3), select=f"SELECT a, b, n, {tidy('s')} AS similarity FROM w"
         ),
+        "pearson_users_all": with_(
+            SPLIT, pearson("w", "ratings", "u", 1, zero=True), select=f"SELECT a, b, n, {tidy('s')} AS similarity FROM w"
+        ),
         "topk_neighbors": with_(
             SPLIT,
             train_users,
@@ -313,6 +324,10 @@ WHERE k <= {q.NEIGHBORS}""",
         "user_knn_topk": with_(
             SPLIT, train_users, user_knn("w_both", k=3, cut=0.05, exclude=True), select=PREDICTED
         ),
+        "user_knn_global": with_(SPLIT, train_users, strongest(q.NEIGHBORS), user_knn("w_top"), select=PREDICTED),
+        "item_knn_global": with_(
+            SPLIT, train_items, strongest(q.NEIGHBORS), item_knn("w_top", how="none"), select=PREDICTED
+        ),
         "user_knn_leaky": with_(
             SPLIT, LEAKY, pearson("w", "leaky", "u"), user_knn("w_both", "leaky"), select=PREDICTED
         ),
@@ -357,6 +372,11 @@ FROM range(5) r(k) LEFT JOIN scored ON least(floor(e), 4)::BIGINT = k GROUP BY k
             *ratings_hash,
             select="SELECT id, string_agg(h::VARCHAR, ' ' ORDER BY n) AS signature FROM mh GROUP BY id",
         ),
+        "minhash_rows_without_modulus": with_(
+            SPLIT, sets("i", "u", "ratings"), hash_values(165),
+            select="""SELECT id, n, min((a * x + b) % (SELECT count(DISTINCT u) FROM ratings)) AS h
+FROM el, p GROUP BY id, n""",
+        ),
         "lsh_candidates": with_(WORDS, hash_values(165), minhash(5, LARGE_PRIME), select="SELECT a, b FROM cand"),
         "lsh_candidates_small_prime": with_(
             WORDS, hash_values(165), minhash(5, SMALL_PRIME), select="SELECT a, b FROM cand"
@@ -402,12 +422,21 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
             select=f"""SELECT u AS "user", i AS item,
   {tidy("least(5.0, greatest(1.0, p))", 3)} AS prediction FROM state{IMPUTE_PASSES}""",
         ),
+        "als_scored_pairs": with_(
+            SPLIT,
+            select="""SELECT u AS "user", i AS item FROM test
+WHERE u IN (SELECT u FROM train) AND i IN (SELECT i FROM train)""",
+        ),
+        "als_range": "SELECT 1.0::DOUBLE AS low, 5.0::DOUBLE AS high",
         "als_dropped": with_(
             SPLIT,
             select="""SELECT u AS "user", i AS item FROM test
 WHERE u NOT IN (SELECT u FROM train) OR i NOT IN (SELECT i FROM train)""",
         ),
         "ratings_csv_roundtrip": with_(SPLIT, select=triple + "ratings"),
+        "interactions_roundtrip": with_(SPLIT, select='SELECT u AS "user", i AS item FROM ratings'),
+        "predictions_csv_roundtrip": with_(*user_plain, select=PREDICTED),
+        "pairs_csv_similarity": with_(WORDS, direct("jaccard", 0.5), select=EXACT),
         "text_interactions_roundtrip": with_(
             SPLIT, select='SELECT u::VARCHAR AS "user", i::VARCHAR AS item FROM ratings'
         ),

@@ -117,6 +117,11 @@ def pearson_users_support3(spark, sf_dir):
     return _tidy(pearson.pearson_pairs(_written(inputs.ratings, spark, sf_dir), "user", min_support=3), "similarity")
 
 
+def pearson_users_all(spark, sf_dir):
+    """With pairs of similarity 0, also those of one common item."""
+    return _tidy(pearson.pearson_pairs(_written(inputs.ratings, spark, sf_dir), "user", keep_zero=True), "similarity")
+
+
 def topk_neighbors(spark, sf_dir):
     return _tidy(knn.neighbor_lists(_written(_train, spark, sf_dir), "user", NEIGHBORS), "weight")
 
@@ -133,6 +138,16 @@ def user_knn_topk(spark, sf_dir):
     return _predicted(knn.predict_user_knn(*_split(spark, sf_dir), k=3, cut=0.05, exclude_target_from_mean=True))
 
 
+def user_knn_global(spark, sf_dir):
+    """The strongest neighbours of the user, of which only some rated the target."""
+    return _predicted(knn.predict_user_knn(*_split(spark, sf_dir), k=NEIGHBORS, neighborhood="global"))
+
+
+def item_knn_global(spark, sf_dir):
+    found = knn.predict_item_knn(*_split(spark, sf_dir), k=NEIGHBORS, neighborhood="global", rescale=None)
+    return _predicted(found)
+
+
 def user_knn_leaky(spark, sf_dir):
     return _predicted(knn.predict_user_knn(*_split(spark, sf_dir), leaky=True))
 
@@ -204,6 +219,12 @@ def minhash_signatures(spark, sf_dir):
     return listed.select("id", F.array_join(F.col("signature").cast("array<string>"), " ").alias("signature"))
 
 
+def minhash_rows_without_modulus(spark, sf_dir):
+    everything = _written(inputs.ratings, spark, sf_dir)
+    users = prep.distinct_count(everything, "user")
+    return lsh.signature_rows(lsh.minhash_bands(prep.interactions(everything), prime=None, universe=users, code=None))
+
+
 def lsh_candidates(spark, sf_dir):
     return lsh.minhash_candidates(inputs.words(spark, sf_dir), "doc_id", "word")
 
@@ -292,6 +313,17 @@ def als_rescaled(spark, sf_dir):
     return _predicted(factors.predict_als(*_split(spark, sf_dir)))
 
 
+def als_scored_pairs(spark, sf_dir):
+    """The test pairs that get a prediction."""
+    return factors.predict_als(*_split(spark, sf_dir), rescale=None).select("user", "item")
+
+
+def als_range(spark, sf_dir):
+    """The ends of the rescaled predictions."""
+    found = factors.predict_als(*_split(spark, sf_dir))
+    return found.agg(F.round(F.min("prediction"), 6).alias("low"), F.round(F.max("prediction"), 6).alias("high"))
+
+
 def als_dropped(spark, sf_dir):
     everything, test = _split(spark, sf_dir)
     return factors.dropped_pairs(factors.predict_als(everything, test, rescale=None), test)
@@ -314,6 +346,24 @@ def text_interactions_roundtrip(spark, sf_dir):
     return readers.read_interactions(spark, path, text_ids=True)
 
 
+def interactions_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "interactions")
+    inputs.ratings(spark, sf_dir).select("user", "item", "rating").write.csv(path, header=True)
+    return readers.read_interactions(spark, path)
+
+
+def predictions_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "predictions")
+    writers.write_predictions(user_knn(spark, sf_dir), path)
+    return spark.read.schema("user long, item long, prediction double").csv(path)
+
+
+def pairs_csv_similarity(spark, sf_dir):
+    path = scratch_path(spark, "pairs")
+    writers.write_pairs(setjoin.jaccard_join(inputs.words(spark, sf_dir), "doc_id", "word"), path)
+    return _tidy(spark.read.schema("a long, b long, similarity double").csv(path), "similarity")
+
+
 def pairs_sink_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "pairs")
     pairs = setjoin.jaccard_join(inputs.words(spark, sf_dir), "doc_id", "word")
@@ -352,15 +402,16 @@ QUERIES = {
     for f in (
         ratings_dedup, holdout_train, holdout_triple, train_test_union, user_means, mean_centered, presence_flags,
         user_degrees, item_degrees, density_gamma, user_rating_lists, item_rating_maps,
-        pearson_users, pearson_items, pearson_users_support3, topk_neighbors,
-        user_knn, user_knn_topk, user_knn_leaky, item_knn, item_knn_leaky, item_knn_clamped,
+        pearson_users, pearson_items, pearson_users_support3, pearson_users_all, topk_neighbors,
+        user_knn, user_knn_topk, user_knn_leaky, user_knn_global, item_knn_global, item_knn, item_knn_leaky, item_knn_clamped,
         user_knn_candidates, item_knn_candidates,
         user_knn_scored, user_knn_error_hist, user_knn_rmse, item_knn_quality,
-        minhash_signature_rows, minhash_signatures, lsh_candidates, lsh_candidates_small_prime,
+        minhash_signature_rows, minhash_signatures, minhash_rows_without_modulus, lsh_candidates, lsh_candidates_small_prime,
         jaccard_lsh_join, jaccard_exact, lsh_pair_quality,
         cosine_sets, cosine_words, cosine_lsh_sets, cosine_vectors, cosine_vector_quality,
-        iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped,
-        ratings_csv_roundtrip, text_interactions_roundtrip, pairs_sink_roundtrip, predictions_sink_roundtrip,
+        iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped, als_scored_pairs, als_range,
+        ratings_csv_roundtrip, text_interactions_roundtrip, interactions_roundtrip, predictions_csv_roundtrip,
+        pairs_csv_similarity, pairs_sink_roundtrip, predictions_sink_roundtrip,
         count_not_matching, count_per_group, mean_per_group,
     )
 }

@@ -18,11 +18,12 @@ def score(predictions: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def error_histogram(scored: DataFrame) -> DataFrame:
-    """``(bucket, n)`` for absolute errors in [0,1) … [3,4) and ≥ 4; empty buckets show 0."""
+    """``(bucket, n)`` in order of the bucket, for absolute errors in [0,1) … [3,4) and ≥ 4; empty buckets show 0."""
     bucket = F.least(F.floor("abs_error"), F.lit(LAST_BUCKET)).cast("long")
     counted = scored.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     every = scored.sparkSession.range(LAST_BUCKET + 1).withColumnRenamed("id", "bucket")
-    return every.join(counted, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    rows = every.join(counted, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return rows.orderBy("bucket")
 
 
 def rmse(scored: DataFrame) -> DataFrame:

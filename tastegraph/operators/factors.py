@@ -12,10 +12,11 @@ from tastegraph.plans.durable import checkpoint_ready, durable
 
 
 def fit_als(
-    train: DataFrame, rank: int = 3, max_iter: int = 17, reg: float = 1.6, seed: int = 42, blocks: int = 10
+    train: DataFrame, rank: int = 3, max_iter: int = 17, reg: float = 1.6, seed: int = 42, blocks: int | None = None
 ) -> ALSModel:
-    """``blocks`` is the number of user and item blocks; raise it with the cluster. ALS takes ids in
-    the 32-bit range."""
+    """``blocks`` is the number of user and item blocks, by default one for each core of the cluster. ALS takes ids
+    in the 32-bit range."""
+    blocks = blocks or train.sparkSession.sparkContext.defaultParallelism
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item", ratingCol="rating",
         numUserBlocks=blocks, numItemBlocks=blocks, coldStartStrategy="drop", nonnegative=False,
@@ -30,7 +31,7 @@ def predict_als(
     max_iter: int = 17,
     reg: float = 1.6,
     seed: int = 42,
-    blocks: int = 10,
+    blocks: int | None = None,
     on: str = "pair",
     rescale: str | None = "minmax",
 ) -> DataFrame:

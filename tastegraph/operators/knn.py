@@ -37,12 +37,22 @@ def _training(ratings: DataFrame, test: DataFrame, leaky: bool) -> DataFrame:
     return durable(dedup(with_test(ratings, test)) if leaky else holdout(ratings, test))
 
 
-def _weights(train, pairs, by, min_support, candidates, block_rows):
-    """Both directions of the weighted pairs, written once: both ways to the votes read them."""
+def _weights(train, pairs, by, min_support, candidates, block_rows, k=None):
+    """Both directions of the weighted pairs, written once: both ways to the votes read them. With ``k`` only the
+    strongest of each id, whatever they rated."""
     if candidates is not None:
-        return durable(mirrored(pearson_of(candidates, train, by, min_support)))
-    only = pairs.select(by).distinct()
-    return durable(mirrored(pearson_pairs(train, by, min_support, only=only, block_rows=block_rows)))
+        found = mirrored(pearson_of(candidates, train, by, min_support))
+    else:
+        only = pairs.select(by).distinct()
+        found = mirrored(pearson_pairs(train, by, min_support, only=only, block_rows=block_rows))
+    return durable(top_neighbors(found, k, ["id"]).select("id", "neighbor", "weight"))
+
+
+def _reach(neighborhood: str, k: int | None) -> tuple[int | None, int | None]:
+    """How many neighbours to keep per id, and how many per test pair."""
+    if neighborhood not in ("target", "global"):
+        raise ValueError(f"unknown neighborhood {neighborhood!r}")
+    return (k, None) if neighborhood == "global" else (None, k)
 
 
 def predict_user_knn(
@@ -57,16 +67,19 @@ def predict_user_knn(
     rescale: str | None = "clamp",
     default: float = 3.0,
     block_rows: int = BLOCK_ROWS,
+    neighborhood: str = "target",
 ) -> DataFrame:
     """``(user, item, prediction)``: μ_u + Σ w·(r_vi − μ_v) / Σ|w| over the neighbours that rated i.
 
     ``ratings`` and ``test`` hold one row per (user, item); test pairs are removed from the training
-    side unless ``leaky``. ``candidates`` restricts the neighbours to given pairs ``(a, b)``.
+    side unless ``leaky``. ``candidates`` restricts the neighbours to given pairs ``(a, b)``. ``k`` keeps the
+    strongest neighbours among those that rated the target, or, with ``neighborhood="global"``, of the user at all.
     """
+    everywhere, k = _reach(neighborhood, k)
     train = _training(ratings, test, leaky)
     pairs = durable(test.select(*PAIR))
     stats = durable(means(train))
-    weights = _weights(train, pairs, "user", min_support, candidates, block_rows)
+    weights = _weights(train, pairs, "user", min_support, candidates, block_rows, everywhere)
     mean_v = F.col("mean")
     if exclude_target_from_mean:
         mean_v = ratio_or(F.col("total") - F.col("rating"), F.col("n") - F.lit(1), F.col("rating"))
@@ -101,11 +114,13 @@ def predict_item_knn(
     high: float = 5.0,
     default: float = 3.0,
     block_rows: int = BLOCK_ROWS,
+    neighborhood: str = "target",
 ) -> DataFrame:
     """``(user, item, prediction)``: Σ w·r_uj / Σ|w| over the neighbour items j that u rated."""
+    everywhere, k = _reach(neighborhood, k)
     train = _training(ratings, test, leaky)
     pairs = durable(test.select(*PAIR))
-    weights = _weights(train, pairs, "item", min_support, candidates, block_rows)
+    weights = _weights(train, pairs, "item", min_support, candidates, block_rows, everywhere)
     voters = neighbor_votes(pairs, weights, train.withColumnRenamed("rating", "value"), "item")
     votes = (
         top_neighbors(voters, k, PAIR, cut)

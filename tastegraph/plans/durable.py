@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
+# Paths handed out, for ``scratch``.
+_paths: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +30,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what the operators called inside have written to the shared folder.
+
+    Results must have been written or collected inside, since they are read from those tables.
+    """
+    before = len(_paths)
+    try:
+        yield
+    finally:
+        mine, _paths[before:] = _paths[before:], []
+        for path in mine:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -34,7 +56,7 @@ def durable(df: DataFrame) -> DataFrame:
 
     For frames that several branches of a plan read: each branch would otherwise run its source
     again. The plan ends here, a lost executor costs a re-read, and the file sizes give the optimizer
-    true statistics, so that it broadcasts only what is small. The session owner empties the folder.
+    true statistics, so that it broadcasts only what is small. ``scratch`` deletes the tables of a block of calls.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)

@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import random
 
 import pytest
@@ -10,7 +11,7 @@ from tastegraph.operators import lsh, setjoin
 from tastegraph.operators.evaluate import pair_quality
 from tastegraph.operators.ratings import distinct_count, interactions
 from tastegraph.operators.setjoin import cosine_join, jaccard_join
-from tastegraph.plans import copies
+from tastegraph.plans import copies, durable
 from tastegraph.plans.pairing import pairs_between, pairs_within
 
 
@@ -201,3 +202,14 @@ def test_null_elements_and_unusable_vectors(spark):
     vectors = spark.createDataFrame(rows, "id long, v array<double>")
     assert set(scores(lsh.cosine_join_vectors(vectors, "id", "v", 2, 0.5, rows=2))) == {(7, 8)}
     assert lsh.cosine_join_vectors(vectors.limit(0), "id", "v", 2, 0.5).count() == 0
+
+
+def test_scratch_deletes_what_was_written_inside(spark):
+    with durable.scratch(spark):
+        outer = durable.durable(spark.range(3))
+        with durable.scratch(spark):
+            inner = durable.durable(spark.range(5))
+            path = durable._paths[-1]
+            assert inner.count() == 5 and os.path.isdir(path.removeprefix("file:"))
+        assert not os.path.isdir(path.removeprefix("file:"))
+        assert outer.count() == 3
