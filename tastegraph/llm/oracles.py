@@ -30,13 +30,13 @@ FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 
 BITSLICE = """
 WITH q AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 scored AS (
     SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-        CAST(list_sum(list_transform(list_zip(a.v, b.v), p -> p[1] * p[2])) AS BIGINT) AS score
+        CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 ranked AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
@@ -44,4 +44,22 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op3_bitslice": BITSLICE, "op9_decontaminate": DECONTAMINATE}
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (
+    SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM word),
+element AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingle),
+pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM element a JOIN element b ON a.x = b.x AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT link.b, reach.other FROM reach JOIN link ON link.a = reach.doc_id),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM shingle JOIN least USING (doc_id)
+"""
+
+ORACLES = {"op3_bitslice": BITSLICE, "op7_minhash": NEAR_DUPLICATES, "op9_decontaminate": DECONTAMINATE}

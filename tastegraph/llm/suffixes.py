@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastegraph.llm.wordhash import _RANDOM, BASE, _powers_to, in_chunks, mix
+from tastegraph.llm.wordhash import BASE, RANDOM, in_chunks, mix, powers_to
 from tastegraph.plans.durable import durable
 
 LENGTH = 100
@@ -87,9 +87,9 @@ class Anchored:
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.cumsum(sizes) - sizes
-        up, self.down = _powers_to(len(self.data) + 1)
+        up, self.down = powers_to(len(self.data) + 1)
         self.up = up
-        steps = np.cumsum(_RANDOM[self.data] * up[: len(self.data)], dtype=np.uint64)
+        steps = np.cumsum(RANDOM[self.data] * up[: len(self.data)], dtype=np.uint64)
         self.sums = np.concatenate((np.zeros(1, np.uint64), steps))
         parts = [self._part(s, min(s + SEGMENT, len(self.data)), sizes, gram) for s in range(0, len(self.data), SEGMENT)]
         whole = np.concatenate(parts, 1) if parts else np.zeros((3, 0), np.int64)
@@ -166,10 +166,9 @@ def anchor_blocks(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         count = np.zeros(len(hashes), np.uint32)
         count[where] = np.minimum(counts, 1 << 31)
         rows = []
-        bucket = bucket_of(hashes, buckets)
-        for b in np.unique(bucket[first]).tolist():
-            own = np.flatnonzero(first & (bucket == b)) if buckets < 4 else None
-            own = own if own is not None else np.flatnonzero(first)[bucket[first] == b]
+        bucket, firsts = bucket_of(hashes, buckets), np.flatnonzero(first)
+        for b in np.unique(bucket[firsts]).tolist():
+            own = firsts[bucket[firsts] == b]
             rows.append((b, False, *(x[own].tobytes() for x in (hashes, count, ids, at))))
         if not first.all():
             rows.append((number % buckets, True, None, None, ids[~first].tobytes(), at[~first].tobytes()))
@@ -273,7 +272,6 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, bytes, int]]:
         size *= 2
     over: list[Run | None] = [*runs, *[None] * (size - len(runs))]
     shares = [0] * size
-    losers = [-1] * size
 
     def play(a: int, b: int) -> tuple[int, int]:
         """Winner and loser; the loser's share becomes what it shares with the winner."""
@@ -291,10 +289,9 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, bytes, int]]:
         shares[b] = n
         return a, b
 
-    winners = list(range(size, 2 * size))
-    level = list(range(size))
-    node = size
-    tree = {}
+    level, node = list(range(size)), size
+    # loser at each inner node; node n has the children 2n and 2n + 1, run r is the leaf size + r
+    tree: dict[int, int] = {}
     while len(level) > 1:
         node //= 2
         following = []
@@ -303,7 +300,6 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, bytes, int]]:
             tree[node + n // 2] = loser
             following.append(winner)
         level = following
-    del winners, losers
     champion = level[0]
     while (run := over[champion]) is not None:
         yield champion, run.at, run.text, shares[champion]
@@ -329,7 +325,7 @@ def equal_windows(shared: np.ndarray, left: np.ndarray, low: np.ndarray, high: n
     lefts = np.zeros(len(shared), np.uint64)
     for d in range(left.shape[1] + 1):
         if d:
-            lefts = lefts * BASE + _RANDOM[left[:, d - 1]]
+            lefts = lefts * BASE + RANDOM[left[:, d - 1]]
         own = np.flatnonzero((low <= d) & (high >= d))
         if len(own) < 2:
             continue

@@ -16,7 +16,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xD6E8FEB86659FD93)
 CHUNK_BYTES = 1 << 20
 
-_RANDOM = np.random.default_rng(20260).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+RANDOM = np.random.default_rng(20260).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -28,7 +28,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _powers_to(size: int) -> list[np.ndarray]:
+def powers_to(size: int) -> list[np.ndarray]:
     if len(_powers[0]) < size:
         for n, base in enumerate((BASE, _INVERSE)):
             steps = np.full(size, base, np.uint64)
@@ -52,8 +52,8 @@ class Words:
         before = np.concatenate(([True], gap[:-1])) if len(gap) else gap
         first = np.flatnonzero(before & ~gap)
         last = np.flatnonzero(gap & ~before)
-        up, down = _powers_to(len(data) + 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_RANDOM[lower[data]] * up[: len(data)], dtype=np.uint64)))
+        up, down = powers_to(len(data) + 1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(RANDOM[lower[data]] * up[: len(data)], dtype=np.uint64)))
         self.first, self.last, self.sums, self.down = first, last, sums, down
         self.hashes = mix((sums[last] - sums[first]) * down[first])
         self.starts = np.searchsorted(first, np.concatenate(([0], np.cumsum(lengths))))
