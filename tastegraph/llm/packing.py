@@ -29,9 +29,9 @@ from pyspark.sql import types as T
 
 WINDOW = 4096
 END_ID = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 # texts that are cut into words at once
-TEXTS = 128
+TEXTS = 256
 OPEN_WINDOWS = 4096
 
 PIECES = (
@@ -67,7 +67,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = words
+        # words met since the cache was last full, and those met in the time before
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.fence = self.tokenizer.encode(FENCE.decode(), add_special_tokens=False).ids
         suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
@@ -104,8 +106,12 @@ class WordIds:
         """Make all of these words known."""
         missing = words.difference(self.known)
         if len(missing) + len(self.known) > self.limit:
-            self.known.clear()
+            self.known, self.older = {}, self.known
             missing = words
+        if self.older:
+            again = {word: self.older[word] for word in missing if word in self.older}
+            self.known.update(again)
+            missing = missing.difference(again)
         split, fresh = [], set()
         for word in missing:
             stem = word.rstrip(b".,")
