@@ -34,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = durable(large.where(F.col("u") != F.col("v")).distinct())
+        large = large.where(F.col("u") != F.col("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
         links = durable(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())

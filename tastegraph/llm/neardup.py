@@ -9,10 +9,11 @@ so that a pair of similarity 0.8 lies beyond it with probability 6e-5, one of 0.
 confirmed on the full sets.
 
 * Equal sets are joined once, through the smallest id that has the set.
-* Pairs inside a bucket are not emitted. Its members meet one pivot (the smallest id), then, in later rounds, 2, 4,
-  8 ... further ones, but only members that are still in another component than the pivot; a bucket ends when all
-  members that have not been a pivot are connected. So a group of n near copies costs about n comparisons a round,
-  and no link between different components is lost.
+* Pairs inside a bucket are not emitted. Its members meet one pivot (the smallest id), then, in later rounds, 8, 64, 512
+  ... further ones, but only members that are still in another component than the pivot, of a size and a bitmap that fit, and
+  near it by a sketch; a pair that shares several keys of a chunk meets under one of them. A bucket ends when all members that
+  have not been a pivot are connected. So a group of n near copies costs about n comparisons a round, and no link
+  between different components is lost.
 * The sets of documents that share a bucket, and only those, are hashed a second time for the confirmation.
 
 Edge cases: a null or empty text, or one of blanks, has an empty set and links to nothing; a text shorter than a
@@ -24,10 +25,11 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +41,25 @@ SYMBOLS = 36
 CHUNKS = 6
 MOST_ERRORS = 17
 PERCENT = 80
-# Ids of up to this size are broadcast, 8 bytes each.
-BROADCAST_IDS = 2_000_000
-
-_constants = np.random.default_rng(711).integers(0, 1 << 63, (2, SYMBOLS), dtype=np.uint64)
+# Tables of up to so many ids, at most 128 bytes each, are broadcast.
+BROADCAST_IDS = 100_000
+# Pivots of a bucket in a round, as a multiple of those in the round before.
+GROWTH = 8
+# A sketch has three bits each of ``TRAITS`` minima (the signature's and further ones), twenty to a number. The masks select
+# the low two bits and the high bit of each. Of two sets of similarity 0.8 more than ``MOST_APART`` differ with
+# probability 1e-6.
+TRAITS, MOST_APART = 120, 42
+PARTS = TRAITS // 20
+LOW_BITS = sum(3 << (3 * n) for n in range(20))
+HIGH_BITS = sum(4 << (3 * n) for n in range(20))
+MARK_BITS = 30
+SKETCH = [f"s{n}" for n in range(PARTS)]
+# A bitmap has a bit for each of 64 * MAPS remainders of the set's hashes: whether an odd number of them has it. Two bitmaps
+# differ in at most as many bits as the sets in elements, so a pair with too many different bits is not similar.
+MAPS = 8
+BITMAP = [f"b{n}" for n in range(MAPS)]
+
+_constants = np.random.default_rng(711).integers(0, 1 << 63, (2, TRAITS), dtype=np.uint64)
 FACTORS, SHIFTS = _constants[0] | np.uint64(1), _constants[1]
 
 SIGNED = (
@@ -53,10 +70,12 @@ SIGNED = (
     .add("f2", T.LongType())
     .add("signature", T.BinaryType())
 )
-KEYED = T.StructType().add("key", T.LongType()).add("id", T.LongType()).add("n", T.LongType())
-SETS = (
-    T.StructType().add("id", T.LongType()).add("n", T.LongType()).add("signature", T.BinaryType()).add("hashes", T.BinaryType())
+for _name in (*SKETCH, *BITMAP):
+    SIGNED.add(_name, T.LongType())
+KEYED = (
+    T.StructType().add("key", T.LongType()).add("id", T.LongType()).add("n", T.LongType()).add("out", T.LongType())
 )
+SETS = T.StructType().add("id", T.LongType()).add("hashes", T.BinaryType())
 
 
 def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,10 +83,10 @@ def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), sizes
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of 16-bit symbols per set; zeros for an empty one."""
+def traits(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of 16-bit minima per set; zeros for an empty one."""
     flat, sizes = _flat(sets)
-    out = np.zeros((len(sets), SYMBOLS), np.uint16)
+    out = np.zeros((len(sets), TRAITS), np.uint16)
     filled = np.flatnonzero(sizes)
     if len(filled):
         starts = (np.cumsum(sizes) - sizes)[filled]
@@ -88,92 +107,145 @@ def prints(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack(out, 1) if len(sets) else np.zeros((0, 2), np.int64)
 
 
-def chunk_keys(signature: np.ndarray, errors: int = MOST_ERRORS, chunks: int = CHUNKS) -> np.ndarray:
-    """For rows of symbols, all keys of all chunks with up to ``errors // chunks`` symbols left out."""
+def chunk_keys(signature: np.ndarray, errors: int = MOST_ERRORS, chunks: int = CHUNKS) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of symbols, all keys of all chunks with ``errors // chunks`` symbols left out, and what was left out.
+
+    A pair that agrees in more symbols of a chunk than a key holds shares several keys of it; the one that counts leaves
+    out the last agreeing symbols. Whether a left-out symbol lies behind all kept ones is marked in its lowest bit, so a
+    pair sees at each key whether it is the one: see ``first_key``.
+    """
     width, left_out = SYMBOLS // chunks, errors // chunks
-    out = []
+    assert left_out == 2
+    keys, outs = [], []
+    wide = signature.astype(np.int64)
     for chunk in range(chunks):
-        for kept in itertools.combinations(range(chunk * width, (chunk + 1) * width), width - left_out):
+        place = range(chunk * width, (chunk + 1) * width)
+        for kept in itertools.combinations(place, width - left_out):
             h = np.full(len(signature), hash(kept) & 0x7FFFFFFF, np.uint64)
             for symbol in kept:
                 h = mix(h + signature[:, symbol].astype(np.uint64))
-            out.append(h.view(np.int64))
-    return np.stack(out, 1)
+            keys.append(h.view(np.int64))
+            one, two = (wide[:, n] * 2 + (n > kept[-1]) for n in place if n not in kept)
+            outs.append(one << 20 | two)
+    return np.stack(keys, 1), np.stack(outs, 1)
+
+
+def first_key(left: str, right: str) -> Column:
+    """Whether a pair's key is the one of its chunk that counts: each left-out symbol differs or lies behind all kept ones."""
+    apart = F.col(left).bitwiseXOR(F.col(right))
+    fine = []
+    for at in (0, 20):
+        same = F.shiftright(apart, at).bitwiseAND(F.lit(0xFFFFF)) == 0
+        behind = F.shiftright(F.col(left), at).bitwiseAND(F.lit(1)) == 1
+        fine.append(~same | behind)
+    return fine[0] & fine[1]
+
+
+def sketches(minima: np.ndarray) -> np.ndarray:
+    """``PARTS`` numbers for each row of minima."""
+    bits = (minima & np.uint16(7)).astype(np.int64).reshape(len(minima), PARTS, -1)
+    return (bits << (3 * np.arange(bits.shape[2]))).sum(axis=2)
+
+
+def traits_apart(left: list[str], right: list[str]) -> Column:
+    """How many minima differ according to two sketches; equal ones never count."""
+    total = F.lit(0)
+    for a, b in zip(left, right, strict=True):
+        x = F.col(a).bitwiseXOR(F.col(b))
+        carried = (x.bitwiseAND(F.lit(LOW_BITS)) + F.lit(LOW_BITS)).bitwiseOR(x)
+        total = total + F.bit_count(carried.bitwiseAND(F.lit(HIGH_BITS)))
+    return total
+
+
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """``MAPS`` numbers for each set."""
+    flat, sizes = _flat(sets)
+    bits = 64 * MAPS
+    place = np.repeat(np.arange(len(sets)), sizes) * bits + (mix(flat) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(sets) * bits) & 1).astype(np.uint8).reshape(len(sets), bits)
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+
+
+def sizes_and_bits_allow(n: str, m: str, left: list[str], right: list[str], percent: int) -> Column:
+    """Whether the sizes and the bitmaps leave room for the similarity."""
+    n, m = F.shiftright(F.col(n), MARK_BITS), F.shiftright(F.col(m), MARK_BITS)
+    fits = F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
+    apart = F.lit(0)
+    for a, b in zip(left, right, strict=True):
+        apart = apart + F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+    return fits & (apart * F.lit(100 + percent) <= (n + m) * F.lit(100 - percent))
 
 
 def binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Ids and texts of rows ``(id, text)``, few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            part, at = batch.slice(start, rows), 0
+            for chunk in in_chunks(part.column(1).cast(pa.binary()).to_pylist()):
+                yield part.column(0).slice(at, len(chunk)), chunk
+                at += len(chunk)
+
+
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, n, f1, f2, signature)`` of rows ``(doc_id, text)``."""
+    """``(doc_id, n, f1, f2, signature, s0 ...)`` of rows ``(doc_id, text)``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, texts = 0, batch.column(1).cast(pa.binary()).to_pylist()
-            for chunk in in_chunks(texts):
-                sets = list(shingle_sets(chunk, words))
-                marks = prints(sets)
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1])]
-                ids = batch.column(0).slice(at, len(chunk))
-                at += len(chunk)
-                yield pa.RecordBatch.from_arrays([ids, *columns, binary(signatures(sets))], names=SIGNED.names)
+        for ids, chunk in _chunks(batches):
+            sets = list(shingle_sets(chunk, words))
+            marks, minima = prints(sets), traits(sets)
+            columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1])]
+            parts = [pa.array(part) for rows in (sketches(minima), bitmaps(sets)) for part in np.ascontiguousarray(rows.T)]
+            yield pa.RecordBatch.from_arrays([ids, *columns, binary(minima[:, :SYMBOLS]), *parts], names=SIGNED.names)
 
     return docs.mapInArrow(rows, SIGNED)
 
 
 def keyed(heads: DataFrame) -> DataFrame:
-    """``(key, id, n)``: the keys of each signature."""
+    """``(key, id, n, out)``: the keys of each signature."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 symbols = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-                keys = chunk_keys(symbols)
+                keys, out = chunk_keys(symbols)
                 ids, n = (np.repeat(part.column(c).to_numpy(), keys.shape[1]) for c in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids), pa.array(n)], names=KEYED.names)
+                arrays = [pa.array(x) for x in (keys.ravel(), ids, n, out.ravel())]
+                yield pa.RecordBatch.from_arrays(arrays, names=KEYED.names)
 
     return heads.select("id", "n", "signature").mapInArrow(rows, KEYED)
 
 
 def hashed_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(id, n, signature, hashes)`` of rows ``(doc_id, text)``."""
+    """``(id, hashes)`` of rows ``(doc_id, text)``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, texts = 0, batch.column(1).cast(pa.binary()).to_pylist()
-            for chunk in in_chunks(texts):
-                sets = list(shingle_sets(chunk, words))
-                n = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(chunk)), n, binary(signatures(sets)), binary(sets)], names=SETS.names
-                )
-                at += len(chunk)
+        for ids, chunk in _chunks(batches):
+            sets = shingle_sets(chunk, words)
+            yield pa.RecordBatch.from_arrays([ids, binary(sets)], names=SETS.names)
 
     return docs.mapInArrow(rows, SETS)
 
 
-def confirmed(pairs: DataFrame, percent: int, errors: int) -> DataFrame:
-    """The pairs ``(a, b, sa, sb, ha, hb)`` within the signature distance whose sets are similar, as ``(a, b)``."""
+def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``(a, b, ca, cb, ha, hb)`` whose sets are similar, without the sets."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for at, (sa, sb, ha, hb) in enumerate(zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)):
-                apart = np.frombuffer(sa, np.uint16) != np.frombuffer(sb, np.uint16)
-                if int(apart.sum()) <= errors:
-                    a, b = np.frombuffer(ha, np.uint64), np.frombuffer(hb, np.uint64)
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    if 100 * shared >= percent * (len(a) + len(b) - shared):
-                        keep.append(at)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], names=["a", "b"])
+            for at in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(c)[at].as_buffer(), np.uint64) for c in (4, 5))
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    keep.append(at)
+            chosen = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(chosen) for c in range(4)], names=["a", "b", "ca", "cb"])
 
-    return pairs.mapInArrow(rows, "a long, b long")
-
-
-def _near(n: str, m: str, percent: int):
-    return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
+    return pairs.mapInArrow(rows, "a long, b long, ca long, cb long")
 
 
 def _by_id(rows: DataFrame, ids: DataFrame, key: str, count: int) -> DataFrame:
@@ -185,37 +257,54 @@ def set_links(heads: DataFrame, docs: DataFrame, words: int, percent: int = PERC
     spark = docs.sparkSession
     # A set of fewer than four has no other one at 0.8 of the union; in general one element more or less decides.
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
-    keys = keyed(heads.where(F.col("n") >= least))
-    counts = durable(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("key"))
-    total = counts.count()
-    active = durable(_by_id(keys, counts, "key", total).select("key", "id", "n", F.col("id").alias("comp")))
+    # an id can have several sets: the size travels with bits of the fingerprint, which tell them apart
+    mark = F.shiftleft("n", MARK_BITS) + F.col("f1").bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+    heads = heads.where(F.col("n") >= least).withColumn("n", mark)
+    keys, traits_of = keyed(heads), [*SKETCH, *BITMAP]
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("key")
+    marks = heads.select("id", "n", *traits_of)
+    marks = F.broadcast(marks) if heads.count() <= BROADCAST_IDS else marks
+    active = durable(
+        keys.join(shared, "key", "left_semi").join(marks, ["id", "n"]).select(*KEYED.names, *traits_of, F.col("id").alias("comp"))
+    )
     ids = durable(active.select(F.col("id").alias("doc_id")).distinct())
     sets = durable(hashed_sets(_by_id(docs, ids, "doc_id", ids.count()), words))
-    left = sets.select(F.col("id").alias("a"), F.col("signature").alias("sa"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("id").alias("b"), F.col("signature").alias("sb"), F.col("hashes").alias("hb"))
-    links = spark.createDataFrame([], "a long, b long")
+    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
+    found = [spark.createDataFrame([], "a long, b long")]
+    fields = ["id", "n", "out", "comp", *traits_of]
+    theirs = {c: f"p_{c}" for c in fields}
     salts = 1
     while not active.isEmpty():
         salt = F.pmod(F.xxhash64("id"), F.lit(salts))
         pivots = durable(
-            active.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("id", "n", "comp")).alias("p"))
-            .select("key", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.comp").alias("pivot_comp"))
+            active.groupBy("key", salt.alias("salt")).agg(F.min(F.struct(*fields)).alias("p"))
+            .select("key", *[F.col(f"p.{c}").alias(name) for c, name in theirs.items()])
         )
-        pairs = durable(
-            active.join(pivots, "key")
-            .where((F.col("id") != F.col("pivot")) & (F.col("comp") != F.col("pivot_comp")) & _near("n", "pivot_n", percent))
-            .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-            .distinct()
+        # all conditions belong to the join, so that a pair they exclude is no row
+        near = (
+            (active["key"] == pivots["key"]) & (F.col("id") != F.col("p_id")) & (F.col("comp") != F.col("p_comp"))
+            & first_key("out", "p_out") & sizes_and_bits_allow("n", "p_n", BITMAP, [theirs[c] for c in BITMAP], percent)
+            & (traits_apart(SKETCH, [theirs[c] for c in SKETCH]) <= MOST_APART)
         )
-        met = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ha", "hb")
-        links = durable(links.unionByName(confirmed(met, percent, MOST_ERRORS)))
-        own = components(links).withColumnRenamed("component", "known")
-        rest = active.join(pivots.select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti")
-        rest = durable(rest.join(own, "id", "left").select("key", "id", "n", F.coalesce("known", "id").alias("comp")))
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        active = durable(rest.join(open_keys.where(F.col("lo") != F.col("hi")).select("key"), "key", "left_semi"))
-        salts *= 2
-    return links
+        swap = F.col("id") > F.col("p_id")
+        ends = [("id", "p_id", "a"), ("p_id", "id", "b"), ("comp", "p_comp", "ca"), ("p_comp", "comp", "cb")]
+        columns = [F.when(swap, F.col(two)).otherwise(F.col(one)).alias(name) for one, two, name in ends]
+        pairs = durable(active.join(pivots, near).select(*columns).distinct())
+        met = pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "ha", "hb")
+        new = durable(confirmed(met, percent))
+        active = active.join(pivots.select("key", F.col("p_id").alias("id")), ["key", "id"], "left_anti")
+        if not new.isEmpty():
+            found.append(new.select("a", "b"))
+            # only the components that the new links join are worked out anew
+            joined = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            active = active.join(joined.select(F.col("id").alias("comp"), F.col("component").alias("_new")), "comp", "left")
+            active = active.withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
+        open_keys = active.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        open_keys = open_keys.where(F.col("lo") != F.col("hi")).select("key")
+        active = durable(active.join(open_keys, "key", "left_semi").select(*KEYED.names, *traits_of, "comp"))
+        salts *= GROWTH
+    return reduce(DataFrame.unionByName, found)
 
 
 def near_duplicates(
@@ -227,7 +316,8 @@ def near_duplicates(
     sets = durable(signed(own, words))
     named = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     content = ["n", "f1", "f2"]
-    heads = durable(named.groupBy(*content).agg(F.min("doc_id").alias("id"), F.max("signature").alias("signature")))
+    same = [F.max(c).alias(c) for c in ("signature", *SKETCH, *BITMAP)]
+    heads = durable(named.groupBy(*content).agg(F.min("doc_id").alias("id"), *same))
     links = set_links(heads, own.where(F.col("doc_id").isNotNull()), words, percent)
     # rows with one id but different sets are one document
     copies = named.join(heads.select(*content, "id"), content).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))

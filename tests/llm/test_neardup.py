@@ -86,13 +86,49 @@ def test_chain_of_texts_below_the_threshold_at_its_ends(spark):
     assert {r.component_id for r in neardup.near_duplicates(frame, 2).collect()} == {0}
 
 
-def test_all_pairs_within_the_distance_share_a_key():
+def test_all_pairs_within_the_distance_share_a_key_that_counts(spark):
     rng = np.random.default_rng(3)
-    for _ in range(200):
+    rows = []
+    for case in range(120):
         one = rng.integers(0, 1 << 16, (1, neardup.SYMBOLS), dtype=np.uint16)
         two = one.copy()
-        two[0, rng.choice(neardup.SYMBOLS, neardup.MOST_ERRORS, replace=False)] ^= 1
-        assert set(neardup.chunk_keys(one)[0]) & set(neardup.chunk_keys(two)[0])
+        two[0, rng.choice(neardup.SYMBOLS, case % (neardup.MOST_ERRORS + 1), replace=False)] ^= 1
+        (k1, o1), (k2, o2) = neardup.chunk_keys(one), neardup.chunk_keys(two)
+        met = [(case, int(a), int(b)) for a, b in zip(o1[0][k1[0] == k2[0]], o2[0][k1[0] == k2[0]])]
+        rows += met
+        assert met
+    table = spark.createDataFrame(rows, "case long, a long, b long")
+    counting = table.where(neardup.first_key("a", "b")).groupBy("case").count().collect()
+    assert len(counting) == 120 and max(r["count"] for r in counting) <= neardup.CHUNKS
+
+
+def test_sketches_never_show_more_differences(spark):
+    rng = np.random.default_rng(6)
+    one = rng.integers(0, 1 << 16, (300, neardup.TRAITS), dtype=np.uint16)
+    two = np.where(rng.random(one.shape) < rng.random((300, 1)), rng.integers(0, 1 << 16, one.shape, dtype=np.uint16), one)
+    names = [[f"{side}{n}" for n in range(neardup.PARTS)] for side in "ab"]
+    rows = [(*a, *b) for a, b in zip(neardup.sketches(one).tolist(), neardup.sketches(two).tolist())]
+    table = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in [*names[0], *names[1]]))
+    shown = [r[0] for r in table.select(neardup.traits_apart(*names)).collect()]
+    want = ((one & 7) != (two & 7)).sum(1)
+    assert shown == want.tolist() and (want <= (one != two).sum(1)).all()
+
+
+def test_bitmaps_only_rule_out_pairs_that_are_not_similar(spark):
+    rng, rows = np.random.default_rng(7), []
+    for _ in range(400):
+        pool = np.unique(rng.integers(0, 1 << 63, int(rng.integers(4, 900)), dtype=np.uint64))
+        cut = int(len(pool) * rng.uniform(0, 0.3))
+        one, two = pool[cut // 2 :], pool[: len(pool) - cut // 2]
+        shared = len(np.intersect1d(one, two))
+        similar = 100 * shared >= 80 * (len(one) + len(two) - shared)
+        sizes = [len(x) << neardup.MARK_BITS for x in (one, two)]
+        rows.append((bool(similar), *sizes, *[int(v) for x in neardup.bitmaps([one, two]) for v in x]))
+    names = [[f"{side}{n}" for n in range(neardup.MAPS)] for side in "ab"]
+    table = spark.createDataFrame(rows, ", ".join(["s boolean", "n long", "m long", *[f"{c} long" for c in [*names[0], *names[1]]]]))
+    allowed = table.select("s", neardup.sizes_and_bits_allow("n", "m", *names, 80).alias("ok")).collect()
+    assert all(r.ok for r in allowed if r.s)
+    assert sum(not r.ok for r in allowed) > 0.5 * sum(not r.s for r in allowed)
 
 
 def test_agreement_of_symbols_is_the_similarity():
@@ -100,7 +136,7 @@ def test_agreement_of_symbols_is_the_similarity():
     agree = []
     for _ in range(300):
         pool = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
-        one, two = neardup.signatures([np.unique(pool[:110]), np.unique(pool[10:])])
+        one, two = neardup.traits([np.unique(pool[:110]), np.unique(pool[10:])])
         agree.append((one == two).mean())
     assert abs(np.mean(agree) - 100 / 120) < 0.01
 
