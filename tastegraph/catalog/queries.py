@@ -267,6 +267,23 @@ def cosine_lsh_sets(spark, sf_dir):
     return _tidy(found, "similarity")
 
 
+def _recall_check(quality, promised):
+    recall = F.coalesce("recall", F.lit(1.0))
+    # three standard errors of a share among so many pairs
+    slack = F.lit(3 * math.sqrt(promised * (1 - promised))) / F.sqrt(F.greatest(F.col("tp") + F.col("fn"), F.lit(1)))
+    return quality.select(
+        (F.col("tp") + F.col("fn")).alias("pairs"), (recall >= F.lit(promised) - slack).alias("recall_met"),
+        F.coalesce("precision", F.lit(1.0)).alias("precision"),
+    )
+
+
+def cosine_set_quality(spark, sf_dir):
+    """Sign bands against the exact join: whether the recall is at least the promised one."""
+    exact = durable(setjoin.cosine_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE))
+    found = lsh.cosine_lsh_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE)
+    return _recall_check(evaluate.pair_quality(found, exact), lsh.RECALL)
+
+
 def cosine_vectors(spark, sf_dir):
     vectors = inputs.embeddings(spark, sf_dir)
     found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS)
@@ -280,13 +297,7 @@ def cosine_vector_quality(spark, sf_dir):
     found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS, bits=300, rows=5)
     quality = evaluate.pair_quality(found, exact)
     promised = 1 - (1 - (1 - math.acos(0.47) / math.pi) ** 5) ** 60
-    recall = F.coalesce("recall", F.lit(1.0))
-    # three standard errors of a share among so many pairs
-    slack = F.lit(3 * math.sqrt(promised * (1 - promised))) / F.sqrt(F.greatest(F.col("tp") + F.col("fn"), F.lit(1)))
-    return quality.select(
-        (F.col("tp") + F.col("fn")).alias("pairs"), (recall >= F.lit(promised) - slack).alias("recall_met"),
-        F.coalesce("precision", F.lit(1.0)).alias("precision"),
-    )
+    return _recall_check(quality, promised)
 
 
 # iterative and model-based prediction
@@ -408,7 +419,7 @@ QUERIES = {
         user_knn_scored, user_knn_error_hist, user_knn_rmse, item_knn_quality,
         minhash_signature_rows, minhash_signatures, minhash_rows_without_modulus, lsh_candidates, lsh_candidates_small_prime,
         jaccard_lsh_join, jaccard_exact, lsh_pair_quality,
-        cosine_sets, cosine_words, cosine_lsh_sets, cosine_vectors, cosine_vector_quality,
+        cosine_sets, cosine_words, cosine_lsh_sets, cosine_set_quality, cosine_vectors, cosine_vector_quality,
         iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped, als_scored_pairs, als_range,
         ratings_csv_roundtrip, text_interactions_roundtrip, interactions_roundtrip, predictions_csv_roundtrip,
         pairs_csv_similarity, pairs_sink_roundtrip, predictions_sink_roundtrip,

@@ -34,6 +34,9 @@ from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 BANDS = 33
 ROWS = 5
 BITS = 150
+# Sign bands of sets: the share of pairs at the threshold that must be found, and the most signs and rows for it.
+RECALL = 0.99
+MOST_BITS, MOST_ROWS = 600, 64
 
 
 def params_frame(spark, count: int = BANDS * ROWS) -> DataFrame:
@@ -167,11 +170,17 @@ def _checked_sets(banded, keys, unique, members, measure, threshold, block_rows)
     return expand_copies(verify(found, unique, measure, threshold), members, block_rows)
 
 
-def default_rows(members: int, bits: int = BITS, background: float = 0.0) -> int:
-    """Signature bits per band so that a bucket holds about eight unrelated members, ``background``
-    being their usual cosine: candidates then grow with the number of members, not its square."""
-    agreement = 1.0 - math.acos(background) / math.pi
-    return max(4, min(bits, math.ceil(math.log(max(members, 8) / 8) / -math.log(agreement))))
+def sign_shape(threshold: float, recall: float = RECALL, bits: int = MOST_BITS) -> tuple[int, int]:
+    """``(rows, bands)``: the most rows per band with which a pair at the threshold shares a band with probability
+    ``recall``, in at most ``bits`` signs (or one row per band). Nothing else enters, so the recall holds at any size."""
+    agreement = 1.0 - math.acos(min(threshold, 1.0)) / math.pi
+    shape = 1, 1
+    for rows in range(1, MOST_ROWS + 1):
+        met = agreement**rows
+        bands = max(1, math.ceil(math.log(1.0 - recall) / math.log1p(-met))) if met < 1 else 1
+        if rows == 1 or rows * bands <= bits:
+            shape = rows, bands
+    return shape
 
 
 def sign_bands(
@@ -205,21 +214,24 @@ def cosine_lsh_join(
     set_col: str,
     element_col: str,
     threshold: float = 0.47,
-    bits: int = BITS,
+    bits: int | None = None,
     rows: int | None = None,
-    background: float = 0.25,
+    recall: float = RECALL,
     code: Callable[[Column], Column] | None = text_id,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
 
-    The ``bits`` of a signature form ``bits // rows`` bands. More bits raise the recall, more rows
-    per band lower the number of candidates; ``background`` is the usual cosine of unrelated sets,
-    from which the rows follow when they are not given.
+    Without ``rows`` the shape of the bands follows from ``threshold`` and ``recall`` alone (``sign_shape``): a pair at
+    the threshold is found with that probability, a closer one more likely, however many sets there are. Candidates
+    among unrelated sets grow with the square of their number. With ``rows`` the ``bits`` form ``bits / rows`` bands, rounded up.
     """
     unique, members = prepared(distinct_sets(df, set_col, element_col))
-    rows = rows or default_rows(members.count(), bits, background)
-    banded = sign_bands(unique, bits // rows, rows, code=code)
+    if rows is None:
+        rows, bands = sign_shape(threshold, recall, bits or MOST_BITS)
+    else:
+        bands = -(-(bits or BITS) // rows)
+    banded = sign_bands(unique, bands, rows, code=code)
     return _checked_sets(banded, ["key"], unique, members, Cosine, threshold, block_rows)
 
 

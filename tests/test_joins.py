@@ -121,6 +121,24 @@ def test_cosine_lsh_within_exact(spark):
     assert len(found) > 0.9 * len(exact)
 
 
+def test_cosine_lsh_keeps_its_recall_however_many_sets(spark):
+    rng = random.Random(11)
+    rows = []
+    for n in range(300):  # pairs of 28 common elements of 40: cosine 0.7
+        common = [f"c{n}_{k}" for k in range(28)]
+        rows += [(2 * n + side, e) for side in (0, 1) for e in common + [f"o{n}_{side}_{k}" for k in range(12)]]
+    rows += [(1000 + n, f"r{rng.randrange(100000)}") for n in range(2500) for _ in range(12)]
+    found = lsh.cosine_lsh_join(spark.createDataFrame(rows, "id long, element string"), "id", "element", 0.7)
+    assert sum((r.b == r.a + 1 and r.a % 2 == 0 and r.a < 600) for r in found.collect()) >= 290
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.47, 0.7, 0.95, 1.0])
+@pytest.mark.parametrize("recall", [0.9, 0.99, 0.9999])
+def test_shape_of_sign_bands_promises_the_recall(threshold, recall):
+    rows, bands = lsh.sign_shape(threshold, recall)
+    assert 1 - (1 - (1 - math.acos(threshold) / math.pi) ** rows) ** bands >= recall - 1e-12
+
+
 def test_vector_join(spark):
     rng = random.Random(3)
     base = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
