@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences, each is normalised (lower case; signs, list marks and blanks folded; years, names and
-versions kept) and looked up among known licence sentences. The known sentences of a text, in order, form a sequence of
+A text is read as its words, lower case and without signs, comment marks and line breaks, so a sentence is found however
+it is wrapped and punctuated ("free software; you can", "v. 2.0"). A known licence sentence must begin at the beginning of
+a sentence or line, unless it is long, and stop at the end of one. The known sentences of a text, in order, form a sequence of
 identifiers, and ordered rules over identifiers decide which licences are named: a rule matches where its identifiers
 follow one another in the text with at most ``GAP`` known sentences of other rules and ``FAR`` sentences in all between
 them. A longer rule claims its sentences before a shorter one, so a full text is not also reported as its parts.
@@ -76,16 +77,47 @@ RULES = [
     ("MPL-2.0", ("mpl-notice",)),
 ]
 
-# A sentence ends at a line break, or at . ; : ! ? before a blank or the end.
-SENTENCE = re.compile(r"[^\n.;:!?]+(?:[.;:!?]+(?=[^\s.;:!?])[^\n.;:!?]+)*")
+# Other wordings of known sentences; * stands for a name of up to ``NAME`` words.
+SUBJECTS = ("program", "file", "software", "package", "project", "script", "module")
+VARIANTS = [
+    ("apache-copy", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
+    ("mit-grant", SENTENCES["mit-grant"] + " including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("mit-keep", SENTENCES["mit-keep"].replace("notice shall", "notice including the next paragraph shall")),
+    ("as-is", SENTENCES["as-is"] + " including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    *[
+        (name, SENTENCES[name].replace("this program", f"this {subject}").replace(before, after))
+        for name in ("gpl-free", "gpl2-free", "gpl-hope")
+        for subject in SUBJECTS
+        for before, after in (("", ""), (" of the license or", " or"))
+    ],
+    ("bsd-name", SENTENCES["bsd-name"].replace("the copyright holder", "*")),
+    ("bsd-name", SENTENCES["bsd-name"].replace("the copyright holder", "*").replace("the names of its", "the names of *")),
+    ("cc0-notice", SENTENCES["cc0-notice"].replace("the author", "*")),
+]
+NAME = 12
+# Sentences of more words are also found behind words that no sign parts from them, as in a text without its line breaks.
+LONG = 16
+
+# Between two words: the end of a line or of a sentence (. ; : ! ? and closing signs before a blank or the end).
+BREAK = re.compile(r"[\n\r]|[.;:!?][\"'”’)\]}>*/#]*(?=\s|$)")
+# Between known sentences: the end of a sentence or paragraph, lines unwrapped.
+SENTENCE_END = re.compile(r"\n\W*\n|[.;:!?](?=\s|$)")
+# Comment marks that are letters.
+COMMENT = re.compile(r"^[^a-z0-9\n]*(?:dnl|rem|c)(?=\s|$)", re.MULTILINE)
+WORD = re.compile(r"[a-z0-9]+")
 FOLD = re.compile(r"[^a-z0-9]+")
 # Words one of which is in each known sentence; a text without any of them is not cut up.
 CUE = re.compile(r"licen[sc]|permission|copyright|redistribut|warrant|mozilla|software|rights", re.IGNORECASE)
 MARK = re.compile(r"^(?:[a-z]|[0-9]+) (?=redistributions|neither)")
 
-BY_TEXT = {text: name for name, text in SENTENCES.items()}
+BY_TEXT = {text: name for name, text in [*VARIANTS, *SENTENCES.items()] if "*" not in text}
+PATTERNS = [
+    (name, text[: text.index("*")], re.compile(text.replace("*", f"[a-z0-9]+(?: [a-z0-9]+){{0,{NAME - 1}}}?") + "(?= )"))
+    for name, text in VARIANTS
+    if "*" in text
+]
 ORDERED = sorted(enumerate(RULES), key=lambda r: (-len(r[1][1]), r[0]))
-LONGEST = max(map(len, BY_TEXT)) * 4
+LISTED = re.compile("(?:[a-z]|[0-9]+)")
 
 MATCH_TYPE = T.ArrayType(
     T.StructType()
@@ -103,13 +135,58 @@ def normal(sentence: str) -> str:
     return MARK.sub("", FOLD.sub(" ", sentence.lower()).strip())
 
 
+def spots(folded: str) -> list[tuple[int, int, str]]:
+    """``(start, end, identifier)`` of the wordings in words joined by blanks, with a blank at both ends."""
+    out = []
+    for text, name in BY_TEXT.items():
+        at = folded.find(f" {text} ")
+        while at >= 0:
+            out.append((at + 1, at + 1 + len(text), name))
+            at = folded.find(f" {text} ", at + 1)
+    for name, head, pattern in PATTERNS:
+        at = folded.find(f" {head}")
+        while at >= 0:
+            if found := pattern.match(folded, at + 1):
+                out.append((*found.span(), name))
+            at = folded.find(f" {head}", at + 1)
+    return out
+
+
 def known_sentences(text: str) -> Iterator[tuple[int, str, int, int]]:
     """``(number, identifier, start, end)`` of the known sentences; the number counts all sentences of the text."""
-    for number, found in enumerate(SENTENCE.finditer(text)):
-        start, end = found.span()
-        if end - start <= LONGEST and (name := BY_TEXT.get(normal(found.group()))):
-            body = found.group()
-            yield number, name, start + len(body) - len(body.lstrip()), end - len(body) + len(body.rstrip())
+    low = text.lower()
+    if len(low) != len(text):  # places must stay those of the text
+        low = "".join(c.lower() if len(c.lower()) == 1 else " " for c in text)
+    low = COMMENT.sub(lambda m: " " * len(m.group()), low)
+    found = spots(f" {FOLD.sub(' ', low).strip()} ")
+    if not found:
+        return
+    spans = [m.span() for m in WORD.finditer(low)]
+    # words by their starts and ends among the folded words
+    first, last, at = {}, {}, 1
+    for n, (start, end) in enumerate(spans):
+        first[at], last[at + end - start] = n, n
+        at += end - start + 1
+
+    def breaks(n: int) -> bool:
+        """Whether a sentence or line ends before word n."""
+        return n == 0 or n == len(spans) or BREAK.search(low, spans[n - 1][1], spans[n][0]) is not None
+
+    def begins(n: int) -> bool:
+        if breaks(n):
+            return True
+        word, mark = (low[slice(*spans[k])] for k in (n, n - 1))
+        return word in ("redistributions", "neither") and breaks(n - 1) and LISTED.fullmatch(mark) is not None
+
+    number, free, after = 0, 0, 0
+    for start, end, name in sorted(found, key=lambda f: (f[0], -f[1])):
+        one, two = first[start], last[end]
+        if one < free or not (two - one >= LONG or begins(one)) or not breaks(two + 1):
+            continue
+        between = SENTENCE_END.split(text[after : spans[one][0]])
+        number += 1 + sum(FOLD.sub("", part.lower()) != "" for part in between)
+        free, after = two + 1, spans[two][1]
+        yield number, name, spans[one][0], after
 
 
 def licenses(text: str | None) -> list[tuple[str, int, int, list[str]]]:

@@ -66,3 +66,85 @@ def test_edges(spark, tmp_path):
     got = sorted((r.doc_id, r.n_licenses, r.licenses) for r in op6_licenses(spark, str(tmp_path)).collect())
     assert got == [(1, 0, ""), (2, 0, ""), (3, 0, ""), (4, 0, ""), (5, 1, "MIT:0:30"), (5, 1, "MIT:0:30")]
     assert docs.limit(0).select(li.find_licenses("text")).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE."""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2, GPL3 = GPL.format(";", ";", 2), GPL.format(":", ",", 3)
+BSD2 = """Copyright (c) 2020, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+REAL = [
+    (MIT, "MIT", 3), (GPL2, "GPL-2.0-or-later", 2), (GPL3, "GPL-3.0-or-later", 2), (BSD2, "BSD-2-Clause", 3),
+    (BSD3.format("the copyright holder"), "BSD-3-Clause", 4), (BSD3.format("Doe Works, Inc."), "BSD-3-Clause", 4),
+    (APACHE, "Apache-2.0", 3), (MPL, "MPL-2.0", 1),
+]
+
+
+def test_real_texts_wrapped_and_in_comments():
+    for text, name, sentences in REAL:
+        for mark in ("", "# ", "// ", " * ", "dnl ", ";; ", "REM "):
+            whole = "\n".join(["int x;", *[(mark + line).rstrip() for line in text.split("\n")], "", "int main() {}"])
+            assert [(m[0], len(m[3])) for m in li.licenses(whole)] == [(name, sentences)], (name, mark)
+        for other in (" ".join(text.split()), text.replace("\n", "\r\n"), "İ\n" + text):
+            assert names(other) == [name], name
+    assert names("\n\n".join(text for text, *_ in REAL)) == [name for _, name, _ in REAL]
+    assert names("\n".join(["x\ty"] + list(MIT.split("\n")[4:5]))) == []
+
+
+def test_lines_without_an_end_are_sentences_too():
+    assert names("Title\nReleased under the MIT License\nNext line of prose") == ["MIT"]
+    assert names("a) Redistributions of source code\nand released under the MIT License too") == []
