@@ -293,7 +293,9 @@ def set_links(heads: DataFrame, docs: DataFrame, words: int, percent: int = PERC
         pairs = durable(active.join(pivots, near).select(*columns).distinct())
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "ha", "hb")
         new = durable(confirmed(met, percent))
-        active = active.join(pivots.select("key", F.col("p_id").alias("id")), ["key", "id"], "left_anti")
+        # only the pivot's own set leaves: another set of its id has still to meet the others
+        met_all = pivots.select("key", F.col("p_id").alias("id"), F.col("p_n").alias("n"))
+        active = active.join(met_all, ["key", "id", "n"], "left_anti")
         if not new.isEmpty():
             found.append(new.select("a", "b"))
             # only the components that the new links join are worked out anew

@@ -164,3 +164,12 @@ def test_query(spark, tmp_path):
     docs = cases(8, 5)
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted((tuple(r) for r in op7_minhash(spark, str(tmp_path)).collect()), key=str) == brute(docs, 2)
+
+
+def test_second_set_of_a_repeated_id_stays_in_its_buckets(spark):
+    words = [f"s0w{i}" for i in range(103)]
+    # the third text is near the second one of id 1 only, and shares no key with it that the first one does not have
+    docs = [(1, " ".join(words[:100])), (1, " ".join(words)), (2, " ".join(words[20:]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((tuple(r) for r in neardup.near_duplicates(frame, 2).collect()), key=str)
+    assert got == brute(docs, 2) and {r[2] for r in got} == {1}
