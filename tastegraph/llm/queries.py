@@ -6,7 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph.catalog.inputs import table
-from tastegraph.llm import bitslice, decontaminate, licenses, neardup, packing, pii, pseudolik, quality, shards, suffixes
+from tastegraph.llm import (
+    bitslice,
+    decontaminate,
+    infill,
+    licenses,
+    manifest,
+    neardup,
+    packing,
+    pii,
+    pseudolik,
+    quality,
+    shards,
+    suffixes,
+)
 from tastegraph.llm.oracles import ORACLES
 
 
@@ -79,6 +92,28 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digested(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and for each row the root that its proof gives for its text as it may have been changed since."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(changed, manifest.tampered(F.col("text"))).otherwise(F.col("text"))
+    leaves = docs.select(
+        "doc_id",
+        manifest.group_key(F.col("lang")).alias("group"),
+        manifest.leaf(*[F.col(c) for c in manifest.FIELDS]).alias("leaf"),
+        manifest.leaf(*[F.col(c) for c in manifest.FIELDS[:-1]], text).alias("found"),
+    )
+    proven = manifest.proofs(leaves).withColumn("folded_root", manifest.folded(F.col("found"), F.col("path")))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -92,4 +127,6 @@ QUERIES = {
     "op8_pseudolik": op8_pseudolik,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffixes": op10_suffixes,
+    "op12_infill": op12_infill,
+    "op13_manifest": op13_manifest,
 }
