@@ -20,7 +20,7 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.plans.durable import durable
@@ -62,32 +62,33 @@ def climbed(nodes: DataFrame) -> DataFrame:
     ``path`` has ``(left, right)``, the joined digests of a node's siblings, for each level of the block that exists;
     ``top`` is the digest of the block.
     """
-    columns, place = nodes.columns, F.col("place")
-    rows = nodes.withColumn("block", F.floor(place / BLOCK)).withColumn("_d0", F.col("node"))
+    columns = nodes.columns
+    rows = nodes.selectExpr("*", f"place div {BLOCK} as block", "node as _d0")
     # a node of level k covers the rows with the same _run{k}; the widest come first, so one order serves all windows
     runs = [f"_run{k}" for k in range(LEVELS - 1, 0, -1)]
-    rows = rows.select("*", *[F.floor(place / FAN ** int(c[4:])).alias(c) for c in runs])
-    whole = Window.partitionBy("group", "block").orderBy(*runs, "place")
+    rows = rows.selectExpr("*", *[f"place div {FAN ** int(c[4:])} as {c}" for c in runs])
+
+    def over(parts: int) -> str:
+        inside, order = ["`group`", "block", *runs[:parts]], [*runs[parts:], "place"]
+        return f"over (partition by {', '.join(inside)} order by {', '.join(order)})"
+
+    # as SQL text: it is parsed at once, where a few hundred single column calls take seconds
     for k in range(LEVELS):
-        step, own = FAN**k, F.col(f"_d{k}")
-        index = F.floor(place / step)
-        count = F.ceil(F.col("total") / step)
-        slot = index % FAN
-        length = F.least(F.lit(FAN), count - (index - slot))
-        starts, exists = place % step == 0, count > 1
-        none = F.lit("")
-        left = F.concat(*[F.when(slot >= i, F.lag(own, i * step).over(whole)).otherwise(none) for i in range(FAN - 1, 0, -1)])
-        right = F.concat(*[F.when(slot + i < length, F.lead(own, i * step).over(whole)).otherwise(none) for i in range(1, FAN)])
-        rows = rows.withColumn(f"_s{k}", F.when(starts & exists, F.struct(left.alias("left"), right.alias("right"))))
-        parent = F.when(exists, digest(own, F.col(f"_s{k}.right"))).otherwise(own)
-        rows = rows.withColumn(f"_d{k + 1}", F.when(place % (step * FAN) == 0, parent))
+        step = FAN**k
+        count = f"((total + {step - 1}) div {step})"
+        rows = rows.selectExpr(
+            "*", f"place div {step} % {FAN} as _slot", f"{count} > 1 as _exists",
+            f"least({FAN}, {count} - (place div {step} - place div {step} % {FAN})) as _length",
+        )
+        left = [f"if(_slot >= {i}, lag(_d{k}, {i * step}) {over(0)}, '')" for i in range(FAN - 1, 0, -1)]
+        right = [f"if(_slot + {i} < _length, lead(_d{k}, {i * step}) {over(0)}, '')" for i in range(1, FAN)]
+        both = f"struct(concat({', '.join(left)}) as left, concat({', '.join(right)}) as right)"
+        rows = rows.selectExpr("*", f"if(_exists and place % {step} = 0, {both}, null) as _s{k}")
+        parent = f"if(_exists, sha2(concat(_d{k}, _s{k}.right), 256), _d{k})"
+        rows = rows.selectExpr("*", f"if(place % {step * FAN} = 0, {parent}, null) as _d{k + 1}").drop("_slot", "_exists", "_length")
     # what the first row of a node knows holds for all its rows
-    path = [F.col("_s0")]
-    for k in range(1, LEVELS):
-        shared = Window.partitionBy("group", "block", *runs[: LEVELS - k]).orderBy(*runs[LEVELS - k :], "place")
-        path.append(F.first(f"_s{k}").over(shared))
-    top = F.first(f"_d{LEVELS}").over(whole)
-    return rows.select(*columns, "block", F.array_compact(F.array(*path)).alias("path"), top.alias("top"))
+    path = ["_s0", *[f"first(_s{k}) {over(LEVELS - k)}" for k in range(1, LEVELS)]]
+    return rows.selectExpr(*[f"`{c}`" for c in columns], "block", f"array_compact(array({', '.join(path)})) as path", f"first(_d{LEVELS}) {over(0)} as top")
 
 
 def tops(nodes: DataFrame) -> DataFrame:
