@@ -62,6 +62,26 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM shingle JOIN least USING (doc_id)
 """
 
+# links of three-word shingles; where one set is much larger than the other there is none
+SET_LINKS = rf"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (
+    SELECT doc_id, CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM word),
+element AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingle),
+pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM element a JOIN element b ON a.x = b.x AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT link.b, reach.other FROM reach JOIN link ON link.a = reach.doc_id),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id FROM shingle JOIN least USING (doc_id)
+"""
+
 INFILL = """
 WITH drawn AS (
     SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
@@ -135,4 +155,4 @@ SELECT doc_id, leaf, roots.node AS subroot, t.node AS root, sha256(last.proof) A
 FROM leaves JOIN last USING (grp, place) JOIN roots USING (grp), (SELECT node FROM top WHERE total = 1) t
 """
 
-ORACLES = {"op12_infill": INFILL, "op13_manifest": MANIFEST, "op3_bitslice": BITSLICE, "op7_minhash": NEAR_DUPLICATES, "op9_decontaminate": DECONTAMINATE}
+ORACLES = {"op11_setrelations": SET_LINKS, "op12_infill": INFILL, "op13_manifest": MANIFEST, "op3_bitslice": BITSLICE, "op7_minhash": NEAR_DUPLICATES, "op9_decontaminate": DECONTAMINATE}

@@ -17,6 +17,7 @@ from tastegraph.llm import (
     pii,
     pseudolik,
     quality,
+    setrelations,
     shards,
     suffixes,
 )
@@ -92,6 +93,10 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_setrelations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setrelations.linked(table(spark, sf_dir, "documents"))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digested(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ QUERIES = {
     "op8_pseudolik": op8_pseudolik,
     "op9_decontaminate": op9_decontaminate,
     "op10_suffixes": op10_suffixes,
+    "op11_setrelations": op11_setrelations,
     "op12_infill": op12_infill,
     "op13_manifest": op13_manifest,
 }
