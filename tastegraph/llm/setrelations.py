@@ -48,7 +48,7 @@ WORDS, PERCENT = 3, 90
 # So many ids, a few numbers each, are broadcast.
 BROADCAST_IDS = 300_000
 # A task counts shingles of so many sets, or shingles, at once; a bucket has about so many.
-CHUNK_SETS, CHUNK_SHINGLES, BUCKET_SHINGLES = 50_000, 4_000_000, 4_000_000
+CHUNK_SETS, CHUNK_SHINGLES, BUCKET_SHINGLES = 50_000, 1_500_000, 2_000_000
 # A shingle of more sets of a chunk goes to its bucket once, its sets stay in the side table.
 LOCAL = 8
 MANY = 0xFFFF
@@ -121,8 +121,10 @@ class _Chunk:
         bucket = (flat >> np.uint64(32)) % np.uint64(self.buckets)
         key = bucket << np.uint64(32) | flat & np.uint64(0xFFFFFFFF)
         owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets]).astype(np.uint16)
+        del flat, bucket
         order = np.argsort(key, kind="stable")
         key, owner = key[order], owner[order]
+        del order
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         counts = np.diff(np.append(first, len(key)))
         many = np.repeat(counts > LOCAL, counts)
@@ -175,14 +177,14 @@ def _shared(table: pa.Table) -> pa.Table:
     shingles = [np.frombuffer(v.as_buffer(), np.uint32) for v in table["shingles"]]
     weights = []
     for own, extra in zip(shingles, table["counts"].to_pylist(), strict=True):
-        weight = np.ones(len(own), np.int64)
+        weight = np.ones(len(own), np.uint32)
         pairs = np.frombuffer(extra, np.uint32).reshape(-1, 2)
         weight[pairs[:, 0]] = pairs[:, 1]
         weights.append(weight)
     flat = np.concatenate(shingles)
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], flat[order][1:] != flat[order][:-1])))
-    sums = np.add.reduceat(np.concatenate(weights)[order], first)
+    sums = np.add.reduceat(np.concatenate(weights)[order], first, dtype=np.int64)
     total = np.empty(len(flat), np.int64)
     total[order] = np.repeat(sums, np.diff(np.append(first, len(flat))))
     rank = np.minimum(255, 4 * np.log2(total)).astype(np.uint8)
