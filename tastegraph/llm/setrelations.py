@@ -47,8 +47,9 @@ from tastegraph.plans.lookup import lookup
 WORDS, PERCENT = 3, 90
 # So many ids, a few numbers each, are broadcast.
 BROADCAST_IDS = 300_000
-# A task counts shingles of so many sets, or shingles, at once; a bucket has about so many.
-CHUNK_SETS, CHUNK_SHINGLES, BUCKET_SHINGLES = 50_000, 1_500_000, 2_000_000
+# A task counts shingles of so many sets, or shingles, at once; a bucket has about so many. A shingle needs some 50 bytes there.
+# Rows between tasks hold chunk x bucket / total shingles, so raise both with the executors' memory beyond a terabyte of text.
+CHUNK_SETS, CHUNK_SHINGLES, BUCKET_SHINGLES = 50_000, 600_000, 800_000
 # A shingle of more sets of a chunk goes to its bucket once, its sets stay in the side table.
 LOCAL = 8
 MANY = 0xFFFF
@@ -176,9 +177,9 @@ def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket's rows, the shingles that occur again, with a rank for their frequency."""
     shingles = [np.frombuffer(v.as_buffer(), np.uint32) for v in table["shingles"]]
     weights = []
-    for own, extra in zip(shingles, table["counts"].to_pylist(), strict=True):
+    for own, extra in zip(shingles, table["counts"], strict=True):
         weight = np.ones(len(own), np.uint32)
-        pairs = np.frombuffer(extra, np.uint32).reshape(-1, 2)
+        pairs = np.frombuffer(extra.as_buffer(), np.uint32).reshape(-1, 2)
         weight[pairs[:, 0]] = pairs[:, 1]
         weights.append(weight)
     flat = np.concatenate(shingles)
@@ -189,10 +190,10 @@ def _shared(table: pa.Table) -> pa.Table:
     total[order] = np.repeat(sums, np.diff(np.append(first, len(flat))))
     rank = np.minimum(255, 4 * np.log2(total)).astype(np.uint8)
     out, at = [], 0
-    for chunk, own, owners in zip(table["chunk"].to_pylist(), shingles, table["owners"].to_pylist(), strict=True):
+    for chunk, own, owners in zip(table["chunk"].to_pylist(), shingles, table["owners"], strict=True):
         keep = np.flatnonzero(total[at : at + len(own)] > 1)
         if len(keep):
-            owner = np.frombuffer(owners, np.uint16)[keep]
+            owner = np.frombuffer(owners.as_buffer(), np.uint16)[keep]
             out.append((chunk, table["bucket"][0].as_py(), own[keep].tobytes(), owner.tobytes(), rank[at : at + len(own)][keep].tobytes()))
         at += len(own)
     return _table(out, RARITY)
