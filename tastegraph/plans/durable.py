@@ -10,6 +10,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
+# Rows go to Python workers in batches of at most so many bytes while a table is written: wide rows (whole sets, texts) would
+# otherwise fill 64 MB several times over for each core.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 # Paths handed out, for ``scratch``.
 _paths: list[str] = []
 
@@ -51,6 +54,21 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """Arrow batches of at most so many bytes for the jobs started inside."""
+    before = spark.conf.get(BATCH_CONF)
+    given = int(before.rstrip("b")) if before.rstrip("b").lstrip("-").isdigit() else 0
+    if 0 < given <= most:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write the frame as a table in the shared folder and go on from its files.
 
@@ -59,7 +77,8 @@ def durable(df: DataFrame) -> DataFrame:
     true statistics, so that it broadcasts only what is small. ``scratch`` deletes the tables of a block of calls.
     """
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
