@@ -319,8 +319,24 @@ def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
     return met.mapInArrow(rows, "a long, b long, common long")
 
 
-def similar(common: str, n: str, m: str, percent: int) -> Column:
-    return F.lit(100 + percent) * F.col(common) >= F.lit(percent) * (F.col(n) + F.col(m))
+def similar(common: str | Column, n: str, m: str, percent: int) -> Column:
+    common = F.col(common) if isinstance(common, str) else common
+    return F.lit(100 + percent) * common >= F.lit(percent) * (F.col(n) + F.col(m))
+
+
+def open_answer(percent: int):
+    """Whether a leader ``p_`` has to look at a member of a block: it is another one, neither led the other before, and the
+    answers of a leader of both do not rule the pair out."""
+
+    def open_to(m: Column) -> Column:
+        related = F.coalesce(m["lead"] == F.col("p_lead"), F.lit(False))
+        most = F.least(
+            m["with_lead"] + F.col("p_n") - F.col("p_with_lead"), F.col("p_with_lead") + F.col("n") - m["with_lead"]
+        )
+        known = m["lead"].eqNullSafe(F.col("p_sid")) | F.col("p_lead").eqNullSafe(m["sid"])
+        return (m["sid"] != F.col("p_sid")) & ~known & (~related | similar(most, "n", "p_n", percent))
+
+    return open_to
 
 
 def set_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -338,31 +354,30 @@ def set_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     salts = 1
     while not active.isEmpty():
         salt = F.pmod(F.xxhash64("sid"), F.lit(salts))
-        member = F.struct("sid", "rep", "comp", *known)
+        member = F.struct("sid", "rep", *known)
         # the fewer rarer shingles, the closer to the middle of a group of similar sets
         leaders = durable(
             active.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("pos", "n", "sid", "rep", "comp", *known)).alias("p"))
             .select("key", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("pos", "n", "sid", "rep", "comp", *known)])
         )
-        most = active.groupBy("key", "n", "pos").count().agg(F.max("count")).first()[0]
+        # blocks of one component each, so that a leader skips those of its own without looking at their members
+        cut = ["key", "n", "pos", "comp"]
+        most = active.groupBy(*cut).count().agg(F.max("count")).first()[0]
         page = F.pmod(F.xxhash64("sid"), F.lit(-(-most // PAGE)))
-        blocks = active.groupBy("key", "n", "pos", page.alias("page")).agg(F.collect_list(member).alias("members"))
-        near = (blocks["key"] == leaders["key"]) & room("n", "pos", "p_n", "p_pos", percent)
-        met = blocks.join(leaders, near).select("n", *[c for c in leaders.columns if c != "key"], F.inline("members"))
-        met = met.where((F.col("sid") != F.col("p_sid")) & (F.col("comp") != F.col("p_comp")))
-        # a leader's own answers are known
-        met = met.where(~F.col("lead").eqNullSafe(F.col("p_sid")) & ~F.col("p_lead").eqNullSafe(F.col("sid")))
+        blocks = active.groupBy(*cut, page.alias("page")).agg(F.collect_list(member).alias("members"))
+        near = (blocks["key"] == leaders["key"]) & (F.col("comp") != F.col("p_comp")) & room("n", "pos", "p_n", "p_pos", percent)
+        led_by = [c for c in leaders.columns if c != "key"]
+        met = blocks.join(leaders, near).select("n", "comp", *led_by, F.filter("members", open_answer(percent)).alias("members"))
+        met = met.select("n", "comp", *led_by, F.inline("members"))
         related = F.coalesce(F.col("lead") == F.col("p_lead"), F.lit(False))
         certain = F.col("with_lead") + F.col("p_with_lead") - F.col("lead_n")
-        bound = F.least(F.col("with_lead") + F.col("p_n") - F.col("p_with_lead"), F.col("p_with_lead") + F.col("n") - F.col("with_lead"))
         pairs = met.select(
             F.col("p_sid").alias("a"), F.col("sid").alias("b"), F.col("p_n").alias("na"), F.col("n").alias("nb"),
             F.col("p_rep").alias("ra"), F.col("rep").alias("rb"), F.col("p_comp").alias("ca"), F.col("comp").alias("cb"),
             F.when(related, F.col("lead")).alias("lead"), F.when(related, F.col("lead_n")).alias("lead_n"),
-            F.when(related, certain).alias("certain"), F.when(related, bound).alias("bound"),
+            F.when(related, certain).alias("certain"),
         )
-        possible = F.col("bound").isNull() | similar("bound", "na", "nb", percent)
-        pairs = durable(pairs.where(possible).dropDuplicates(["a", "b"]))
+        pairs = durable(pairs.dropDuplicates(["a", "b"]))
         sure = F.coalesce(similar("certain", "na", "nb", percent), F.lit(False))
         open_pairs = pairs.where(~sure)
         whole = durable(compared(open_pairs.where(F.col("lead").isNull()).select("a", "b"), sets))
