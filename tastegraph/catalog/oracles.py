@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from tastegraph.catalog import inputs, queries
 from tastegraph.functions.hashing import LARGE_PRIME, SMALL_PRIME, hash_params
-
+from tastegraph.operators.lsh import sign_shape
+from tastegraph.operators.permuted import BITS, NEIGHBOURS, PERMUTATIONS, most_apart, permutations
 
 IMPUTE_PASSES = 10
 
@@ -146,22 +147,44 @@ exact AS (SELECT a, b, {value} AS s FROM shared JOIN sizes na ON na.id = a JOIN
   WHERE {value} >= {threshold})"""
 
 
-# the rows per band follow from the number of members
-SHAPE = """
-shape AS (SELECT rows, {bits} // rows AS bands FROM (
-  SELECT greatest(4, ceil(ln(greatest(count(*), 8) / 8.0) / -ln(1 - acos({background}) / pi())))::BIGINT AS rows
-  FROM {source}))"""
-
 SIGN_CANDIDATES = """
 band AS (SELECT id, n // rows AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
   FROM sums, shape WHERE n < bands * rows GROUP BY 1, 2),
 cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id)"""
 
 
-def signs(bits: int) -> str:
-    return f"""
+def signs(threshold: float) -> str:
+    rows, bands = sign_shape(threshold)
+    return f"""{hash_values(rows * bands)},
 sums AS (SELECT id, n, sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) AS s FROM el, p GROUP BY id, n),
-{SHAPE.format(bits=bits, background=0.25, source="sizes")},{SIGN_CANDIDATES}"""
+shape AS (SELECT {rows} AS rows, {bands} AS bands),{SIGN_CANDIDATES}"""
+
+
+def permuted_pairs(threshold: float) -> str:
+    """Neighbours in sorted permutations of the signatures of distinct sets, checked, and their copies."""
+    orders = ", ".join(
+        f"({p}, {n}, {at})" for p, order in enumerate(permutations(PERMUTATIONS, BITS)) for at, n in enumerate(order)
+    )
+    return f"""{hash_values(BITS)}, perm(p, n, place) AS (VALUES {orders}),
+member AS (SELECT id, min(id) OVER (PARTITION BY elements) AS rep FROM (SELECT id, list(x ORDER BY x) AS elements FROM el GROUP BY id)),
+own AS (SELECT id, x FROM el JOIN member USING (id) WHERE id = rep),
+bit AS (
+  SELECT id, n, CASE WHEN sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) >= 0 THEN '1' ELSE '0' END AS v
+  FROM own, p GROUP BY id, n),
+signature AS (SELECT id, string_agg(v, '' ORDER BY n) AS sig FROM bit GROUP BY id),
+placed AS (
+  SELECT p, id, row_number() OVER (PARTITION BY p ORDER BY k, id) AS at FROM (
+    SELECT p, id, string_agg(v, '' ORDER BY place) AS k FROM bit JOIN perm USING (n) GROUP BY p, id)),
+near AS (
+  SELECT DISTINCT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b FROM placed x JOIN placed y
+  ON x.p = y.p AND y.at > x.at AND y.at <= x.at + {NEIGHBOURS}),
+cand AS (
+  SELECT a, b FROM near JOIN signature s ON s.id = a JOIN signature t ON t.id = b
+  WHERE hamming(s.sig, t.sig) <= {most_apart(threshold, BITS)}),
+{checked("cosine", threshold).replace("pairs AS", "rep_pairs AS").strip()},
+pairs AS (
+  SELECT least(m.id, o.id) AS a, greatest(m.id, o.id) AS b, s FROM rep_pairs r JOIN member m ON m.rep = r.a JOIN member o ON o.rep = r.b
+  UNION ALL SELECT m.id, o.id, 1.0 FROM member m JOIN member o ON m.rep = o.rep AND m.id < o.id)"""
 
 
 def vectors(threshold: float) -> str:
@@ -397,7 +420,23 @@ FROM (SELECT count(*) FILTER (f AND t) AS tp, count(*) FILTER (f AND NOT t) AS f
         ),
         "cosine_words": with_(WORDS, direct("cosine", q.WORD_COSINE), select=EXACT),
         "cosine_lsh_sets": with_(
-            WORDS, hash_values(150), signs(150), checked("cosine", q.WORD_COSINE), select=PAIRS
+            WORDS, signs(q.WORD_COSINE), checked("cosine", q.WORD_COSINE), select=PAIRS
+        ),
+        "cosine_permuted_sets": with_(WORDS, permuted_pairs(q.WORD_COSINE), select=PAIRS),
+        "cosine_permuted_quality": with_(
+            WORDS, permuted_pairs(q.WORD_COSINE), direct("cosine", q.WORD_COSINE),
+            select=f"""SELECT tp, total - tp AS fn, 1.0::DOUBLE AS precision, {tidy('tp::DOUBLE / total')} AS recall
+FROM (SELECT count(*) AS tp FROM pairs), (SELECT count(*) AS total FROM exact)""",
+        ),
+        "row_numbers": with_(
+            SPLIT,
+            select="""SELECT u AS "user", i AS item, r AS rating, row_number() OVER (ORDER BY u, i) - 1 AS number,
+row_number() OVER (PARTITION BY u ORDER BY i) - 1 AS place, count(*) OVER (PARTITION BY u) AS items FROM ratings""",
+        ),
+        "pairs_relabelled": with_(
+            WORDS, direct("cosine", q.WORD_COSINE),
+            select=f"""SELECT least('doc-' || a, 'doc-' || b) AS a, greatest('doc-' || a, 'doc-' || b) AS b,
+{tidy('s')} AS similarity FROM exact""",
         ),
         "cosine_set_quality": with_(
             WORDS,

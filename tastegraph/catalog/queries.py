@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tastegraph.catalog import inputs
 from tastegraph.functions.columns import tidy
 from tastegraph.functions.hashing import SMALL_PRIME
-from tastegraph.operators import evaluate, factors, iterative, knn, lsh, pearson, setjoin
+from tastegraph.operators import evaluate, factors, iterative, knn, labels, lsh, pearson, permuted, setjoin
 from tastegraph.operators import ratings as prep
 from tastegraph.plans.durable import durable, scratch_path
+from tastegraph.plans.numbering import dense_numbers
 from tastegraph.sources import readers, writers
 
 NEIGHBORS = 10
@@ -284,6 +285,34 @@ def cosine_set_quality(spark, sf_dir):
     return _recall_check(evaluate.pair_quality(found, exact), lsh.RECALL)
 
 
+def cosine_permuted_sets(spark, sf_dir):
+    found = permuted.cosine_permuted_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE)
+    return _tidy(found, "similarity")
+
+
+def cosine_permuted_quality(spark, sf_dir):
+    """The sorted permutations against the exact join."""
+    exact = durable(setjoin.cosine_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE))
+    found = durable(permuted.cosine_permuted_join(inputs.words(spark, sf_dir), "doc_id", "word", WORD_COSINE))
+    quality = evaluate.pair_quality(found, exact)
+    return _tidy(quality.select("tp", "fn", "precision", "recall"), "precision", "recall")
+
+
+def row_numbers(spark, sf_dir):
+    """All ratings in the order of user and item, numbered from 0, and each user's from 0 as well."""
+    rated = inputs.ratings(spark, sf_dir)
+    numbered = dense_numbers(rated, ["user", "item"])
+    return dense_numbers(numbered, ["item"], ["user"], "place", "items")
+
+
+def pairs_relabelled(spark, sf_dir):
+    """The exact join of word sets with text ids, on dense numbers inside and with the ids at both ends of a pair."""
+    words = inputs.words(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")))
+    numbers = labels.label_numbers(words, "doc_id")
+    found = setjoin.cosine_join(labels.encoded(words, "doc_id", numbers), "doc_id", "word", WORD_COSINE)
+    return _tidy(labels.relabelled(found, numbers), "similarity")
+
+
 def cosine_vectors(spark, sf_dir):
     vectors = inputs.embeddings(spark, sf_dir)
     found = lsh.cosine_join_vectors(vectors, "vec_id", "embedding", inputs.EMBEDDING_DIMS)
@@ -419,7 +448,8 @@ QUERIES = {
         user_knn_scored, user_knn_error_hist, user_knn_rmse, item_knn_quality,
         minhash_signature_rows, minhash_signatures, minhash_rows_without_modulus, lsh_candidates, lsh_candidates_small_prime,
         jaccard_lsh_join, jaccard_exact, lsh_pair_quality,
-        cosine_sets, cosine_words, cosine_lsh_sets, cosine_set_quality, cosine_vectors, cosine_vector_quality,
+        cosine_sets, cosine_words, cosine_lsh_sets, cosine_set_quality, cosine_permuted_sets,
+        cosine_permuted_quality, row_numbers, pairs_relabelled, cosine_vectors, cosine_vector_quality,
         iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped, als_scored_pairs, als_range,
         ratings_csv_roundtrip, text_interactions_roundtrip, interactions_roundtrip, predictions_csv_roundtrip,
         pairs_csv_similarity, pairs_sink_roundtrip, predictions_sink_roundtrip,
