@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from tastegraph.catalog import inputs, queries
 from tastegraph.functions.hashing import LARGE_PRIME, SMALL_PRIME, hash_params
-from tastegraph.operators.lsh import sign_shape
-from tastegraph.operators.permuted import BITS, NEIGHBOURS, PERMUTATIONS, most_apart, permutations
+from tastegraph.operators.lsh import most_apart, sign_shape
+from tastegraph.operators.permuted import BITS, NEIGHBOURS, PERMUTATIONS, permutations
 
 IMPUTE_PASSES = 10
 
@@ -150,14 +150,18 @@ exact AS (SELECT a, b, {value} AS s FROM shared JOIN sizes na ON na.id = a JOIN
 SIGN_CANDIDATES = """
 band AS (SELECT id, n // rows AS g, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY n) AS k
   FROM sums, shape WHERE n < bands * rows GROUP BY 1, 2),
-cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id)"""
+signature AS (SELECT id, string_agg(k, '' ORDER BY g) AS sig FROM band GROUP BY id),
+met AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id),
+cand AS (
+  SELECT a, b FROM met JOIN signature s ON s.id = a JOIN signature t ON t.id = b, shape
+  WHERE hamming(s.sig, t.sig) <= apart)"""
 
 
 def signs(threshold: float) -> str:
     rows, bands = sign_shape(threshold)
     return f"""{hash_values(rows * bands)},
 sums AS (SELECT id, n, sum(1 - 2 * (((a * x + b) % {LARGE_PRIME}) % 2)) AS s FROM el, p GROUP BY id, n),
-shape AS (SELECT {rows} AS rows, {bands} AS bands),{SIGN_CANDIDATES}"""
+shape AS (SELECT {rows} AS rows, {bands} AS bands, {most_apart(threshold, rows * bands)} AS apart),{SIGN_CANDIDATES}"""
 
 
 def permuted_pairs(threshold: float) -> str:

@@ -114,7 +114,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             if end >= done["ip"] and (end == 0 or not "0" <= text[end - 1] <= "9" or end == done["ip"]):
                 if quad := QUAD.match(text, end):
                     done["ip"] = quad.end()
-                    if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in quad.group().split(".")):
+                    if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in quad.group().split(".")):
                         out.append(("ip", *quad.span()))
         elif anchor == "at":
             start = _left(text, end, done["email"], LOCAL)

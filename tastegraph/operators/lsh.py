@@ -37,6 +37,10 @@ BITS = 150
 # Sign bands of sets: the share of pairs at the threshold that must be found, and the most signs and rows for it.
 RECALL = 0.99
 MOST_BITS, MOST_ROWS = 600, 64
+# A pair at the threshold differs in so many standard errors more signs than expected with probability 3e-5.
+SIGMAS = 4.0
+# Signs that fit one number.
+WORD_BITS = 50
 
 
 def params_frame(spark, count: int = BANDS * ROWS) -> DataFrame:
@@ -170,6 +174,33 @@ def _checked_sets(banded, keys, unique, members, measure, threshold, block_rows)
     return expand_copies(verify(found, unique, measure, threshold), members, block_rows)
 
 
+def most_apart(threshold: float, bits: int, sigmas: float = SIGMAS) -> int:
+    """How many of their signs two sets at the threshold may differ in."""
+    share = math.acos(min(threshold, 1.0)) / math.pi
+    return min(bits, math.floor(bits * share + sigmas * math.sqrt(bits * share * (1 - share))))
+
+
+def sign_text(banded: DataFrame) -> DataFrame:
+    """``(id, signature)``: the keys of all bands of a set, as text of 0 and 1."""
+    parts = F.array_sort(F.collect_list(F.struct("band", "key")))
+    return banded.groupBy("id").agg(F.array_join(F.transform(parts, lambda s: s["key"]), "").alias("signature"))
+
+
+def sign_words(signed: DataFrame, bits: int) -> tuple[DataFrame, list[str]]:
+    """The signatures as numbers of ``WORD_BITS`` signs, and the names of these columns."""
+    names = [f"w{n}" for n in range(-(-bits // WORD_BITS))]
+    return signed.select("*", *[
+        F.conv(F.substring("signature", WORD_BITS * n + 1, WORD_BITS), 2, 10).cast("long").alias(w) for n, w in enumerate(names)
+    ]), names
+
+
+def bits_apart(left: list[Column], right: list[Column]) -> Column:
+    total = F.lit(0)
+    for one, two in zip(left, right, strict=True):
+        total = total + F.bit_count(one.bitwiseXOR(two))
+    return total
+
+
 def sign_shape(threshold: float, recall: float = RECALL, bits: int = MOST_BITS) -> tuple[int, int]:
     """``(rows, bands)``: the most rows per band with which a pair at the threshold shares a band with probability
     ``recall``, in at most ``bits`` signs (or one row per band). Nothing else enters, so the recall holds at any size."""
@@ -224,15 +255,26 @@ def cosine_lsh_join(
 
     Without ``rows`` the shape of the bands follows from ``threshold`` and ``recall`` alone (``sign_shape``): a pair at
     the threshold is found with that probability, a closer one more likely, however many sets there are. Candidates
-    among unrelated sets grow with the square of their number. With ``rows`` the ``bits`` form ``bits / rows`` bands, rounded up.
+    among unrelated sets grow with the square of their number; those whose signatures as a whole are too far apart for the
+    threshold (``most_apart``) leave inside the join. With ``rows`` the ``bits`` form ``bits / rows`` bands, rounded up.
     """
     unique, members = prepared(distinct_sets(df, set_col, element_col))
     if rows is None:
         rows, bands = sign_shape(threshold, recall, bits or MOST_BITS)
     else:
         bands = -(-(bits or BITS) // rows)
-    banded = sign_bands(unique, bands, rows, code=code)
-    return _checked_sets(banded, ["key"], unique, members, Cosine, threshold, block_rows)
+    banded = durable(sign_bands(unique, bands, rows, code=code))
+    # most pairs of a bucket are far apart over all signs; only the others are compared element by element
+    words, names = sign_words(sign_text(banded), rows * bands)
+    sized = banded.join(durable(words.join(members.select("id", "n"), "id").select("id", "n", *names)), "id")
+    limit = most_apart(threshold, rows * bands)
+
+    def keep(left, right):
+        near = bits_apart([left(w) for w in names], [right(w) for w in names]) <= limit
+        return sizes_allow(Cosine, threshold, left("n"), right("n")) & near
+
+    found = bucket_pairs(sized, ["key"], ["n", *names], keep, block_rows).select("a", "b", "na", "nb")
+    return expand_copies(verify(durable(found), unique, Cosine, threshold), members, block_rows)
 
 
 def _sign_keys(dims: int, bands: int, rows: int):

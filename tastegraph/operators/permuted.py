@@ -11,12 +11,11 @@ differ in more bits than a pair at the threshold does, but for ``SIGMAS`` standa
 from __future__ import annotations
 
 import hashlib
-import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.operators.lsh import sign_bands
+from tastegraph.operators.lsh import SIGMAS, bits_apart, most_apart, sign_bands, sign_text, sign_words
 from tastegraph.operators.setjoin import Cosine, distinct_sets, prepared, sizes_allow, verify
 from tastegraph.plans.copies import expand_copies
 from tastegraph.plans.durable import durable
@@ -25,7 +24,6 @@ from tastegraph.plans.numbering import dense_numbers
 BITS, NEIGHBOURS, PERMUTATIONS = 150, 150, 10
 # Signs are worked out in groups of so many.
 GROUP = 10
-SIGMAS = 4.0
 
 
 def permutations(count: int, bits: int) -> list[list[int]]:
@@ -35,18 +33,9 @@ def permutations(count: int, bits: int) -> list[list[int]]:
     ]
 
 
-def most_apart(threshold: float, bits: int, sigmas: float = SIGMAS) -> int:
-    """How many bits two signatures at the threshold may differ in."""
-    share = math.acos(min(threshold, 1.0)) / math.pi
-    return min(bits, math.floor(bits * share + sigmas * math.sqrt(bits * share * (1 - share))))
-
-
 def signatures(sets: DataFrame, bits: int = BITS) -> DataFrame:
     """``(id, signature)``: the signs of each set as text of 0 and 1."""
-    parts = sign_bands(sets, bits // GROUP, GROUP)
-    return parts.groupBy("id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("band", "key"))), lambda s: s["key"]), "").alias("signature")
-    )
+    return sign_text(sign_bands(sets, bits // GROUP, GROUP))
 
 
 def neighbour_pairs(rows: DataFrame, group: str, place: str, carry: list[str], neighbours: int) -> DataFrame:
@@ -64,13 +53,6 @@ def neighbour_pairs(rows: DataFrame, group: str, place: str, carry: list[str], n
     return left.join(right, [group, "block"]).where((F.col("_r") > F.col("_l")) & (F.col("_r") <= F.col("_l") + neighbours))
 
 
-def bits_apart(left: list[str], right: list[str]) -> Column:
-    total = F.lit(0)
-    for one, two in zip(left, right, strict=True):
-        total = total + F.bit_count(F.col(one).bitwiseXOR(F.col(two)))
-    return total
-
-
 def cosine_permuted_join(
     df: DataFrame,
     set_col: str,
@@ -91,18 +73,14 @@ def cosine_permuted_join(
         F.struct(F.lit(p).alias("permutation"), F.array(*[F.lit(n + 1) for n in order]).alias("order"))
         for p, order in enumerate(permutations(permuted, bits))
     ])
-    # the signature in numbers of fifty bits
-    words = [f"w{n}" for n in range(-(-bits // 50))]
-    own = signed.select("id", "n", "signature", *[
-        F.conv(F.substring("signature", 50 * n + 1, 50), 2, 10).cast("long").alias(w) for n, w in enumerate(words)
-    ])
+    own, words = sign_words(signed, bits)
     keyed = own.select("*", F.inline(orders)).select(
         "permutation", "id", "n", *words,
         F.array_join(F.transform("order", lambda at: F.substring(F.col("signature"), at, F.lit(1))), "").alias("key"),
     )
     placed = dense_numbers(keyed, ["key", "id"], ["permutation"], "place").select("permutation", "place", "id", "n", *words)
     met = neighbour_pairs(placed, "permutation", "place", ["id", "n", *words], neighbours)
-    near = bits_apart([f"a_{w}" for w in words], [f"b_{w}" for w in words]) <= most_apart(threshold, bits, sigmas)
+    near = bits_apart([F.col(f"a_{w}") for w in words], [F.col(f"b_{w}") for w in words]) <= most_apart(threshold, bits, sigmas)
     met = met.where(near & sizes_allow(Cosine, threshold, F.col("a_n"), F.col("b_n")))
     swap = F.col("a_id") > F.col("b_id")
     found = met.select(
