@@ -67,6 +67,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = words
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # words met since the cache was last full, and those met in the time before
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -126,7 +127,10 @@ class WordIds:
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        rows = [(t if any(m in t for m in MARKS) else t.lower()).split() if t else [] for t in texts]
+        # the tokenizer finds its added tokens before it folds case, so a text in which folding would make one is not folded here
+        apart = (*MARKS, *self.added)
+        lowered = [(t, t.lower()) if t else (b"", b"") for t in texts]
+        rows = [(t if any(m in low for m in apart) else low).split() for t, low in lowered]
         if sum(map(len, rows)) > self.limit // 4 and len(rows) > 1:
             half = len(rows) // 2
             return self.ids(texts[:half]) + self.ids(texts[half:])

@@ -49,6 +49,12 @@ def least(counts, window, size):
     return best[1]
 
 
+def test_marks_in_other_cases(tokenizer):
+    texts = ["<|ENDOFTEXT|>", "x<|EndOfText|>Y And <|endoftext|> Z", "<|StartOfText|> A", "a <|ENDOFTEXT|> B <|endoftext|>"]
+    for text, ids in zip(texts, packing.WordIds(PATH).ids([t.encode() for t in texts]), strict=True):
+        assert list(np.frombuffer(ids, np.uint32)) == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_levels_follow_the_rule():
     rng = random.Random(1)
     packer = packing.Packer(window=32)

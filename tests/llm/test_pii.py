@@ -18,7 +18,7 @@ PATTERNS = {
 def passes(kind, found):
     digits = re.sub("[^0-9]", "", found)
     if kind == "ip":
-        return all(int(p) <= 255 for p in found.split("."))
+        return all(int(p.lstrip("0") or "0") <= 255 for p in found.split("."))
     if kind == "card":
         return 12 <= len(digits) <= 19 and pii.luhn(digits)
     return kind == "email" or 9 <= len(digits) <= 15
@@ -78,6 +78,16 @@ def test_query(spark, tmp_path):
         assert [got[i][f"n_{k}"] for k in PATTERNS] == [sum(w[0] == k for w in want) for k in PATTERNS]
 
 
+def test_long_runs_of_zeros_in_addresses(spark):
+    zeros = "0" * 5000
+    texts = [f"{zeros}.1.1.1", f"a {zeros}1.2.{zeros}255.4 b", f"1.2.3.{zeros}256", f"{zeros}.{zeros}.{zeros}.{zeros}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = docs.select("doc_id", pii.find_spans("text").alias("found")).orderBy("doc_id").collect()
+    for text, row in zip(texts, found, strict=True):
+        assert [s["kind"] for s in row.found if s["kind"] == "ip"] == [k for k, _, _ in brute(text) if k == "ip"]
+    assert [sum(s["kind"] == "ip" for s in r.found) for r in found] == [1, 1, 0, 1]
+
+
 def test_redact_keeps_other_columns(spark):
     docs = spark.createDataFrame([(1, "a@b.co", "x"), (None, None, "y")], "doc_id long, text string, kind string")
     assert [tuple(r) for r in pii.redact(docs).orderBy("kind").collect()] == [(1, "[EMAIL]", "x"), (None, None, "y")]
