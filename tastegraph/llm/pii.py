@@ -44,6 +44,8 @@ LOGIN = re.compile(r"[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+(?::[0-9]+)?")
 AFTER_CUE = re.compile(r"(?:\x20?(?:no\.?|number|nr\.?|n°))?[\x20:#=.]{0,3}")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,17}(?![0-9])")
+DATE = re.compile(r"(?:1[0-9]|2[01])[0-9]{2}([\x20-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([\x20-])[0-9]{1,2}\2(?:1[0-9]|2[01])[0-9]{2}")
+THOUSANDS = re.compile(r"[1-9][0-9]{0,2}(?:\x20[0-9]{3})+")
 
 
 @cache
@@ -57,7 +59,7 @@ def _automaton():
         found.add_word(word, anchor)
     for cue in ACCOUNT_CUES:
         for form in (cue, cue.upper(), cue.capitalize()):
-            found.add_word(form, "account")
+            found.add_word(form, form)
     found.make_automaton()
     return found
 
@@ -77,6 +79,10 @@ def _left(text: str, at: int, stop: int, allowed: frozenset) -> int:
     return at
 
 
+def _starts_word(text: str, at: int) -> bool:
+    return at == 0 or not text[at - 1].isalnum()
+
+
 def _iban(text: str) -> bool:
     code = text.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
@@ -90,9 +96,14 @@ def _account(text: str, after: int) -> tuple[int, int] | None:
         if _iban(found.group()):
             return found.span()
         cut = found.group().rfind(" ")
-        found = IBAN.match(text[: start + cut], start) if cut > 0 else None
+        found = IBAN.match(text, start, start + cut) if cut > 0 else None
     plain = NUMBER.match(text, start)
-    return plain.span() if plain else None
+    if not plain or DATE.fullmatch(plain.group()):
+        return None
+    # After a bare cue, groups of three digits are a quantity.
+    if not text[after:start].strip(" ") and THOUSANDS.fullmatch(plain.group()):
+        return None
+    return plain.span()
 
 
 def spans(text: str | None) -> list[tuple[str, int, int]]:
@@ -132,7 +143,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             if start < end - 2 and (login := LOGIN.match(text, end + 1)):
                 done["url"] = login.end()
                 out.append(("url", start, login.end()))
-        elif end >= done["account"] and (span := _account(text, end + 1)):
+        elif end >= done["account"] and _starts_word(text, end - len(anchor) + 1) and (span := _account(text, end + 1)):
             done["account"] = span[1]
             out.append(("account", *span))
     out.sort(key=lambda s: (s[1], KINDS.index(s[0])))

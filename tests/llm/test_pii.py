@@ -92,3 +92,26 @@ def test_redact_keeps_other_columns(spark):
     docs = spark.createDataFrame([(1, "a@b.co", "x"), (None, None, "y")], "doc_id long, text string, kind string")
     assert [tuple(r) for r in pii.redact(docs).orderBy("kind").collect()] == [(1, "[EMAIL]", "x"), (None, None, "y")]
     assert pii.redact(docs.limit(0)).count() == 0
+
+
+def test_accounts_need_a_word_of_their_own_and_a_number():
+    def accounts(text):
+        return [text[s:e] for k, s, e in pii.spans(text) if k == "account"]
+
+    assert accounts("account 2024-01-15 and compte 31 12 2023") == []
+    assert accounts("il compte 300 000 habitants, cuenta 1 234 567") == []
+    assert accounts("subaccount 12345678, miniban 12345678") == []
+    assert accounts("account: 300 000 123, konto 12345678, my_account no. 123-456-789") == ["300 000 123", "12345678", "123-456-789"]
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    for part in ("IBAN DE89 3704 0044 0532 0130 99 THE ", "account 0000000 ", "0", "1.", "+1 (", "a@", "x://", "konto 300 000 "):
+        seconds = []
+        for size in (400_000, 1_600_000):
+            text = part * (size // len(part))
+            start = time.perf_counter()
+            pii.spans(text)
+            seconds.append(time.perf_counter() - start)
+        assert seconds[1] < 9 * seconds[0] + 0.5, (part, seconds)
