@@ -165,5 +165,6 @@ def contamination(
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = contamination(docs, items, doc_id, text, **options).where("contaminated").select("_k1", "_k2").distinct()
-    own = docs.select("*", *keyed(docs, doc_id, text))
-    return own.join(bad, ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    # a row travels as one struct, so that no column of it can clash with the keys
+    own = docs.select(*keyed(docs, doc_id, text), F.struct("*").alias("row"))
+    return own.join(bad, ["_k1", "_k2"], "left_anti").select("row.*")

@@ -334,16 +334,17 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the smallest id of their component, one row for each id, and rows without an id."""
     found = near_duplicates(docs, words, percent, doc_id, text)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    stay = docs.join(gone.withColumnRenamed("doc_id", "_gone"), docs[doc_id].cast("long") == F.col("_gone"), "left_anti")
+    # a row travels as one struct beside the names used here, so that no column of the documents can clash with them
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), F.struct("*").alias("row"))
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
+    stay = rows.join(gone, "id", "left_anti")
     # repeated ids are rare: only those are ranked, the others pass without a shuffle of texts
     twice = found.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
-    twice = durable(twice.select(F.col("doc_id").alias("_twice")))
+    twice = durable(twice.select(F.col("doc_id").alias("id")))
     if twice.isEmpty():
-        return stay
-    match = docs[doc_id].cast("long") == F.col("_twice")
-    once = stay.join(twice, match, "left_anti")
-    ranked = Window.partitionBy(F.col(doc_id)).orderBy(F.xxhash64(F.col(text)), F.col(text))
-    return once.unionByName(
-        stay.join(twice, match, "left_semi").withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
-    )
+        return stay.select("row.*")
+    once = stay.join(twice, "id", "left_anti")
+    content = F.col("row").getField(text)
+    ranked = Window.partitionBy("id").orderBy(F.xxhash64(content), content)
+    first = stay.join(twice, "id", "left_semi").withColumn("rank", F.row_number().over(ranked)).where("rank = 1")
+    return once.select("row.*").unionAll(first.select("row.*"))
