@@ -6,6 +6,7 @@ from __future__ import annotations
 from tastegraph.catalog import inputs, queries
 from tastegraph.functions.hashing import LARGE_PRIME, SMALL_PRIME, hash_params
 from tastegraph.operators.lsh import most_apart, sign_shape
+from tastegraph.operators.onehash import rotation_step
 from tastegraph.operators.permuted import BITS, NEIGHBOURS, PERMUTATIONS, permutations
 
 IMPUTE_PASSES = 10
@@ -120,11 +121,35 @@ sizes AS (SELECT id, count(*) AS n FROM el GROUP BY id)"""
 
 def minhash(rows: int, prime: int, universe: str = "") -> str:
     return f"""
-mh AS (SELECT id, n, min((a * x + b) % {prime}{universe}) AS h FROM el, p GROUP BY id, n),
+mh AS (SELECT id, n, min((a * x + b) % {prime}{universe}) AS h FROM el, p GROUP BY id, n),""" + bands_met(rows)
+
+
+def bands_met(rows: int) -> str:
+    return f"""
 band AS (SELECT id, n // {rows} AS g, string_agg(h::VARCHAR, ' ' ORDER BY n) AS k FROM mh GROUP BY 1, 2),
 cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM band x JOIN band y ON x.g = y.g AND x.k = y.k AND x.id < y.id)"""
 
 
+def one_hash(bins: int) -> str:
+    """Bin minima of single hashes; an empty bin takes the next filled one to the right, moved by the distance."""
+    return f"""
+filled AS (SELECT id, x % {bins} AS bin, min(x // {bins}) AS v FROM el GROUP BY 1, 2),
+mh AS (
+  SELECT id, n, min_by(v + ((bin - n + {bins}) % {bins}) * {rotation_step(bins)}, (bin - n + {bins}) % {bins}) AS h
+  FROM filled, range({bins}) r(n) GROUP BY id, n)"""
+
+
+def tiled(size: int) -> str:
+    """All cells of the tiles that have a rating."""
+    return f"""
+rn AS (SELECT i, row_number() OVER (ORDER BY i) - 1 AS n FROM (SELECT DISTINCT i FROM ratings)),
+cn AS (SELECT u, row_number() OVER (ORDER BY u) - 1 AS n FROM (SELECT DISTINCT u FROM ratings)),
+placed AS (SELECT rn.n AS y, cn.n AS x, r FROM ratings JOIN rn USING (i) JOIN cn USING (u)),
+tile AS (SELECT DISTINCT y // {size} AS row_tile, x // {size} AS column_tile FROM placed),
+cell AS (SELECT row_tile, column_tile, k, row_tile * {size} + k // {size} AS y, column_tile * {size} + k % {size} AS x
+  FROM tile, range({size * size}) g(k))"""
+
+
 ALL_PAIRS = "cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM el x JOIN el y ON x.x = y.x AND x.id < y.id)"
 
 
@@ -283,6 +308,10 @@ c_both AS (SELECT w_both.* FROM w_both JOIN cand ON cand.a = least(id, nb) AND c
         SPLIT, sets("i", "u", "ratings"), hash_values(165),
         minhash(5, SMALL_PRIME, " % (SELECT count(DISTINCT u) FROM ratings)"),
     )
+    report = f"""SELECT 'pairs' AS metric, count(*)::DOUBLE AS value FROM scored
+UNION ALL SELECT 'rmse', {tidy('sqrt(avg(e * e))')} FROM scored
+UNION ALL SELECT CASE WHEN k = 4 THEN 'error_4_up' ELSE 'error_' || k END, count(e)::DOUBLE
+FROM range(5) r(k) LEFT JOIN scored ON least(floor(e), 4)::BIGINT = k GROUP BY k"""
     lsh_pairs = (WORDS, hash_values(165), minhash(5, LARGE_PRIME), checked("jaccard", 0.5))
     return {
         "ratings_dedup": with_(SPLIT, select=triple + "ratings"),
@@ -386,13 +415,23 @@ LEFT JOIN scored ON least(floor(e), 4)::BIGINT = k GROUP BY k""",
         "user_knn_rmse": with_(
             *user_plain, SCORED, select=f"SELECT count(*) AS n, {tidy('sqrt(avg(e * e))')} AS rmse FROM scored"
         ),
-        "item_knn_quality": with_(
-            *item_plain,
-            SCORED,
-            select=f"""SELECT 'pairs' AS metric, count(*)::DOUBLE AS value FROM scored
-UNION ALL SELECT 'rmse', {tidy('sqrt(avg(e * e))')} FROM scored
-UNION ALL SELECT CASE WHEN k = 4 THEN 'error_4_up' ELSE 'error_' || k END, count(e)::DOUBLE
-FROM range(5) r(k) LEFT JOIN scored ON least(floor(e), 4)::BIGINT = k GROUP BY k""",
+        "item_knn_quality": with_(*item_plain, SCORED, select=report),
+        "written_quality": with_(*user_plain, SCORED, select=report),
+        "predictions_sink_order": with_(
+            *user_plain,
+            select=PREDICTED.replace(" FROM", ', row_number() OVER (ORDER BY u, i) - 1 AS line FROM'),
+        ),
+        "one_hash_signatures": with_(
+            SPLIT, sets("i", "u", "ratings", mixed=True), one_hash(q.ONE_HASH_BINS),
+            select="SELECT id, string_agg(h::VARCHAR, ' ' ORDER BY n) AS signature FROM mh GROUP BY id",
+        ),
+        "jaccard_one_hash_join": with_(
+            WORDS, one_hash(165), bands_met(5), checked("jaccard", 0.5), select=PAIRS,
+        ),
+        "item_vector_tiles": with_(
+            SPLIT, tiled(q.TILE),
+            select="""SELECT row_tile, column_tile, string_agg(coalesce(r, 0)::BIGINT::VARCHAR, ' ' ORDER BY k) AS cells
+FROM cell LEFT JOIN placed USING (y, x) GROUP BY 1, 2""",
         ),
         "minhash_signature_rows": with_(*ratings_hash, select="SELECT id, n, h FROM mh"),
         "minhash_signatures": with_(

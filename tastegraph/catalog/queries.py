@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tastegraph.catalog import inputs
 from tastegraph.functions.columns import tidy
 from tastegraph.functions.hashing import SMALL_PRIME
-from tastegraph.operators import evaluate, factors, iterative, knn, labels, lsh, pearson, permuted, setjoin
+from tastegraph.operators import evaluate, factors, iterative, knn, labels, lsh, onehash, pearson, permuted, setjoin, tiles
 from tastegraph.operators import ratings as prep
 from tastegraph.plans.durable import durable, scratch_path
 from tastegraph.plans.numbering import dense_numbers
@@ -19,6 +19,8 @@ NEIGHBORS = 10
 USER_LSH = {"bands": 33, "rows": 2}
 SET_COSINE = 0.2
 WORD_COSINE = 0.7
+ONE_HASH_BINS = 64
+TILE = 32
 # the smallest whole factor with which cells are imputed and the signed sums stay well away from zero
 IMPUTE_FACTOR = (2, 1)
 
@@ -251,6 +253,24 @@ def lsh_pair_quality(spark, sf_dir):
     return _tidy(evaluate.pair_quality(_jaccard_lsh(spark, sf_dir), exact), "precision", "recall")
 
 
+def one_hash_signatures(spark, sf_dir):
+    """One-permutation signatures of the items' users."""
+    sets = prep.interactions(inputs.ratings(spark, sf_dir))
+    listed = onehash.one_hash_signatures(sets, ONE_HASH_BINS)
+    return listed.select("id", F.array_join(F.col("signature").cast("array<string>"), " ").alias("signature"))
+
+
+def jaccard_one_hash_join(spark, sf_dir):
+    return _tidy(onehash.jaccard_one_hash_join(inputs.words(spark, sf_dir), "doc_id", "word"), "similarity")
+
+
+def item_vector_tiles(spark, sf_dir):
+    """The dense item × user matrix in tiles."""
+    found = tiles.dense_tiles(inputs.ratings(spark, sf_dir), tile_rows=TILE, tile_columns=TILE)
+    whole = F.transform("values", lambda v: v.cast("long")).cast("array<string>")
+    return found.select("row_tile", "column_tile", F.array_join(whole, " ").alias("cells"))
+
+
 # cosine
 
 
@@ -417,6 +437,23 @@ def predictions_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def written_quality(spark, sf_dir):
+    """The report on predictions, observed while they are written."""
+    everything, test = _split(spark, sf_dir)
+    report = writers.write_evaluated(knn.predict_user_knn(everything, test), test, scratch_path(spark, "evaluated"))
+    return _tidy(report, "value")
+
+
+def predictions_sink_order(spark, sf_dir):
+    """Each written prediction with its line in the part files, taken in the order of their names."""
+    path = scratch_path(spark, "predictions")
+    writers.write_predictions(user_knn(spark, sf_dir), path)
+    lines = spark.read.schema("user long, item long, prediction double").csv(path)
+    placed = lines.select("*", "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    order = ["file_name", "file_block_start", "at"]
+    return dense_numbers(placed, order, name="line").drop(*order)
+
+
 # plain filter and group queries
 
 
@@ -447,12 +484,13 @@ QUERIES = {
         user_knn_candidates, item_knn_candidates,
         user_knn_scored, user_knn_error_hist, user_knn_rmse, item_knn_quality,
         minhash_signature_rows, minhash_signatures, minhash_rows_without_modulus, lsh_candidates, lsh_candidates_small_prime,
-        jaccard_lsh_join, jaccard_exact, lsh_pair_quality,
+        jaccard_lsh_join, jaccard_exact, lsh_pair_quality, one_hash_signatures, jaccard_one_hash_join, item_vector_tiles,
         cosine_sets, cosine_words, cosine_lsh_sets, cosine_set_quality, cosine_permuted_sets,
         cosine_permuted_quality, row_numbers, pairs_relabelled, cosine_vectors, cosine_vector_quality,
         iterative_cf, iterative_cf_imputed, als_predictions, als_rescaled, als_dropped, als_scored_pairs, als_range,
         ratings_csv_roundtrip, text_interactions_roundtrip, interactions_roundtrip, predictions_csv_roundtrip,
         pairs_csv_similarity, pairs_sink_roundtrip, predictions_sink_roundtrip,
+        written_quality, predictions_sink_order,
         count_not_matching, count_per_group, mean_per_group,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.operators.ratings import PAIR
@@ -32,20 +32,25 @@ def rmse(scored: DataFrame) -> DataFrame:
     )
 
 
-def rating_quality(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Report ``(metric, value)``: pairs scored, RMSE and the error histogram, from one aggregate."""
-    scored = score(predictions, truth)
-    bucket = F.least(F.floor("abs_error"), F.lit(LAST_BUCKET))
+def quality_columns(error: Column) -> list[Column]:
+    """Aggregates of absolute errors: pairs, RMSE and the histogram; null errors do not count."""
+    # "least" passes over nulls
+    bucket = F.when(error.isNotNull(), F.least(F.floor(error), F.lit(LAST_BUCKET)))
     labels = [f"error_{b}" for b in range(LAST_BUCKET)] + [f"error_{LAST_BUCKET}_up"]
-    wide = scored.agg(
-        F.count(F.lit(1)).cast("double").alias("pairs"),
-        F.sqrt(F.avg(F.col("abs_error") * F.col("abs_error"))).alias("rmse"),
+    return [
+        F.count(error).cast("double").alias("pairs"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
         *[
             F.coalesce(F.sum((bucket == b).cast("double")), F.lit(0.0)).alias(label)
             for b, label in enumerate(labels)
         ],
-    )
-    return wide.unpivot([], ["pairs", "rmse", *labels], "metric", "value")
+    ]
+
+
+def rating_quality(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """Report ``(metric, value)``: pairs scored, RMSE and the error histogram, from one aggregate."""
+    wide = score(predictions, truth).agg(*quality_columns(F.col("abs_error")))
+    return wide.unpivot([], wide.columns, "metric", "value")
 
 
 def pair_quality(found: DataFrame, truth: DataFrame) -> DataFrame:

@@ -161,10 +161,10 @@ def jaccard_lsh_join(
     """Pairs of sets ``(a, b, similarity)``: MinHash candidates, checked exactly against the threshold."""
     unique, members = prepared(distinct_sets(df, set_col, element_col))
     banded = minhash_bands(unique, bands, rows, prime, universe, code)
-    return _checked_sets(banded, [f"h{j}" for j in range(rows)], unique, members, Jaccard, threshold, block_rows)
+    return checked_sets(banded, [f"h{j}" for j in range(rows)], unique, members, Jaccard, threshold, block_rows)
 
 
-def _checked_sets(banded, keys, unique, members, measure, threshold, block_rows):
+def checked_sets(banded, keys, unique, members, measure, threshold, block_rows):
     sized = banded.join(members.select("id", "n"), "id")
 
     def keep(left, right):

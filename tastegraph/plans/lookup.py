@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tastegraph.plans.durable import durable
 
 # A key with more than 1/HOT_KEYS of all rows is hot; fewer than HOT_KEYS keys can be.
 HOT_KEYS = 16384
-# A table of up to this many keys is broadcast whole: a few numbers per key, so a few MB.
+# A table of up to this many keys and bytes is broadcast whole.
 BROADCAST_KEYS = 131072
+BROADCAST_BYTES = 16 << 20
+
+
+def _width(table: DataFrame) -> Column:
+    """The bytes of a row: those of its values as text where their length is open, 16 each otherwise."""
+    total = F.lit(0).cast("long")
+    for field in table.schema:
+        fixed = isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
+        size = F.lit(16) if fixed else F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + F.lit(16)
+        total = total + size
+    return total
 
 
 def lookup(
@@ -25,11 +37,16 @@ def lookup(
     """
     keys = [key] if isinstance(key, str) else list(key)
     table = table if written else durable(table)
-    entries, total, most = table.agg(F.count(F.lit(1)), F.sum(count), F.max(count)).first()
-    if entries <= BROADCAST_KEYS:
+    width = _width(table)
+    entries, total, most, size = table.agg(F.count(F.lit(1)), F.sum(count), F.max(count), F.sum(width)).first()
+    if entries <= BROADCAST_KEYS and (size or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys)
     if most * HOT_KEYS <= total:
         return rows.join(table, keys)
+    hot_size = table.where(F.col(count) * HOT_KEYS > total).agg(F.sum(width)).first()[0]
+    if (hot_size or 0) > BROADCAST_BYTES:
+        # long keys or values: Spark's own handling of skewed joins has to do
+        return rows.join(table, keys)
     values = [c for c in table.columns if c not in keys]
     hot = table.where(F.col(count) * HOT_KEYS > total).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values])
     cold = table.where(F.col(count) * HOT_KEYS <= total).withColumn("_salt", F.lit(0).cast("long"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RATING_TYPES = {"user": "long", "item": "long", "rating": "double"}
+# Formats whose inferred columns come sorted by name.
+UNORDERED = ("json", "xml")
 
 
 def _csv_fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -22,14 +24,22 @@ def _csv_fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return raw.where(~same).select(*[F.col(f"`{h}`").alias(n) for h, n in zip(header, names)])
 
 
+def _columnar(spark: SparkSession, path: str, format: str, names: list[str]) -> DataFrame:
+    """The first columns by position, or by name where the format keeps no order of columns."""
+    source = spark.read.format(format).load(path)
+    if format.lower() in UNORDERED:
+        return source.select(*names)
+    return source.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(source.columns, names)])
+
+
 def read_ratings(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """``(user, item, rating)`` from a headed CSV by position, or from a columnar format by position."""
+    """``(user, item, rating)`` from a headed CSV by position, or from a columnar format by position (JSON and XML: by
+    name, since their columns have no order)."""
     names = list(RATING_TYPES)
     if format == "csv":
         rows = _csv_fields(spark, path, names)
     else:
-        source = spark.read.format(format).load(path)
-        rows = source.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(source.columns, names)])
+        rows = _columnar(spark, path, format, names)
     return rows.select(*[F.col(n).cast(t).alias(n) for n, t in RATING_TYPES.items()])
 
 
@@ -39,8 +49,7 @@ def read_interactions(spark: SparkSession, path: str, format: str = "csv", text_
     if format == "csv":
         rows = _csv_fields(spark, path, ["user", "item"])
     else:
-        source = spark.read.format(format).load(path)
-        rows = source.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(source.columns, ["user", "item"])])
+        rows = _columnar(spark, path, format, ["user", "item"])
     return rows.select(*[F.col(n).cast(kind).alias(n) for n in ("user", "item")])
 
 
