@@ -31,7 +31,7 @@ def test_longer_rules_claim_their_sentences():
     for name, rule in li.RULES:
         found = li.licenses("Intro.\n" + full(rule) + "End.")
         assert [(m[0], tuple(m[3])) for m in found] == [(name, rule)]
-    bsd = li.RULES[-3][1]
+    bsd = ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")
     assert names(full(bsd) + full(bsd[:3])) == ["BSD-3-Clause", "BSD-2-Clause"]
     assert names(full(reversed(bsd))) == []
     assert names(full(bsd[:1]) + "Word.\n" * 20 + full(bsd[1:])) == []
@@ -148,3 +148,84 @@ def test_real_texts_wrapped_and_in_comments():
 def test_lines_without_an_end_are_sentences_too():
     assert names("Title\nReleased under the MIT License\nNext line of prose") == ["MIT"]
     assert names("a) Redistributions of source code\nand released under the MIT License too") == []
+
+
+NOTICE = [
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("This file is licensed under the Apache License, Version 2.0", "Apache-2.0"),
+    ("This work is licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"),
+    ("Released under the MIT License (see LICENSE).", "MIT"),
+    ("SPDX-License-Identifier: MIT", "MIT"),
+    ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"),
+    ("/* SPDX-License-Identifier: GPL-2.0 */", "GPL-2.0"),
+    ("The tool and its data are freely available under the terms of the GNU General Public License v3.0.", "GPL-3.0"),
+    ("Licensed under the GNU General Public License, version 3 or later.", "GPL-3.0-or-later"),
+    ("All of this is distributed under the BSD 3-Clause License.", "BSD-3-Clause"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "EPL-2.0"),
+    ("Published under the Mozilla Public License, version 2.0.", "MPL-2.0"),
+    ("Our map is released under CC BY 4.0.", "CC-BY-4.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("Released under the ISC license.", "ISC"),
+]
+OTHER = [
+    "This project is not licensed under the MIT License.", "Code that was released under the MIT License may differ.",
+    "SPDX-License-Identifier: MIT OR Apache-2.0", "She is licensed under the law of 1987.", "", "Some prose of no interest",
+    "Is it licensed under the MIT license or another one?", "They met under the terms of the treaty.",
+]
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software."""
+LGPL = GPL.format(";", ";", "2.1").replace("GNU General", "GNU Lesser General").replace("program", "library")
+
+
+def test_notices_with_subjects_brackets_and_tags():
+    for text, name in NOTICE:
+        assert names(text) == names(f"Before.\n{text}\nAfter") == [name], text
+    for text in OTHER:
+        assert names(text) == [], text
+    for subject in range(1, li.NAME + 4):
+        assert names("x. " + "word " * subject + "is licensed under the MIT License.") == (["MIT"] if subject <= li.NAME else [])
+    rng = random.Random(3)
+    for _ in range(200):
+        lines = [rng.choice([*NOTICE, *[(o, None) for o in OTHER]]) for _ in range(rng.randint(0, 10))]
+        assert names("\n".join(text for text, _ in lines)) == [name for _, name in lines if name]
+
+
+def test_more_whole_texts():
+    for text, name in ((ISC, "ISC"), (ZLIB, "Zlib"), (LGPL, "LGPL-2.1-or-later")):
+        for mark in ("", "# ", " * "):
+            assert names("\n".join(mark + line for line in text.split("\n"))) == [name], text
+
+
+def spots_by_hand(folded):
+    """Each run of words looked up in the table."""
+    words, out, at = folded.split(), [], 1
+    most = max(len(t.split()) for t in li.BY_TEXT)
+    for n, word in enumerate(words):
+        for m in range(n + 1, min(n + most, len(words)) + 1):
+            text = " ".join(words[n:m])
+            if text in li.BY_TEXT:
+                out.append((at, at + len(text), li.BY_TEXT[text]))
+        at += len(word) + 1
+    return out
+
+
+def test_wordings_found_equal_lookups_of_all_runs():
+    rng = random.Random(4)
+    pieces = [t for t in li.BY_TEXT]
+    for _ in range(100):
+        words = " ".join(rng.choice([rng.choice(pieces), "licensed under the", "some words", "mit license"]) for _ in range(6))
+        folded = f" {words} "
+        got = [s for s in li.spots(folded) if folded[s[0] : s[1]] in li.BY_TEXT]
+        assert set(spots_by_hand(folded)) == set(got)
+
+
+def test_each_wording_has_a_cue():
+    for text in [*li.BY_TEXT, *(text for _, text in li.VARIANTS)]:
+        assert any(cue in text for cue in li.CUES) or li.UNDER.search(text), text
