@@ -26,7 +26,19 @@ from tastegraph.functions.hashing import (
     projection_signs,
     text_id,
 )
-from tastegraph.operators.setjoin import Cosine, Jaccard, distinct_sets, prepared, sizes_allow, verify
+from tastegraph.operators.setjoin import (
+    SHORT,
+    Cosine,
+    Jaccard,
+    distinct_sets,
+    may_reach,
+    prepared,
+    short_apart,
+    short_sketch,
+    sizes_allow,
+    sketched,
+    verify,
+)
 from tastegraph.plans.copies import expand_copies, fingerprint, group_copies, has_copies
 from tastegraph.plans.durable import durable
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
@@ -111,9 +123,9 @@ def signatures(bands: DataFrame, rows: int = ROWS) -> DataFrame:
 
 
 def bucket_pairs(
-    bands: DataFrame, keys: list[str], carry: list[str] = (), keep=None, block_rows: int = BLOCK_ROWS
+    bands: DataFrame, keys: list[str], carry: list[str] = (), keep=None, block_rows: int = BLOCK_ROWS, shown: list[str] | None = None
 ) -> DataFrame:
-    """Distinct pairs ``(a, b, …)`` that share a bucket in at least one band.
+    """Distinct pairs ``(a, b, …)`` that share a bucket in at least one band, with the carried columns that are ``shown`` (all).
 
     The bucket is the 64-bit hash of band and key values: narrower to shuffle than the key, and a
     collision could only add a candidate, which verification removes.
@@ -124,7 +136,7 @@ def bucket_pairs(
     return met.select(
         F.col("a_id").alias("a"),
         F.col("b_id").alias("b"),
-        *[F.col(f"{side}_{c}").alias(f"{c}{side}") for c in carry for side in "ab"],
+        *[F.col(f"{side}_{c}").alias(f"{c}{side}") for c in (carry if shown is None else shown) for side in "ab"],
     ).distinct()
 
 
@@ -165,13 +177,15 @@ def jaccard_lsh_join(
 
 
 def checked_sets(banded, keys, unique, members, measure, threshold, block_rows):
-    sized = banded.join(members.select("id", "n"), "id")
+    sketches = sketched(unique, members)
+    sized = banded.join(sketches.select("id", "n", *short_sketch(F.col("sketch"))), "id")
 
     def keep(left, right):
-        return sizes_allow(measure, threshold, left("n"), right("n"))
+        near = may_reach(measure, threshold, left("n"), right("n"), short_apart(left, right))
+        return sizes_allow(measure, threshold, left("n"), right("n")) & near
 
-    found = bucket_pairs(sized, keys, ["n"], keep, block_rows)
-    return expand_copies(verify(found, unique, measure, threshold), members, block_rows)
+    found = bucket_pairs(sized, keys, ["n", *SHORT], keep, block_rows, ["n"])
+    return expand_copies(verify(found, unique, sketches, measure, threshold), members, block_rows)
 
 
 def most_apart(threshold: float, bits: int, sigmas: float = SIGMAS) -> int:
@@ -273,8 +287,8 @@ def cosine_lsh_join(
         near = bits_apart([left(w) for w in names], [right(w) for w in names]) <= limit
         return sizes_allow(Cosine, threshold, left("n"), right("n")) & near
 
-    found = bucket_pairs(sized, ["key"], ["n", *names], keep, block_rows).select("a", "b", "na", "nb")
-    return expand_copies(verify(durable(found), unique, Cosine, threshold), members, block_rows)
+    found = bucket_pairs(sized, ["key"], ["n", *names], keep, block_rows, ["n"])
+    return expand_copies(verify(found, unique, sketched(unique, members), Cosine, threshold), members, block_rows)
 
 
 def _sign_keys(dims: int, bands: int, rows: int):

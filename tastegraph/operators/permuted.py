@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.operators.lsh import SIGMAS, bits_apart, most_apart, sign_bands, sign_text, sign_words
-from tastegraph.operators.setjoin import Cosine, distinct_sets, prepared, sizes_allow, verify
+from tastegraph.operators.setjoin import Cosine, distinct_sets, prepared, sizes_allow, sketched, verify
 from tastegraph.plans.copies import expand_copies
 from tastegraph.plans.durable import durable
 from tastegraph.plans.numbering import dense_numbers
@@ -87,4 +87,4 @@ def cosine_permuted_join(
         F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"),
         F.when(swap, F.col("b_n")).otherwise(F.col("a_n")).alias("na"), F.when(swap, F.col("a_n")).otherwise(F.col("b_n")).alias("nb"),
     ).distinct()
-    return expand_copies(verify(durable(found), unique, Cosine, threshold), members)
+    return expand_copies(verify(durable(found), unique, sketched(unique, members), Cosine, threshold), members)

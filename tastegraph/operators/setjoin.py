@@ -5,6 +5,10 @@ share an element among the first few of each, so only those prefixes are joined;
 third of all rows hold comes last in every set and stays out of the join unless the sets consist of
 little else. Identical sets are joined once, through a representative.
 
+Pairs that meet are told apart by sketches before any elements are compared: each element flips one bit of a set's
+sketch, so two sketches differ in no more bits than the sets do in elements. A pair whose sketches differ in more than
+the threshold leaves room for cannot reach it; nothing else is dropped.
+
 The prefix is cut at a popularity class instead of a row number: that needs a small histogram per
 set (map-side combined) rather than a sort of all rows of a set in one task. A class is a whole
 number of the common order, so the prefix can only be longer than required, never shorter.
@@ -23,6 +27,9 @@ from tastegraph.plans.pairing import BLOCK_ROWS, pairs_within
 # Relative slack that keeps float noise in thresholds from cutting a pair that lies exactly on them.
 SLACK = 1e-9
 
+# A sketch has at least so many bits for each element, in 64-bit words whose number is a power of two.
+SKETCH_BITS, LEAST_WORDS, MOST_WORDS = 4, 16, 4096
+
 # Elements up to this popularity class (64 holders) are counted for every pair that shares them: at
 # most 32 pairs per row, and pairs of sets without busier elements need no second look.
 DIRECT_CLASS = 48
@@ -70,12 +77,76 @@ def distinct_sets(df: DataFrame, set_col: str, element_col: str) -> DataFrame:
     return df.select(F.col(set_col).alias("id"), F.col(element_col).alias("element")).dropna().distinct()
 
 
-def verify(candidates: DataFrame, sets: DataFrame, measure, threshold: float) -> DataFrame:
+def sketched(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``(id, n, sketch)`` of distinct ``(id, element)`` rows, written once; ``sketch`` is an array of 16 … 4096 longs.
+
+    An element flips bit ``h % 64`` of word ``h / 64``, modulo the number of words; with half as many words a sketch is that of
+    its two halves flipped together, so sketches of any two lengths compare at the shorter one.
+    """
+    wanted = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") * F.lit(SKETCH_BITS / 64)))).cast("long")
+    words = F.greatest(F.lit(LEAST_WORDS), F.least(F.lit(MOST_WORDS), wanted)).alias("words")
+    sizes = members.select("id", "n", words)
+    hashed = lookup(sets.select("id", F.xxhash64("element").alias("h")), sizes, "id", "n", written=True)
+    one = F.lit(1).cast("long")
+    flips = hashed.select(
+        "id", "n", F.expr("shiftrightunsigned(h, 6) & (words - 1)").alias("slot"),
+        F.call_function("shiftleft", one, F.expr("cast(h & 63 as int)")).alias("bit"),
+    )
+    # a zero for each word, so that the words in order are the whole sketch
+    zeros = sizes.join(sets.select("id").distinct(), "id", "left_semi").select(
+        "id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("words") - 1)).alias("slot"), F.lit(0).cast("long").alias("bit")
+    )
+    filled = flips.unionByName(zeros).groupBy("id", "n", "slot").agg(F.bit_xor("bit").alias("bits"))
+    listed = filled.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("slot", "bits"))).alias("held"))
+    return durable(listed.select("id", "n", F.col("held.bits").alias("sketch")))
+
+
+def _folded(sketch: Column, word: Column | int, words: Column) -> Column:
+    """One word of a sketch at a length of ``words``."""
+    word = F.lit(word).cast("int") if isinstance(word, int) else word
+    places = F.sequence(word, F.size(sketch) - 1, words)
+    return F.aggregate(places, F.lit(0).cast("long"), lambda held, at: held.bitwiseXOR(F.get(sketch, at)))
+
+
+def short_sketch(sketch: Column) -> list[Column]:
+    """The sketch at its least length, as columns for ``short_apart``."""
+    return [_folded(sketch, word, F.lit(LEAST_WORDS)).alias(name) for word, name in enumerate(SHORT)]
+
+
+SHORT = [f"s{word}" for word in range(LEAST_WORDS)]
+
+
+def may_reach(measure, threshold: float, na: Column, nb: Column, apart: Column) -> Column:
+    """Whether sets that differ in at least ``apart`` elements can have the similarity."""
+    return apart <= na + nb - F.lit(2) * F.ceil(measure.needed(threshold, na, nb) * F.lit(1.0 - SLACK))
+
+
+def short_apart(left, right) -> Column:
+    total = F.lit(0)
+    for word in SHORT:
+        total = total + F.bit_count(left(word).bitwiseXOR(right(word)))
+    return total
+
+
+def _sketches_apart(left: Column, right: Column) -> Column:
+    words = F.least(F.size(left), F.size(right))
+    return F.aggregate(
+        F.sequence(F.lit(0), words - 1), F.lit(0),
+        lambda total, word: total + F.bit_count(_folded(left, word, words).bitwiseXOR(_folded(right, word, words))),
+    )
+
+
+def verify(candidates: DataFrame, sets: DataFrame, sketches: DataFrame, measure, threshold: float) -> DataFrame:
     """Exact similarity of candidate pairs ``(a, b, na, nb)``, kept at ``threshold`` and above.
 
+    Pairs whose sketches rule them out leave first, so elements are compared for little more than the result.
     The smaller set's elements are looked up in the larger set, both in long form, so no set has to
     fit in a row or a task.
     """
+    for end, name in (("a", "_left"), ("b", "_right")):
+        candidates = candidates.join(sketches.select(F.col("id").alias(end), F.col("sketch").alias(name)), end)
+    apart = _sketches_apart(F.col("_left"), F.col("_right"))
+    candidates = durable(candidates.where(may_reach(measure, threshold, F.col("na"), F.col("nb"), apart)).select("a", "b", "na", "nb"))
     smaller_a = F.col("na") <= F.col("nb")
     oriented = candidates.select(
         "a",
@@ -105,7 +176,7 @@ def _popularity_class(holders: Column) -> Column:
     ).cast("int")
 
 
-def _prefixes(sets: DataFrame, members: DataFrame, measure, threshold: float) -> DataFrame:
+def _prefixes(sets: DataFrame, sketches: DataFrame, measure, threshold: float) -> DataFrame:
     """``(element, id, n, before, upto, direct)`` rows to be joined: each set's prefix and its elements
     with few holders. ``before`` counts the set's elements in lower classes, ``upto`` those up to the
     element's class or up to the directly counted ones, whichever reaches further."""
@@ -122,19 +193,20 @@ def _prefixes(sets: DataFrame, members: DataFrame, measure, threshold: float) ->
         histogram.withColumn("upto", F.sum("rows").over(classes.orderBy("klass")))
         .withColumn("before", F.col("upto") - F.col("rows"))
         .withColumn("counted", F.coalesce(F.sum(F.when(direct, F.col("rows"))).over(classes), F.lit(0)))
-        .join(members.select("id", "n"), "id")
+        .join(sketches.select("id", "n"), "id")
         .where(direct | (F.col("before") <= F.col("n") - required))
         .select("id", "klass", "rows", "n", "before", F.greatest("upto", "counted").alias("upto"))
     )
-    return lookup(ranked.where(F.col("holders") > 1), places, ["id", "klass"], "rows").select(
+    prefix = lookup(ranked.where(F.col("holders") > 1), places, ["id", "klass"], "rows").select(
         "element", "id", "n", "before", "upto", direct.alias("direct")
     )
+    return lookup(prefix, sketches.select("id", F.col("n").alias("_n"), *short_sketch(F.col("sketch"))), "id", "_n").drop("_n")
 
 
 def prefix_candidates(
-    sets: DataFrame, members: DataFrame, measure, threshold: float, block_rows: int = BLOCK_ROWS
+    sets: DataFrame, sketches: DataFrame, measure, threshold: float, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Pairs ``(a, b, na, nb, met, left_over)`` that the prefix and position bounds cannot rule out:
+    """Pairs ``(a, b, na, nb, met, left_over)`` that the prefix, position and short sketches cannot rule out:
     ``met`` common elements are known and at most ``left_over`` more can be common."""
 
     def needed(na, nb):
@@ -144,11 +216,12 @@ def prefix_candidates(
         # The prefix each set needs for this partner's size; shorter than the one for any partner.
         spare = needed(left("n"), right("n"))
         in_prefixes = (left("before") <= left("n") - spare) & (right("before") <= right("n") - spare)
-        return sizes_allow(measure, threshold, left("n"), right("n")) & (left("direct") | in_prefixes)
+        near = may_reach(measure, threshold, left("n"), right("n"), short_apart(left, right))
+        return sizes_allow(measure, threshold, left("n"), right("n")) & (left("direct") | in_prefixes) & near
 
-    prefix = durable(_prefixes(sets, members, measure, threshold))
+    prefix = durable(_prefixes(sets, sketches, measure, threshold))
     met = pairs_within(
-        prefix, ["element"], "id", ["n", "before", "upto", "direct"], keep=keep, block_rows=block_rows
+        prefix, ["element"], "id", ["n", "before", "upto", "direct", *SHORT], keep=keep, block_rows=block_rows
     )
     counted = met.groupBy(F.col("a_id").alias("a"), F.col("b_id").alias("b")).agg(
         F.max("a_n").alias("na"),
@@ -179,11 +252,12 @@ def _exact_join(df, set_col, element_col, measure, threshold, block_rows):
     if threshold <= 0:
         raise ValueError("an exact set join needs a threshold above 0")
     unique, members = prepared(distinct_sets(df, set_col, element_col))
-    candidates = durable(prefix_candidates(unique, members, measure, threshold, block_rows))
+    sketches = sketched(unique, members)
+    candidates = durable(prefix_candidates(unique, sketches, measure, threshold, block_rows))
     settled = candidates.where(F.col("left_over") == 0).select(
         "a", "b", measure.value(F.col("met"), F.col("na"), F.col("nb")).alias("similarity")
     )
-    open_pairs = verify(candidates.where(F.col("left_over") > 0), unique, measure, threshold)
+    open_pairs = verify(candidates.where(F.col("left_over") > 0), unique, sketches, measure, threshold)
     pairs = settled.where(F.col("similarity") >= threshold).unionByName(open_pairs)
     return expand_copies(pairs, members, block_rows)
 

@@ -231,3 +231,29 @@ def test_scratch_deletes_what_was_written_inside(spark):
             assert inner.count() == 5 and os.path.isdir(path.removeprefix("file:"))
         assert not os.path.isdir(path.removeprefix("file:"))
         assert outer.count() == 3
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets(spark):
+    rng = random.Random(31)
+    sets = {n: frozenset(rng.sample(range(4000), rng.choice([1, 3, 60, 500, 3000]))) for n in range(24)}
+    rows = setjoin.distinct_sets(frame(spark, sets), "id", "element")
+    sketches = setjoin.sketched(rows, copies.set_copies(rows))
+    lengths = {r.id: len(r.sketch) for r in sketches.collect()}
+    assert set(lengths) == set(sets) and set(lengths.values()) == {16, 32, 256}
+    one, two = (sketches.select(F.col("id").alias(i), F.col("sketch").alias(s), *[F.col(c).alias(f"{i}{c}") for c in ["n", *setjoin.SHORT]])
+                for sketches in [sketches.select("*", *setjoin.short_sketch(F.col("sketch")))] for i, s in (("a", "x"), ("b", "y")))
+    short = setjoin.short_apart(lambda c: F.col(f"a{c}"), lambda c: F.col(f"b{c}"))
+    met = one.crossJoin(two).select("a", "b", short.alias("short"), setjoin._sketches_apart(F.col("x"), F.col("y")).alias("apart"))
+    for r in met.collect():
+        assert r.short <= r.apart <= len(sets[r.a] ^ sets[r.b]), (r.a, r.b)
+
+
+@pytest.mark.parametrize("measure", [setjoin.Jaccard, setjoin.Cosine])
+def test_pairs_far_below_the_threshold_meet_no_elements(spark, measure):
+    """Sets of 40 that share 3 rare elements met element by element before."""
+    sets = {n: frozenset(range(3)) | {1000 * (n + 1) + k for k in range(37)} | {900 + k + n % 2 for k in range(2)} for n in range(30)}
+    sets[30] = sets[0] | {7}
+    rows = durable.durable(setjoin.distinct_sets(frame(spark, sets), "id", "element"))
+    sketches = setjoin.sketched(rows, durable.durable(copies.set_copies(rows)))
+    met = setjoin.prefix_candidates(rows, sketches, measure, 0.5)
+    assert [(r.a, r.b) for r in met.select("a", "b").collect()] == [(0, 30)]
