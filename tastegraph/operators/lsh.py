@@ -1,7 +1,8 @@
 """Locality-sensitive similarity joins: MinHash bands for Jaccard, sign bands for cosine.
 
-All signatures are aggregates over ``(set, element)`` rows, ``min`` or ``sum`` per (set, band), so a
-set that holds a third of all rows is combined map-side. A band row leaves the aggregate with its
+All signatures are aggregates over ``(set, element)`` rows, ``min`` or ``sum`` per (set, band). The rows are dealt by set
+before they are spread over the bands, so the shuffle holds an element once and not once a band; a set that holds
+a third of all rows is not dealt but combined map-side. A band row leaves the aggregate with its
 hashes and goes straight into the bucket join; full signatures are only put together on request.
 """
 
@@ -51,6 +52,8 @@ RECALL = 0.99
 MOST_BITS, MOST_ROWS = 600, 64
 # A pair at the threshold differs in so many standard errors more signs than expected with probability 3e-5.
 SIGMAS = 4.0
+# Sets of more elements than this are combined map-side; there are few of them.
+LARGE_SET = 65536
 # Signs that fit one number.
 WORD_BITS = 50
 
@@ -77,10 +80,23 @@ def _band_params(bands: int, rows: int) -> Column:
     )
 
 
-def _spread(sets: DataFrame, bands: int, rows: int, code: Callable[[Column], Column] | None) -> DataFrame:
-    """One row per element and band, with the band's parameters; the code is worked out before that."""
+def _per_band(
+    sets: DataFrame, bands: int, rows: int, code: Callable[[Column], Column] | None, values: list[Column], large_set: int
+) -> DataFrame:
+    """``(id, band, …)``: aggregates over the codes of each set, with the band's parameters beside them.
+
+    The rows of a set meet in one task with their codes alone and are spread there, one row per element and band; those of
+    large sets are spread where they are, and the aggregate combines them before the shuffle.
+    """
     value = F.col("element") if code is None else code(F.col("element"))
-    return sets.select("id", value.alias("code")).select("id", "code", F.inline(_band_params(bands, rows)))
+    large = F.broadcast(sets.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > large_set).select("id"))
+    coded = sets.select("id", value.alias("code"))
+    dealt = coded.join(large, "id", "left_anti").repartition("id")
+
+    def banded(frame: DataFrame) -> DataFrame:
+        return frame.select("id", "code", F.inline(_band_params(bands, rows))).groupBy("id", "band").agg(*values)
+
+    return banded(dealt).unionByName(banded(coded.join(large, "id", "left_semi")))
 
 
 def minhash_bands(
@@ -90,6 +106,7 @@ def minhash_bands(
     prime: int | None = LARGE_PRIME,
     universe: Column | None = None,
     code: Callable[[Column], Column] | None = text_id,
+    large_set: int = LARGE_SET,
 ) -> DataFrame:
     """``(id, band, h0 … h<rows-1>)``: the minimum of each hash over the set's elements.
 
@@ -97,14 +114,11 @@ def minhash_bands(
     family on numeric elements: small numbers then never wrap, and sets above the modulus look alike.
     ``universe`` is an optional final modulus.
     """
-    spread = _spread(sets, bands, rows, code)
     element = F.col("code")
-    return spread.groupBy("id", "band").agg(
-        *[
-            F.min(affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime, universe)).alias(f"h{j}")
-            for j in range(rows)
-        ]
-    )
+    least = [
+        F.min(affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime, universe)).alias(f"h{j}") for j in range(rows)
+    ]
+    return _per_band(sets, bands, rows, code, least, large_set)
 
 
 def signature_rows(bands: DataFrame, rows: int = ROWS) -> DataFrame:
@@ -234,22 +248,19 @@ def sign_bands(
     rows: int,
     prime: int = LARGE_PRIME,
     code: Callable[[Column], Column] | None = text_id,
+    large_set: int = LARGE_SET,
 ) -> DataFrame:
     """``(id, band, key)``: signs of random ±1 projections of each set's 0/1 vector, ``rows`` per band.
 
     The sign of an element under a hash function is the parity of its hash, so the projections are
     sums of integers and do not depend on the order of rows.
     """
-    spread = _spread(sets, bands, rows, code)
     element = F.col("code")
-    sums = spread.groupBy("id", "band").agg(
-        *[
-            F.sum(F.lit(1) - F.lit(2) * (affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime) % 2)).alias(
-                f"s{j}"
-            )
-            for j in range(rows)
-        ]
-    )
+    signed = [
+        F.sum(F.lit(1) - F.lit(2) * (affine_hash(element, F.col(f"a{j}"), F.col(f"b{j}"), prime) % 2)).alias(f"s{j}")
+        for j in range(rows)
+    ]
+    sums = _per_band(sets, bands, rows, code, signed, large_set)
     key = F.concat(*[F.when(F.col(f"s{j}") >= 0, "1").otherwise("0") for j in range(rows)])
     return sums.select("id", "band", key.alias("key"))
 

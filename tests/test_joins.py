@@ -257,3 +257,33 @@ def test_pairs_far_below_the_threshold_meet_no_elements(spark, measure):
     sketches = setjoin.sketched(rows, durable.durable(copies.set_copies(rows)))
     met = setjoin.prefix_candidates(rows, sketches, measure, 0.5)
     assert [(r.a, r.b) for r in met.select("a", "b").collect()] == [(0, 30)]
+
+
+@pytest.mark.parametrize("large_set", [0, 50, 10**6])
+def test_bands_of_large_and_small_sets(spark, large_set):
+    rng = random.Random(5)
+    sets = {1: rng.sample(range(5000), 700), 2: rng.sample(range(5000), 30), 3: [4]}
+    rows = frame(spark, sets).distinct()
+    least = {
+        (r.id, r.band, j): r[f"h{j}"]
+        for r in lsh.minhash_bands(rows, 3, 2, SMALL_PRIME, code=None, large_set=large_set).collect() for j in range(2)
+    }
+    assert least == {
+        (i, n // 2, n % 2): min((a * x + b) % SMALL_PRIME for x in held) for i, held in sets.items() for n, a, b in hash_params(6)
+    }
+    signs = {(r.id, r.band): r.key for r in lsh.sign_bands(rows, 2, 3, SMALL_PRIME, None, large_set).collect()}
+    for i, held in sets.items():
+        sums = [sum(1 - 2 * ((a * x + b) % SMALL_PRIME % 2) for x in held) for _, a, b in hash_params(6)]
+        assert signs[i, 0] + signs[i, 1] == "".join("1" if s >= 0 else "0" for s in sums)
+
+
+def test_elements_are_dealt_once_and_not_once_a_band(spark, tmp_path):
+    """Before, the rows of every band were shuffled: 33 a set in each partition."""
+    path = str(tmp_path / "sets")
+    spark.range(4000).select((F.col("id") % 500).alias("id"), F.col("id").alias("element")).repartition(8).write.parquet(path)
+    bands = lsh.minhash_bands(spark.read.parquet(path))
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    at = [n for n, line in enumerate(plan.splitlines()) if "REPARTITION_BY_COL" in line]
+    spread = [n for n, line in enumerate(plan.splitlines()) if "Generate inline" in line]
+    between = plan.splitlines()[: at[0]]
+    assert at and spread[0] < at[0] and not any("Exchange" in line for line in between)
