@@ -346,8 +346,10 @@ def _all_cosines(vectors: DataFrame, threshold: float, block_rows: int) -> DataF
             )
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one pair of blocks at a time, copied out of its batch and dropped before the next
         for batch in batches:
-            for r in batch.to_pylist():
+            for n in range(batch.num_rows):
+                (r,) = batch.slice(n, 1).to_pylist()
                 left = np.frombuffer(r["ldata"]).reshape(len(r["lids"]), -1)
                 right = np.frombuffer(r["rdata"]).reshape(len(r["rids"]), -1)
                 cosines = left @ right.T
@@ -365,9 +367,9 @@ def _all_cosines(vectors: DataFrame, threshold: float, block_rows: int) -> DataF
     )
     right = table.select(F.col("block").alias("other"), F.col("ids").alias("rids"), F.col("data").alias("rdata"))
     found = T.StructType().add("x", kind).add("y", kind).add("similarity", T.DoubleType())
-    return left.join(right, "other").mapInArrow(products, found).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity"
-    )
+    # written here, with small Arrow batches: a row has two blocks, and a batch of the usual size dozens
+    pairs = durable(left.join(right, "other").mapInArrow(products, found))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
 
 
 def cosine_join_vectors(

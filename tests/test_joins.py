@@ -287,3 +287,12 @@ def test_elements_are_dealt_once_and_not_once_a_band(spark, tmp_path):
     spread = [n for n, line in enumerate(plan.splitlines()) if "Generate inline" in line]
     between = plan.splitlines()[: at[0]]
     assert at and spread[0] < at[0] and not any("Exchange" in line for line in between)
+
+
+def test_vector_products_run_while_their_table_is_written(spark):
+    """Only there are Arrow batches small; a row of the product holds two blocks of vectors."""
+    df = spark.createDataFrame([(n, [1.0 * n, 1.0]) for n in range(20)], "id long, v array<double>")
+    found = lsh.cosine_join_vectors(df, "id", "v", 2, 0.99, block_rows=4)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    cosine = lambda a, b: (a * b + 1) / math.sqrt((a * a + 1) * (b * b + 1))
+    assert {p for p in scores(found)} == {(a, b) for a in range(20) for b in range(a + 1, 20) if cosine(a, b) >= 0.99}
