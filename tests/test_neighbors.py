@@ -247,3 +247,16 @@ def test_rows_without_a_useful_pair_are_not_joined(spark, monkeypatch):
     assert pearson_pairs(spark.createDataFrame(triples, SCHEMA), "user", only=only, keep_zero=True).count() == 299
     # the wanted row and those it meets, once each
     assert sum(joined) <= 2 + 300
+
+
+@pytest.mark.parametrize("keep_zero", [False, True])
+def test_pairs_of_an_id_with_many_rows_are_dealt_to_several_tasks(spark, keep_zero):
+    rng = random.Random(17)
+    rows = [(0, i, float(rng.randint(1, 5))) for i in range(60)]
+    rows += [(u, i, float(rng.randint(1, 5))) for u in range(1, 25) for i in rng.sample(range(60), 9)]
+    df = spark.createDataFrame(rows, "user long, item long, rating double")
+    got = [
+        {(r.a, r.b): (r.n, round(r.similarity, 9)) for r in pearson_pairs(df, keep_zero=keep_zero, spread_rows=n).collect()}
+        for n in (1, 7, 10**6)
+    ]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 50
