@@ -296,3 +296,43 @@ def test_vector_products_run_while_their_table_is_written(spark):
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
     cosine = lambda a, b: (a * b + 1) / math.sqrt((a * a + 1) * (b * b + 1))
     assert {p for p in scores(found)} == {(a, b) for a in range(20) for b in range(a + 1, 20) if cosine(a, b) >= 0.99}
+
+
+def near_copies(groups, size):
+    """Groups of near copies, and one set that is like none."""
+    rng = random.Random(3)
+    sets = {0: frozenset(range(9000, 9040))}
+    for g in range(groups):
+        base = [g * 100 + e for e in range(40)]
+        for n in range(size):
+            sets[1 + g * size + n] = frozenset(rng.sample(base, 36)) | {10_000 + g * size + n}
+    return sets
+
+
+@pytest.mark.parametrize("wide", [setjoin.PACKED_SET, 30, 0])
+@pytest.mark.parametrize("block_elements", [setjoin.BLOCK_ELEMENTS, 200])
+def test_checked_pairs_of_any_block_and_width(spark, monkeypatch, wide, block_elements):
+    monkeypatch.setattr(setjoin, "PACKED_SET", wide)
+    sets = {**near_copies(2, 12), 50: frozenset(range(20)), 51: frozenset(range(3, 23))}
+    unique, members = setjoin.prepared(setjoin.distinct_sets(frame(spark, sets), "id", "element"))
+    pairs = [(a, b, len(sets[a]), len(sets[b])) for a, b in itertools.combinations(sorted(sets), 2)]
+    found = setjoin.verify(
+        spark.createDataFrame(pairs, "a long, b long, na long, nb long"), unique, setjoin.sketched(unique, members),
+        setjoin.Jaccard, 0.5, block_elements,
+    )
+    assert scores(found) == brute(sets, "jaccard", 0.5)
+
+
+def test_sets_of_a_group_are_not_sent_once_a_pair(spark):
+    sets = near_copies(1, 120)
+    pairs = [(a, b, len(sets[a]), len(sets[b])) for a, b in itertools.combinations(sorted(sets), 2) if a]
+    placed, _ = setjoin._placed(spark.createDataFrame(pairs, "a long, b long, na long, nb long"), 1500)
+    assert placed.count() == len(pairs)
+    assert placed.select("one", "two").distinct().count() > 1
+    # a set goes to each of the blocks of its group, of which there are three
+    assert setjoin._sent(placed).count() <= 120 * 3
+
+
+def test_no_candidates_give_no_pairs(spark):
+    sets = {1: frozenset([1, 2]), 2: frozenset([3, 4])}
+    assert scores(jaccard_join(frame(spark, sets), "id", "element", 0.5)) == {}
