@@ -269,7 +269,9 @@ def prefix_candidates(
         spare = needed(left("n"), right("n"))
         in_prefixes = (left("before") <= left("n") - spare) & (right("before") <= right("n") - spare)
         near = may_reach(measure, threshold, left("n"), right("n"), short_apart(left, right))
-        return sizes_allow(measure, threshold, left("n"), right("n")) & (left("direct") | in_prefixes) & near
+        # the same on both sides, as is the element; both are named, so that both sides of the join keep the same columns
+        direct = left("direct") & right("direct")
+        return sizes_allow(measure, threshold, left("n"), right("n")) & (direct | in_prefixes) & near
 
     prefix = durable(_prefixes(sets, sketches, measure, threshold))
     met = pairs_within(

@@ -42,27 +42,24 @@ def pairs_within(
         counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)).where(F.col(size) > 1)
         df = lookup(df, counted, keys, size)
     columns = [member, *[c for c in carry if c != member]]
-    split = df.select(
-        *keys,
-        *columns,
-        _blocks(F.col(size), block_rows).alias("_blocks"),
-        F.pmod(F.xxhash64(F.col(member)), _blocks(F.col(size), block_rows)).cast("int").alias("_own"),
-    )
-    left = split.select(
-        *keys,
-        *[F.col(c).alias(f"l_{c}") for c in columns],
-        F.col("_own").alias("_p"),
-        F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_q"),
-    )
-    right = split.select(
-        *keys,
-        *[F.col(c).alias(f"r_{c}") for c in columns],
-        F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_p"),
-        F.col("_own").alias("_q"),
+    own = F.pmod(F.xxhash64(F.col(member)), _blocks(F.col(size), block_rows)).cast("int")
+    split = df.select(*keys, *columns, own.alias("_own"), _blocks(F.col(size), block_rows).alias("_blocks"))
+    # A row goes once to each pair of blocks that its own is one of. Both sides are this frame, so it is shuffled once.
+    dealt = split.select(
+        *keys, *columns, "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    ).select(
+        *keys, *columns, "_own", F.least("_own", "_other").alias("_p"), F.greatest("_own", "_other").alias("_q")
     )
-    met = left.join(right, [*keys, "_p", "_q"])
+
+    def side(prefix: str) -> DataFrame:
+        return dealt.select(
+            *keys, *[F.col(c).alias(f"{prefix}_{c}") for c in columns], F.col("_own").alias(f"_{prefix}"), "_p", "_q"
+        )
+
+    met = side("l").join(side("r"), [*keys, "_p", "_q"])
     ordered = F.col(f"l_{member}") < F.col(f"r_{member}")
-    met = met.where((F.col("_p") < F.col("_q")) | ordered)
+    # as one expression: a condition on one side alone would be moved below the shuffle, which then is not the same
+    met = met.where(F.when(F.col("_p") == F.col("_q"), ordered).otherwise(F.col("_l") < F.col("_r")))
     if keep is not None:
         met = met.where(keep(lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")))
     return _named(met, keys, columns, member)

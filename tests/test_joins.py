@@ -336,3 +336,16 @@ def test_sets_of_a_group_are_not_sent_once_a_pair(spark):
 def test_no_candidates_give_no_pairs(spark):
     sets = {1: frozenset([1, 2]), 2: frozenset([3, 4])}
     assert scores(jaccard_join(frame(spark, sets), "id", "element", 0.5)) == {}
+
+
+def test_rows_of_a_group_are_shuffled_once_for_both_sides(spark, tmp_path):
+    spark.range(400).selectExpr("id % 8 AS k", "id").write.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = pairs_within(spark.read.parquet(str(tmp_path / "rows")), ["k"], "id", block_rows=20)
+        assert met.count() == 8 * 50 * 49 // 2
+        met.collect()
+        assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
