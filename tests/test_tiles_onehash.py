@@ -137,3 +137,11 @@ def test_lookup_by_long_text_keys(spark, monkeypatch, most):
     table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("uses"), F.min("id").alias("least"))
     plan = lookups.lookup(rows, table, "k", "uses")
     assert sorted((r.id, r.least) for r in plan.collect()) == [(i, 0 if i < 150 else i) for i in range(400)]
+
+
+def test_tiles_are_filled_by_gaps_and_not_cell_by_cell(spark):
+    """Before, each cell of a tile was looked up in a map."""
+    rows = [(r, c, float(r + c)) for r in range(7) for c in range(9) if (r * c) % 5 == 1] + [(0, 0, None), (6, 8, 2.0), (6, 8, 1.0)]
+    found = tiles.dense_tiles(spark.createDataFrame(rows, "item long, user long, rating double"), tile_rows=2, tile_columns=3)
+    assert "map_from_entries" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.row_tile, r.column_tile): list(r["values"]) for r in found.collect()} == dense(rows, 2, 3)
