@@ -54,6 +54,10 @@ MOST_BITS, MOST_ROWS = 600, 64
 SIGMAS = 4.0
 # Sets of more elements than this are combined map-side; there are few of them.
 LARGE_SET = 65536
+# Sign bands of vectors that more than this share of unrelated pairs have in common are not joined by buckets.
+COMMON_SHARE = 1 / 16
+# Pairs whose bands are compared at a time.
+SHARING_PAIRS = 65536
 # Signs that fit one number.
 WORD_BITS = 50
 
@@ -328,20 +332,37 @@ def _dots():
     return dots
 
 
-def _all_cosines(vectors: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """Pairs ``(a, b, similarity)`` of ``(id, vector, norm)`` by matrix products of blocks of bounded size."""
+def _all_cosines(
+    vectors: DataFrame, threshold: float, block_rows: int, dims: int, bands: int | None = None, rows: int | None = None
+) -> DataFrame:
+    """Pairs ``(a, b, similarity)`` of ``(id, vector, norm)`` by matrix products of blocks of bounded size.
+
+    With ``bands`` only those that share one of the sign bands, of at most 16 ``rows``.
+    """
+    signs = np.array(projection_signs(dims, bands * rows), dtype="float64").T if bands else None
+    most = SHARING_PAIRS
+
+    def coded(vectors: np.ndarray) -> np.ndarray:
+        bits = (vectors @ signs >= 0).reshape(len(vectors), bands, rows)
+        return (bits * (1 << np.arange(rows))).sum(axis=2).astype("uint16")
+
+    def sharing(left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        parts = [slice(at, at + most) for at in range(0, len(x), most)]
+        return np.concatenate([(left[x[p]] == right[y[p]]).any(axis=1) for p in parts] or [np.zeros(0, bool)])
     kind = vectors.schema["id"].dataType
     arrow = to_arrow_type(kind)
     schema = T.StructType().add("block", T.LongType()).add("ids", T.ArrayType(kind)).add("data", T.BinaryType())
+    schema = schema.add("codes", T.BinaryType())
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(b.column(0).to_pylist(), np.stack(b.column(1).to_numpy(zero_copy_only=False))) for b in batches if b.num_rows]
         if held:
             ids = [i for part, _ in held for i in part]
-            rows = np.concatenate([v for _, v in held])
-            rows = rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+            whole = np.concatenate([v for _, v in held])
+            codes = coded(whole).tobytes() if bands else b""
+            whole = whole / np.sqrt((whole * whole).sum(axis=1, keepdims=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([rows.tobytes()], pa.binary())],
+                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([ids], pa.list_(arrow)), pa.array([whole.tobytes()], pa.binary()), pa.array([codes], pa.binary())],
                 names=schema.names,
             )
 
@@ -356,16 +377,22 @@ def _all_cosines(vectors: DataFrame, threshold: float, block_rows: int) -> DataF
                 x, y = np.nonzero(cosines >= threshold)
                 if r["block"] == r["other"]:
                     x, y = x[x < y], y[x < y]
+                if bands:
+                    codes = [np.frombuffer(r[c], "uint16").reshape(-1, bands) for c in ("lcodes", "rcodes")]
+                    shared = sharing(*codes, x, y)
+                    x, y = x[shared], y[shared]
                 ids = [pa.array([ids[n] for n in at.tolist()], arrow) for ids, at in ((r["lids"], x), (r["rids"], y))]
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(cosines[x, y])], names=["x", "y", "similarity"])
 
     count = max(1, -(-vectors.count() // block_rows))
     table = durable(vectors.select("id", "vector").repartition(count).mapInArrow(blocks, schema))
     left = table.select(
-        "block", F.col("ids").alias("lids"), F.col("data").alias("ldata"),
+        "block", F.col("ids").alias("lids"), F.col("data").alias("ldata"), F.col("codes").alias("lcodes"),
         F.explode(F.sequence(F.col("block"), F.lit(count - 1).cast("long"))).alias("other"),
     )
-    right = table.select(F.col("block").alias("other"), F.col("ids").alias("rids"), F.col("data").alias("rdata"))
+    right = table.select(
+        F.col("block").alias("other"), F.col("ids").alias("rids"), F.col("data").alias("rdata"), F.col("codes").alias("rcodes")
+    )
     found = T.StructType().add("x", kind).add("y", kind).add("similarity", T.DoubleType())
     # written here, with small Arrow batches: a row has two blocks, and a batch of the usual size dozens
     pairs = durable(left.join(right, "other").mapInArrow(products, found))
@@ -388,6 +415,9 @@ def cosine_join_vectors(
     the candidates come from ``bits // rows`` bands of random signs; a pair of cosine c is then found with probability
     ``1 - (1 - p**rows)**(bits // rows)``, p = 1 - acos(c) / pi, whatever the number of vectors.
 
+    Bands that more than ``COMMON_SHARE`` of unrelated pairs share leave little out: the blocks are then multiplied, and the pairs
+    without a common band leave there, instead of all others being shuffled. The result is the same.
+
     Vectors of another length, of norm 0 or with a null, NaN or infinite component have no cosine and form no pair. Identical vectors are
     joined once.
     """
@@ -402,7 +432,10 @@ def cosine_join_vectors(
         unique = vectors.join(members.where(F.col("id") == F.col("rep")).select("id"), "id", "left_semi")
 
     if rows is None:
-        return expand_copies(_all_cosines(unique, threshold, block_rows), members, block_rows)
+        return expand_copies(_all_cosines(unique, threshold, block_rows, dims), members, block_rows)
+    if 1 - (1 - 0.5**rows) ** (bits // rows) > COMMON_SHARE and rows <= 16:
+        found = _all_cosines(unique, threshold, block_rows, dims, bits // rows, rows)
+        return expand_copies(found, members, block_rows)
     keys = _sign_keys(dims, bits // rows, rows)
     banded = unique.select("id", F.posexplode(keys(F.col("vector"))).alias("band", "key"))
     found = bucket_pairs(banded, ["key"], block_rows=block_rows)

@@ -349,3 +349,21 @@ def test_rows_of_a_group_are_shuffled_once_for_both_sides(spark, tmp_path):
         assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0])
+def test_vectors_of_common_bands_are_multiplied_in_blocks(spark, monkeypatch, share):
+    """By blocks or by buckets, the pairs are those that share a band; by blocks no candidates are shuffled."""
+    monkeypatch.setattr(lsh, "COMMON_SHARE", share)
+    monkeypatch.setattr(lsh, "SHARING_PAIRS", 7)
+    rng = random.Random(8)
+    held = {n: [rng.gauss(0, 1) + 0.4 for _ in range(6)] for n in range(60)}
+    df = spark.createDataFrame(list(held.items()), "id long, v array<double>")
+    got = scores(lsh.cosine_join_vectors(df, "id", "v", 6, 0.5, bits=8, rows=4, block_rows=13))
+    signs = projection_signs(6, 8)
+    keys = {n: [sum(s * x for s, x in zip(row, v)) >= 0 for row in signs] for n, v in held.items()}
+    dot = lambda a, b: sum(x * y for x, y in zip(held[a], held[b]))
+    cosine = {(a, b): dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)) for a, b in itertools.combinations(held, 2)}
+    near = {p: round(c, 6) for p, c in cosine.items() if c >= 0.5}
+    met = lambda a, b: keys[a][:4] == keys[b][:4] or keys[a][4:] == keys[b][4:]
+    assert got == {p: c for p, c in near.items() if met(*p)} and len(got) < len(near)
