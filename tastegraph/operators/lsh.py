@@ -58,6 +58,8 @@ LARGE_SET = 65536
 COMMON_SHARE = 1 / 16
 # Pairs whose bands are compared at a time.
 SHARING_PAIRS = 65536
+# Copies of a set in one row of the bucket join of candidates.
+PART_IDS = 64
 # Signs that fit one number.
 WORD_BITS = 50
 
@@ -172,8 +174,39 @@ def minhash_candidates(
     """Candidate pairs ``(a, b)`` of sets with an equal band; feeds ``candidates=`` of the predictors."""
     unique, members = prepared(distinct_sets(df, set_col, element_col))
     banded = minhash_bands(unique, bands, rows, prime, universe, code)
-    found = bucket_pairs(banded, [f"h{j}" for j in range(rows)], block_rows=block_rows)
-    return expand_copies(found.withColumn("similarity", F.lit(1.0)), members, block_rows).select("a", "b")
+    return first_met(banded, [f"h{j}" for j in range(rows)], members, block_rows)
+
+
+def first_met(
+    banded: DataFrame, keys: list[str], members: DataFrame, block_rows: int = BLOCK_ROWS, part_ids: int = PART_IDS
+) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of all members, copies included, that share a bucket in at least one band.
+
+    The rows of a bucket carry the buckets of the bands before theirs, and a pair is given where it meets first. Copies
+    travel as lists of ids, at most some ``part_ids`` a row, and are spread where their pair has met. So only the
+    rows of sets are shuffled or written, and never the pairs, however many there are.
+    """
+    code = F.struct("band", F.xxhash64("band", *keys).alias("bucket"))
+    signed = banded.groupBy("id").agg(F.array_sort(F.collect_list(code)).alias("bands"))
+    parts = F.ceil(F.col("copies") / F.lit(float(part_ids)))
+    listed = members.groupBy("rep", F.pmod(F.xxhash64("id"), parts).alias("part")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    # read by the bucket count, by the pairing and for the pairs of copies
+    held = durable(
+        signed.join(listed, F.col("id") == F.col("rep")).select(F.get("ids", 0).alias("head"), "ids", F.col("bands.bucket").alias("codes"))
+    )
+    rows = held.select("head", "ids", "codes", F.posexplode("codes").alias("band", "bucket")).select(
+        "head", "ids", "bucket", F.slice("codes", 1, F.col("band")).alias("before")
+    )
+    met = pairs_within(
+        rows, ["bucket"], "head", ["ids", "before"],
+        # a bucket is a hash of its band too, so no two bands have the same one
+        lambda left, right: ~F.arrays_overlap(left("before"), right("before")),
+        block_rows,
+    )
+    across = met.select(F.explode("a_ids").alias("x"), "b_ids").select("x", F.explode("b_ids").alias("y"))
+    copied = held.where(F.size("ids") > 1).select("ids", F.posexplode("ids").alias("at", "x"))
+    inside = copied.select("x", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("y"))
+    return across.unionByName(inside).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def jaccard_lsh_join(

@@ -367,3 +367,21 @@ def test_vectors_of_common_bands_are_multiplied_in_blocks(spark, monkeypatch, sh
     near = {p: round(c, 6) for p, c in cosine.items() if c >= 0.5}
     met = lambda a, b: keys[a][:4] == keys[b][:4] or keys[a][4:] == keys[b][4:]
     assert got == {p: c for p, c in near.items() if met(*p)} and len(got) < len(near)
+
+
+def test_candidates_are_given_where_they_meet_first(spark):
+    """Before, every candidate was shuffled once a band that it shares, and once more for each side's copies."""
+    sets = near_copies(4, 9)
+    sets |= {1000 + n: sets[min(sets)] for n in range(7)}
+    unique, members = setjoin.prepared(setjoin.distinct_sets(frame(spark, sets), "id", "element"))
+    banded = durable.durable(lsh.minhash_bands(unique, 6, 2))
+    keys = {}
+    for r in banded.collect():
+        keys.setdefault(r.id, set()).add((r.band, r.h0, r.h1))
+    rep = {r.id: r.rep for r in members.collect()}
+    met = lsh.first_met(banded, ["h0", "h1"], members, block_rows=5, part_ids=2)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "SortAggregate" not in plan
+    found = [(r.a, r.b) for r in met.collect()]
+    wanted = {(a, b) for a in sets for b in sets if a < b and keys[rep[a]] & keys[rep[b]]}
+    assert len(found) == len(set(found)) and set(found) == wanted and len(wanted) > 30
