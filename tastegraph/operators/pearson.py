@@ -24,6 +24,8 @@ from tastegraph.plans.pairing import BLOCK_ROWS, pairs_across, pairs_within
 MAX_TAIL = 2
 # The pairs of an id go to one task for each so many of its rows.
 SPREAD_ROWS = 1024
+# Ids of more keys than this have no list of hashes.
+MOST_KEYS = 4096
 
 
 def _sides(ratings: DataFrame, by: str) -> DataFrame:
@@ -192,10 +194,33 @@ def pearson_pairs(
 def pearson_of(
     candidates: DataFrame, ratings: DataFrame, by: str = "user", min_support: int = 1, keep_zero: bool = False
 ) -> DataFrame:
-    """Pearson of given pairs ``(a, b)`` only: each pair meets its own ratings, no co-rating join."""
+    """Pearson of given pairs ``(a, b)`` only: each pair meets its own ratings, no co-rating join.
+
+    Most candidates have too few common keys, so the ratings are sent only to pairs that ``_may_support`` leaves.
+    """
     rows = _sides(ratings, by)
+    need = max(min_support, 1 if keep_zero else 2)
     mine = rows.select(F.col("id").alias("a"), "key", F.col("r").alias("x"))
     theirs = rows.select(F.col("id").alias("b"), "key", F.col("r").alias("y"))
-    met = candidates.select("a", "b").join(mine, "a").join(theirs, ["b", "key"])
-    need = max(min_support, 1 if keep_zero else 2)
+    met = _may_support(candidates.select("a", "b"), rows, need).join(mine, "a").join(theirs, ["b", "key"])
     return _finish(_sums(met, "a", "b", "x", "y"), need, keep_zero)
+
+
+def _may_support(candidates: DataFrame, rows: DataFrame, need: int, most_keys: int = MOST_KEYS) -> DataFrame:
+    """The pairs but those that surely have fewer than ``need`` common keys, by lists of 16-bit hashes of the keys.
+
+    Common keys have equal hashes, and of c common keys at most as many hashes are lost as coincide in the first list:
+    no pair with enough keys is left out. A pair that holds an id of more than ``most_keys`` keys is not looked at.
+    """
+    short = (F.pmod(F.xxhash64("key"), F.lit(65536)) - F.lit(32768)).cast("short")
+    sizes = rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_keys).select("id")
+    # read by both sides
+    lists = durable(rows.join(sizes, "id", "left_anti").groupBy("id").agg(F.collect_list(short).alias("held")))
+    twice = F.size("ha") - F.size(F.array_distinct("ha"))
+    near = F.size(F.array_intersect("ha", "hb")) + twice >= need
+    return (
+        candidates.join(lists.select(F.col("id").alias("a"), F.col("held").alias("ha")), "a", "left")
+        .join(lists.select(F.col("id").alias("b"), F.col("held").alias("hb")), "b", "left")
+        .where(F.col("ha").isNull() | F.col("hb").isNull() | near)
+        .select("a", "b")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tastegraph.operators.evaluate import error_histogram, pair_quality, rating_quality, rmse, score
 from tastegraph.operators.knn import neighbor_lists, predict_item_knn, predict_user_knn
 from tastegraph.operators import pearson
+from tastegraph.operators import pearson
 from tastegraph.operators.pearson import pearson_of, pearson_pairs
 from tastegraph.plans import pairing
 from tests.conftest import SCHEMA
@@ -78,6 +79,27 @@ def test_pearson_only_and_candidates(spark, train):
     assert as_pairs(pearson_of(candidates, train)) == {(1, 2): 0.654654, (3, 4): -1}
 
 
+@pytest.mark.parametrize("support,keep_zero", [(1, False), (3, False), (1, True)])
+@pytest.mark.parametrize("most_keys", [pearson.MOST_KEYS, 30, 0])
+def test_ratings_are_sent_only_to_candidates_with_enough_common_keys(spark, monkeypatch, support, keep_zero, most_keys):
+    """Before, every candidate pair met all ratings of its first id. User 0 has so many keys that their hashes coincide."""
+    rng = random.Random(9)
+    rows = {(u, i): float(rng.randint(1, 5)) for u in range(1, 40) for i in rng.sample(range(400), 20)}
+    rows |= {(0, i): float(rng.randint(1, 5)) for i in range(3000)}
+    triples = [(u, i, r) for (u, i), r in rows.items()]
+    df = spark.createDataFrame(triples, SCHEMA)
+    candidates = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)], "a long, b long")
+    may = pearson._may_support
+    monkeypatch.setattr(pearson, "_may_support", lambda pairs, rows, need: may(pairs, rows, need, most_keys))
+    got = pearson_of(candidates, df, min_support=support, keep_zero=keep_zero)
+    assert {(r.a, r.b): (r.n, round(r.similarity, 6)) for r in got.collect()} == brute_pearson(triples, "user", support, keep_zero)
+    left = {(r.a, r.b) for r in may(candidates, pearson._sides(df, "user"), 3, most_keys).collect()}
+    common = {(a, b): sum((b, i) in rows for (u, i) in rows if u == a) for a in range(1, 40) for b in range(a + 1, 40)}
+    assert {p for p, n in common.items() if n >= 3} <= left
+    if most_keys:
+        assert sum(n < 3 and p in left for p, n in common.items()) < 5 < sum(n < 3 for n in common.values())
+
+
 def test_pearson_edges(spark):
     constant = spark.createDataFrame(
         [(1, 1, 2.0), (1, 2, 2.0), (1, 3, 2.0), (2, 1, 1.0), (2, 2, 3.0), (2, 3, 5.0), (0, 1, 4.0)], SCHEMA
