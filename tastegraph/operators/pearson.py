@@ -7,12 +7,19 @@ The sums behind r come from a co-rating self-join. Three things keep it within b
   the pair is found through another key or it is not needed, and the skipped key's term is added
   from two columns that travel with the row. A key that is everybody's most popular one forms no pairs.
 * Test-set consumers pass ``only``: a pair must hold a wanted id.
-* Rows are sorted into classes (in the tail or not, wanted or not) before pairing, and only classes that can form
-  a pair meet, in blocks of bounded size (``plans.pairing``). Rows without a partner are neither copied nor joined.
+* Under a key with more than ``block_rows`` members rows are sorted into classes (in the tail or not, wanted or not)
+  before pairing, and only classes that can form a pair meet, in blocks of bounded size (``plans.pairing``). Rows
+  without a partner are neither copied nor joined.
+* The pairs of all other keys are not shuffled. Ids are cut into ranges of about ``TASK_PAIRS`` pairs, every pair belongs
+  to one range, and a key sends the list of its members once to each range that it has members in. At most that is an
+  entry a pair, as many as pairs would be; it is far less where the members of a key lie in few ranges.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +29,13 @@ from tastegraph.plans.lookup import lookup
 from tastegraph.plans.pairing import BLOCK_ROWS, pairs_across, pairs_within
 
 MAX_TAIL = 2
-# The pairs of an id go to one task for each so many of its rows.
+# Keys of up to so many members are nobody's tail: their pairs cost less than columns that travel with every row.
+PLAIN_ROWS = 256
+# About so many pairs meet in a task, which holds the sums of each.
+TASK_PAIRS = 1 << 21
+# Fewer pairs are not worth a task of their own.
+LEAST_PAIRS = 1 << 16
+# The pairs of a range go to one task for each so many rows of one of its ids.
 SPREAD_ROWS = 1024
 # Ids of more keys than this have no list of hashes.
 MOST_KEYS = 4096
@@ -35,23 +48,22 @@ def _sides(ratings: DataFrame, by: str) -> DataFrame:
     )
 
 
-def _popular_tail(rows: DataFrame, length: int) -> DataFrame:
-    """The ``length`` most popular keys of each id as columns k0, r0, k1, r1, and its number of rows."""
-    total = F.count(F.lit(1)).alias("rows")
+def _popular_tail(rows: DataFrame, length: int, plain: int) -> DataFrame:
+    """The ``length`` most popular keys of each id, of those with more than ``plain`` members, as columns k0, r0, k1, r1."""
+    rows = rows.where(F.col("size") > plain)
     if length == 1:
-        top = rows.groupBy("id").agg(F.max(F.struct("size", "key", "r")).alias("t"), total)
-        return top.select("id", "rows", F.col("t.key").alias("k0"), F.col("t.r").alias("r0"))
+        top = rows.groupBy("id").agg(F.max(F.struct("size", "key", "r")).alias("t"))
+        return top.select("id", F.col("t.key").alias("k0"), F.col("t.r").alias("r0"))
     # rank <= constant is planned with a group limit before the shuffle, so a busy id stays small.
     by_size = Window.partitionBy("id").orderBy(F.col("size").desc(), F.col("key").desc())
     ranked = rows.withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= length)
-    tops = ranked.groupBy("id").agg(
+    return ranked.groupBy("id").agg(
         *[
             F.max(F.when(F.col("rank") == n + 1, F.col(c))).alias(f"{name}{n}")
             for n in range(length)
             for c, name in (("key", "k"), ("r", "r"))
         ]
     )
-    return tops.join(rows.groupBy("id").agg(total), "id")
 
 
 def _in_tail(key: Column, length: int) -> Column:
@@ -107,6 +119,112 @@ def _useful_pairs(rows: DataFrame, carry: list[str], tail: bool, only: bool, blo
     return met
 
 
+def _owned(mine: Column, other: Column) -> Column:
+    """Whether the pairs of two ranges belong to ``mine``: half of the other ranges, above and below."""
+    return ((mine + other) % 2 == 0) == (other > mine)
+
+
+def _share(member: Column, shares: Column) -> Column:
+    return F.pmod(F.xxhash64(member), shares).cast("int")
+
+
+# What a row is, as a bit, and the bits of those it can form a pair with: not both in the tail, one wanted.
+REST, TAIL, UNWANTED, UNWANTED_TAIL = 1, 2, 4, 8
+PARTNERS = {REST: 15, TAIL: REST | UNWANTED, UNWANTED: REST | TAIL, UNWANTED_TAIL: REST}
+
+
+def _partners(kind: Column) -> Column:
+    bits = F.lit(0)
+    for one, others in PARTNERS.items():
+        bits = F.when(kind == one, F.lit(others)).otherwise(bits)
+    return bits
+
+
+def _kind(tail: bool, only: bool) -> Column:
+    in_tail = F.col("in_tail") if tail else F.lit(False)
+    wanted = F.col("wanted") if only else F.lit(True)
+    return F.when(wanted, F.when(in_tail, TAIL).otherwise(REST)).otherwise(F.when(in_tail, UNWANTED_TAIL).otherwise(UNWANTED))
+
+
+def _kinds(entries: Column) -> Column:
+    return F.aggregate(entries, F.lit(0), lambda bits, e: bits.bitwiseOR(e["kind"]))
+
+
+def _ranges(per_id: DataFrame, count: int, spread_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """``per_id`` with the range of each id, the ranges ``(block, first, shares)`` and the number of tasks.
+
+    A range whose ids have many pairs, or an id with more than ``spread_rows`` rows, is dealt to several tasks by the partners.
+    """
+    placed = durable(per_id.repartitionByRange(count, "id").withColumn("block", F.spark_partition_id()))
+    shares = F.greatest(
+        F.ceil(F.sum("load") / F.lit(4.0 * TASK_PAIRS)), F.ceil(F.max("rows") / F.lit(float(spread_rows))), F.lit(1)
+    )
+    # one row for each range, so the running total is over few rows
+    ranges = placed.groupBy("block").agg(shares.cast("int").alias("shares"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("shares").over(before), F.lit(0)).cast("int")
+    ranges = durable(ranges.select("block", first.alias("first"), "shares"))
+    return placed, ranges, ranges.agg(F.sum("shares")).first()[0] or 1
+
+
+def _sent_lists(rows: DataFrame, ranges: DataFrame, carry: list[str]) -> DataFrame:
+    """``(task, shares, share, own, entries)``: under each key, the members of a range, ``own`` in number, and after them
+    those whose pairs with them belong to the range."""
+    entry = F.struct("id", *carry).alias("entry")
+    lists = rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("block", entry))).alias("held"))
+
+    def of(block: Column) -> Column:
+        own = F.filter("held", lambda e: e["block"] == block)["entry"]
+        others = F.filter("held", lambda e: _owned(block, e["block"]))["entry"]
+        return F.struct(block.alias("block"), own.alias("own"), others.alias("others"))
+
+    def part(share: Column) -> Column:
+        mine = F.filter("others", lambda e: _share(e["id"], F.col("shares")) == share)
+        return F.struct(share.alias("share"), F.when(F.col("shares") == 1, F.col("others")).otherwise(mine).alias("others"))
+
+    split = lists.select(F.inline(F.transform(F.array_distinct("held.block"), of)))
+    # one row for each range
+    dealt = split.join(F.broadcast(ranges), "block").select(
+        "own", "first", "shares", F.inline(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), part))
+    )
+    if "kind" in carry:
+        # as a generator, so that the bits are not worked out again for each entry
+        kinds = F.struct(_kinds(F.col("own")).alias("of_own"), _kinds(F.col("others")).alias("of_others"))
+        dealt = dealt.select("*", F.inline(F.array(kinds)))
+        every = F.col("of_own").bitwiseOR(F.col("of_others"))
+        dealt = dealt.withColumns(
+            {
+                "own": F.filter("own", lambda e: e["partners"].bitwiseAND(every) != 0),
+                "others": F.filter("others", lambda e: e["partners"].bitwiseAND(F.col("of_own")) != 0),
+            }
+        )
+    return dealt.where((F.size("own") > 0) & (F.size("own") + F.size("others") > 1)).select(
+        (F.col("first") + F.col("share")).alias("task"),
+        "share",
+        "shares",
+        F.size("own").alias("own"),
+        F.concat("own", "others").alias("entries"),
+    )
+
+
+def _sent_pairs(met: DataFrame, ranges: DataFrame, carry: list[str]) -> DataFrame:
+    """Pairs, to the tasks that ``_sent_lists`` sends theirs to: the side in the range that the pair belongs to is ``l``."""
+    turned = (F.col("a_block") != F.col("b_block")) & ~_owned(F.col("a_block"), F.col("b_block"))
+
+    def side(name: str) -> Column:
+        return F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ("id", *carry)])
+
+    split = met.select(
+        F.when(turned, F.col("b_block")).otherwise(F.col("a_block")).alias("block"),
+        F.when(turned, side("b")).otherwise(side("a")).alias("l"),
+        F.when(turned, side("a")).otherwise(side("b")).alias("r"),
+    )
+    share = _share(F.col("r.id"), F.col("shares"))
+    return split.join(F.broadcast(ranges), "block").select(
+        (F.col("first") + share).alias("task"), share.alias("share"), "shares", F.lit(1).alias("own"), "l", "r"
+    )
+
+
 def pearson_pairs(
     ratings: DataFrame,
     by: str = "user",
@@ -122,53 +240,70 @@ def pearson_pairs(
     ids of which each pair must hold at least one. ``ratings`` must hold one row per (user, item).
     """
     need = max(min_support, 1 if keep_zero else 2)
-    tail = min(need - 1, MAX_TAIL)
     rows = _sides(ratings, by)
-    popularity = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    rows = lookup(rows, popularity, "key", "size")
+    popularity = durable(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1))
+    all_pairs, most = popularity.agg(F.sum(F.col("size") * (F.col("size") - 1.0) / 2), F.max("size")).first()
+    all_pairs, most = all_pairs or 0, most or 0
+    plain = min(PLAIN_ROWS, block_rows)
+    tail = min(need - 1, MAX_TAIL) if most > plain else 0
+    rows = lookup(rows, popularity, "key", "size", written=True)
 
-    carry = ["r", "spread"]
-    per_id = _popular_tail(rows, tail) if tail else rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    carry = ["r"]
+    per_id = rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("load"))
     if tail:
-        carry += ["in_tail"] + [f"{c}{n}" for n in range(tail) for c in "kr"]
+        per_id = per_id.join(_popular_tail(rows, tail, plain), "id", "left")
+        carry += [f"{c}{n}" for n in range(tail) for c in "kr"]
     if only is not None:
         marked = only.select(F.col(only.columns[0]).alias("id"), F.lit(True).alias("wanted"))
         per_id = per_id.join(marked, "id", "left")
-        carry += ["wanted"]
-    rows = lookup(rows, per_id, "id", "rows").withColumn("spread", F.ceil(F.col("rows") / spread_rows).cast("int")).drop("rows")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    count = max(math.ceil(all_pairs / TASK_PAIRS), min(cores, math.ceil(all_pairs / LEAST_PAIRS)), 1)
+    per_id, ranges, tasks = _ranges(per_id, count, spread_rows)
+    rows = lookup(rows, per_id, "id", "rows", written=True).drop("rows", "load")
     if tail:
         rows = rows.withColumn("in_tail", _in_tail(F.col("key"), tail))
     if only is not None:
         rows = rows.withColumn("wanted", F.coalesce("wanted", F.lit(False)))
-    met = _useful_pairs(rows, carry, tail > 0, only is not None, block_rows)
+    if tail or only is not None:
+        rows = rows.withColumn("kind", _kind(tail > 0, only is not None)).withColumn("partners", _partners(F.col("kind")))
+        carry += ["kind", "partners"]
+    sent = _sent_lists(rows.where(F.col("size") <= block_rows), ranges, carry)
+    if most > block_rows:
+        busy = rows.where(F.col("size") > block_rows)
+        met = _useful_pairs(busy, [*carry, "block"], tail > 0, only is not None, block_rows)
+        sent = sent.unionByName(_sent_pairs(met, ranges, carry), allowMissingColumns=True)
+        sent = sent.repartitionById(tasks, "task").withColumn("entries", F.coalesce("entries", F.array("l", "r"))).drop("l", "r")
+    else:
+        sent = sent.repartitionById(tasks, "task")
+    lefts = sent.select("*", F.posexplode("entries").alias("at", "l")).where(F.col("at") < F.col("own"))
+    met = lefts.select("task", "shares", "share", "at", "l", F.posexplode("entries").alias("to", "r")).where(
+        (F.col("to") > F.col("at")) & ((F.col("shares") == 1) | (_share(F.col("r.id"), F.col("shares")) == F.col("share")))
+    )
+    if "kind" in carry:
+        met = met.where(F.col("l.partners").bitwiseAND(F.col("r.kind")) != 0)
     shared = []
     for n in range(tail):
         partner = F.lit(None).cast("double")
         for m in range(tail):
-            partner = F.when(F.col(f"a_k{n}") == F.col(f"b_k{m}"), F.col(f"b_r{m}")).otherwise(partner)
-        met = met.withColumn(f"y{n}", partner).withColumn(
-            f"x{n}", F.when(F.col(f"y{n}").isNotNull(), F.col(f"a_r{n}"))
-        )
+            partner = F.when(F.col(f"l.k{n}") == F.col(f"r.k{m}"), F.col(f"r.r{m}")).otherwise(partner)
+        met = met.withColumn(f"y{n}", partner).withColumn(f"x{n}", F.when(F.col(f"y{n}").isNotNull(), F.col(f"l.r{n}")))
         shared += [F.max(f"x{n}").alias(f"x{n}"), F.max(f"y{n}").alias(f"y{n}")]
+    # A pair meets in one task under all its keys, always with the same side as l.
     sums = _sums(
-        # Pairs meet under many keys in many tasks, so partial sums would not shrink the shuffle;
-        # the explicit exchange ships the narrow rows and aggregates once, after it. Rows are dealt by one id, so those
-        # of a key stay together and compress; an id with many rows is dealt to several tasks by its partners.
         met.select(
-            F.col("a_id").alias("a"),
-            F.col("a_r").alias("x"),
-            F.pmod(F.xxhash64("b_id"), F.col("a_spread")).cast("int").alias("share"),
-            # what differs inside a run of rows is adjacent: the last bytes of a small float and the first of an id
-            F.col("b_r").alias("y"),
-            F.col("b_id").alias("b"),
+            "task",
+            F.col("l.id").alias("a"),
+            F.col("r.id").alias("b"),
+            F.col("l.r").alias("x"),
+            F.col("r.r").alias("y"),
             *[c for n in range(tail) for c in (f"x{n}", f"y{n}")],
-        ).repartition("a", "share"),
+        ),
         "a",
         "b",
         "x",
         "y",
         shared,
-        ["share"],
+        ["task"],
     )
     for n in range(tail):
         x, y = F.col(f"x{n}"), F.col(f"y{n}")
@@ -188,6 +323,8 @@ def pearson_pairs(
             plus("sxy", x * y),
             *[f"{c}{m}" for m in range(n + 1, tail) for c in "xy"],
         )
+    # r is the same for both orders of the sides
+    sums = sums.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
     return _finish(sums, need, keep_zero)
 
 

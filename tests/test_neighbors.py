@@ -282,3 +282,23 @@ def test_pairs_of_an_id_with_many_rows_are_dealt_to_several_tasks(spark, keep_ze
         for n in (1, 7, 10**6)
     ]
     assert got[0] == got[1] == got[2] and len(got[0]) > 50
+
+
+@pytest.mark.parametrize("support,keep_zero,wanted", [(1, False, 0), (1, True, 4), (3, False, 0), (3, False, 15), (1, False, 15)])
+@pytest.mark.parametrize("block_rows", [9, 2048])
+def test_pairs_are_found_in_many_ranges_and_never_shuffled(spark, monkeypatch, support, keep_zero, wanted, block_rows):
+    """Before, a row for each pair and common key passed an exchange by its ids. User 20 has so many pairs that its range is dealt to several tasks."""
+    monkeypatch.setattr(pearson, "TASK_PAIRS", 60)
+    monkeypatch.setattr(pearson, "LEAST_PAIRS", 60)
+    monkeypatch.setattr(pearson, "PLAIN_ROWS", 20)
+    rng = random.Random(23)
+    rows = {(u, i): float(rng.randint(1, 5)) for u in range(40) for i in rng.sample(range(1, 50), 6)}
+    rows |= {(u, 0): float(rng.randint(1, 5)) for u in range(40)} | {(20, i): float(rng.randint(1, 5)) for i in range(50)}
+    triples = [(u, i, r) for (u, i), r in rows.items()]
+    chosen = set(range(0, 40, 40 // wanted)) if wanted else set(range(40))
+    only = spark.createDataFrame([(u,) for u in chosen], "user long") if wanted else None
+    got = pearson_pairs(spark.createDataFrame(triples, SCHEMA), "user", support, only, keep_zero, block_rows)
+    want = {p: v for p, v in brute_pearson(triples, "user", support, keep_zero).items() if chosen & set(p)}
+    found = [(r.a, r.b, r.n, round(r.similarity, 6)) for r in got.collect()]
+    assert sorted(found) == sorted((a, b, n, r) for (a, b), (n, r) in want.items())
+    assert "hashpartitioning(a#" not in got._jdf.queryExecution().executedPlan().toString()
