@@ -188,14 +188,18 @@ def _sent_lists(rows: DataFrame, ranges: DataFrame, carry: list[str]) -> DataFra
         "own", "first", "shares", F.inline(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), part))
     )
     if "kind" in carry:
-        # as a generator, so that the bits are not worked out again for each entry
-        kinds = F.struct(_kinds(F.col("own")).alias("of_own"), _kinds(F.col("others")).alias("of_others"))
-        dealt = dealt.select("*", F.inline(F.array(kinds)))
+        # Every kind can form a pair with REST, so where that is among the members all entries stay. As a generator, so that the
+        # bits are not worked out again for each entry.
+        rest = F.exists("own", lambda e: e["kind"] == REST)
+        of_own, of_others = (F.when(~rest, _kinds(F.col(c))).alias(f"of_{c}") for c in ("own", "others"))
+        dealt = dealt.select("*", F.inline(F.array(F.struct(rest.alias("rest"), of_own, of_others))))
         every = F.col("of_own").bitwiseOR(F.col("of_others"))
+        own = F.filter("own", lambda e: e["partners"].bitwiseAND(every) != 0)
+        others = F.filter("others", lambda e: e["partners"].bitwiseAND(F.col("of_own")) != 0)
         dealt = dealt.withColumns(
             {
-                "own": F.filter("own", lambda e: e["partners"].bitwiseAND(every) != 0),
-                "others": F.filter("others", lambda e: e["partners"].bitwiseAND(F.col("of_own")) != 0),
+                "own": F.when(F.col("rest"), F.col("own")).otherwise(own),
+                "others": F.when(F.col("rest"), F.col("others")).otherwise(others),
             }
         )
     return dealt.where((F.size("own") > 0) & (F.size("own") + F.size("others") > 1)).select(
