@@ -32,6 +32,7 @@ from tastegraph.operators.setjoin import (
     Cosine,
     Jaccard,
     distinct_sets,
+    exact_pairs,
     may_reach,
     prepared,
     short_apart,
@@ -54,12 +55,15 @@ MOST_BITS, MOST_ROWS = 600, 64
 SIGMAS = 4.0
 # Sets of more elements than this are combined map-side; there are few of them.
 LARGE_SET = 65536
-# Sign bands of vectors that more than this share of unrelated pairs have in common are not joined by buckets.
+# Sign bands that more than this share of unrelated pairs have in common are not joined by buckets.
 COMMON_SHARE = 1 / 16
 # Pairs whose bands are compared at a time.
 SHARING_PAIRS = 65536
 # Copies of a set in one row of the bucket join of candidates.
 PART_IDS = 64
+# Bands whose buckets travel with all rows of a set.
+FIRST_BANDS = 8
+FIRST = [f"f{n}" for n in range(FIRST_BANDS)]
 # Signs that fit one number.
 WORD_BITS = 50
 
@@ -228,15 +232,28 @@ def jaccard_lsh_join(
 
 
 def checked_sets(banded, keys, unique, members, measure, threshold, block_rows):
+    """Pairs of sets that share a bucket, checked exactly.
+
+    The rows of a bucket carry the buckets of the first few bands, and a pair that shares one of these is given in the first such band
+    only: pairs of near copies are hardly ever shuffled more than once, however many bands they share.
+    """
     sketches = sketched(unique, members)
-    sized = banded.join(sketches.select("id", "n", *short_sketch(F.col("sketch"))), "id")
+    code = F.struct("band", F.xxhash64("band", *keys).alias("bucket"))
+    signed = banded.groupBy("id").agg(F.array_sort(F.collect_list(code)).alias("bands"))
+    first = [F.get("bands.bucket", F.lit(n)).alias(f"f{n}") for n in range(FIRST_BANDS)]
+    sized = signed.select("id", "bands", *first).join(sketches.select("id", "n", *short_sketch(F.col("sketch"))), "id")
+    rows = sized.select("id", "n", *SHORT, *FIRST, F.inline("bands"))
 
     def keep(left, right):
         near = may_reach(measure, threshold, left("n"), right("n"), short_apart(left, right))
-        return sizes_allow(measure, threshold, left("n"), right("n")) & near
+        given = F.lit(False)
+        for n, name in enumerate(FIRST):
+            # a bucket is a hash of its band too, so both rows are of one band; both are named, so that both sides keep the same columns
+            given = given | ((left("band") > n) & (right("band") > n) & left(name).eqNullSafe(right(name)))
+        return sizes_allow(measure, threshold, left("n"), right("n")) & ~given & near
 
-    found = bucket_pairs(sized, keys, ["n", *SHORT], keep, block_rows, ["n"])
-    return expand_copies(verify(found, unique, sketches, measure, threshold), members, block_rows)
+    found = bucket_pairs(rows, ["bucket"], ["n", "band", *SHORT, *FIRST], keep, block_rows, ["n"])
+    return expand_copies(verify(found, unique, sketches, measure, threshold, short=True), members, block_rows)
 
 
 def most_apart(threshold: float, bits: int, sigmas: float = SIGMAS) -> int:
@@ -316,20 +333,29 @@ def cosine_lsh_join(
     """Pairs of sets ``(a, b, similarity)``: sign-band candidates, exact 0/1 cosine.
 
     Without ``rows`` the shape of the bands follows from ``threshold`` and ``recall`` alone (``sign_shape``): a pair at
-    the threshold is found with that probability, a closer one more likely, however many sets there are. Candidates
-    among unrelated sets grow with the square of their number; those whose signatures as a whole are too far apart for the
-    threshold (``most_apart``) leave inside the join. With ``rows`` the ``bits`` form ``bits / rows`` bands, rounded up.
+    the threshold is found with that probability, a closer one more likely, however many sets there are. With ``rows`` the
+    ``bits`` form ``bits / rows`` bands, rounded up. Pairs whose signatures as a whole are too far apart for the
+    threshold (``most_apart``) are left out.
+
+    Bands that more than ``COMMON_SHARE`` of unrelated pairs share leave little out, and their buckets grow with the square of the
+    number of sets: the pairs that reach the threshold are then found by their rarest elements, and those without a common
+    band leave afterwards. The result is the same.
     """
     unique, members = prepared(distinct_sets(df, set_col, element_col))
     if rows is None:
         rows, bands = sign_shape(threshold, recall, bits or MOST_BITS)
     else:
         bands = -(-(bits or BITS) // rows)
+    limit = most_apart(threshold, rows * bands)
+    if 1 - (1 - 0.5**rows) ** bands > COMMON_SHARE:
+        exact = durable(exact_pairs(unique, members, Cosine, threshold, block_rows))
+        ends = durable(exact.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        signed = sign_text(sign_bands(durable(unique.join(ends, "id", "left_semi")), bands, rows, code=code))
+        return expand_copies(_sharing(exact, signed, rows, bands, limit), members, block_rows)
     banded = durable(sign_bands(unique, bands, rows, code=code))
     # most pairs of a bucket are far apart over all signs; only the others are compared element by element
     words, names = sign_words(sign_text(banded), rows * bands)
     sized = banded.join(durable(words.join(members.select("id", "n"), "id").select("id", "n", *names)), "id")
-    limit = most_apart(threshold, rows * bands)
 
     def keep(left, right):
         near = bits_apart([left(w) for w in names], [right(w) for w in names]) <= limit
@@ -339,6 +365,21 @@ def cosine_lsh_join(
     return expand_copies(verify(found, unique, sketched(unique, members), Cosine, threshold), members, block_rows)
 
 
+def _sharing(pairs: DataFrame, signed: DataFrame, rows: int, bands: int, limit: int) -> DataFrame:
+    """The pairs whose signatures have an equal band and differ in at most ``limit`` signs."""
+    words, names = sign_words(signed, rows * bands)
+    signed = durable(words)
+    for end in "ab":
+        held = signed.select(F.col("id").alias(end), F.col("signature").alias(f"{end}_signature"), *[F.col(w).alias(f"{end}_{w}") for w in names])
+        pairs = pairs.join(held, end)
+    near = bits_apart([F.col(f"a_{w}") for w in names], [F.col(f"b_{w}") for w in names]) <= limit
+    shared = F.lit(False)
+    for band in range(bands):
+        part = [F.substring(f"{end}_signature", band * rows + 1, rows) for end in "ab"]
+        shared = shared | (part[0] == part[1])
+    return pairs.where(near & shared).select("a", "b", "similarity")
+
+
 def _sign_keys(dims: int, bands: int, rows: int):
     """Arrow-batched band keys of dense vectors: one matrix product per batch."""
     signs = np.array(projection_signs(dims, bands * rows), dtype="float64").T

@@ -3,7 +3,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.operators import packed, setjoin
+from tastegraph.operators import lsh, onehash, packed, setjoin
 from tastegraph.operators.setjoin import cosine_join, jaccard_join
 from tests.test_joins import brute, frame, near_copies, scores, skewed_sets
 
@@ -72,3 +72,32 @@ def test_another_seed_where_two_elements_have_one_hash(spark, monkeypatch):
     seed, counts = packed.element_code(unique)
     assert seed == 2 and [r.holders for r in counts.collect()] == [2, 2]
     assert scores(jaccard_join(frame(spark, sets), "id", "element", 0.5)) == {(1, 2): 0.5}
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_pairs_of_near_copies_leave_the_bucket_join_once(spark, monkeypatch, one_hash):
+    """Before, such a pair was shuffled for nearly each of the bands it shares."""
+    met, plain = [], lsh.pairs_within
+    monkeypatch.setattr(lsh, "pairs_within", lambda *given, **more: met.append(plain(*given, **more)) or met[-1])
+    join = onehash.jaccard_one_hash_join if one_hash else lsh.jaccard_lsh_join
+    sets = near_copies(2, 40)
+    found = scores(join(frame(spark, sets), "id", "element", 0.5, bands=33, rows=3, code=lambda e: e))
+    keys = {}
+    for r in (onehash.one_hash_bands if one_hash else lsh.minhash_bands)(rows_of(spark, sets)[0], 33, 3, code=lambda e: e).collect():
+        keys.setdefault(r.id, set()).add((r.band, r.h0, r.h1, r.h2))
+    assert found == {p: s for p, s in brute(sets, "jaccard", 0.5).items() if keys[p[0]] & keys[p[1]]} and len(found) > 1000
+    pairs = met[0].select("a_id", "b_id")
+    assert pairs.distinct().count() >= len(found) and pairs.count() <= 1.2 * pairs.distinct().count()
+
+
+def test_pairs_of_common_sign_bands_are_found_by_rare_elements(spark, monkeypatch):
+    """Before, all pairs of a bucket were looked at, a share of all pairs; the pairs found are the same."""
+    sets = {**near_copies(3, 14), **{1000 + n: s for n, s in skewed_sets(5).items()}}
+    given = {"threshold": 0.6, "bits": 30, "rows": 6, "block_rows": 9}
+    monkeypatch.setattr(lsh, "COMMON_SHARE", 1.0)
+    by_buckets = scores(lsh.cosine_lsh_join(frame(spark, sets), "id", "element", **given))
+    monkeypatch.undo()
+    monkeypatch.setattr(lsh, "bucket_pairs", None)
+    assert scores(lsh.cosine_lsh_join(frame(spark, sets), "id", "element", **given)) == by_buckets
+    exact = brute(sets, "cosine", 0.6)
+    assert by_buckets.items() <= exact.items() and 0 < len(by_buckets) < len(exact)
