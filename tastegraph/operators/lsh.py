@@ -57,6 +57,8 @@ SIGMAS = 4.0
 LARGE_SET = 65536
 # Sign bands that more than this share of unrelated pairs have in common are not joined by buckets.
 COMMON_SHARE = 1 / 16
+# Vectors of a block, at most and where there are enough for so many blocks; cells of a product that are held at a time.
+BLOCK_VECTORS, BLOCKS, STRIP_CELLS = 16384, 12, 1 << 23
 # Pairs whose bands are compared at a time.
 SHARING_PAIRS = 65536
 # Copies of a set in one row of the bucket join of candidates.
@@ -411,10 +413,11 @@ def _all_cosines(
 ) -> DataFrame:
     """Pairs ``(a, b, similarity)`` of ``(id, vector, norm)`` by matrix products of blocks of bounded size.
 
-    With ``bands`` only those that share one of the sign bands, of at most 16 ``rows``.
+    With ``bands`` only those that share one of the sign bands, of at most 16 ``rows``. What is sent is the square of the number of
+    vectors over the size of a block, so blocks are large and a product is worked out in strips.
     """
     signs = np.array(projection_signs(dims, bands * rows), dtype="float64").T if bands else None
-    most = SHARING_PAIRS
+    most, cells = SHARING_PAIRS, STRIP_CELLS
 
     def coded(vectors: np.ndarray) -> np.ndarray:
         bits = (vectors @ signs >= 0).reshape(len(vectors), bands, rows)
@@ -447,18 +450,23 @@ def _all_cosines(
                 (r,) = batch.slice(n, 1).to_pylist()
                 left = np.frombuffer(r["ldata"]).reshape(len(r["lids"]), -1)
                 right = np.frombuffer(r["rdata"]).reshape(len(r["rids"]), -1)
-                cosines = left @ right.T
-                x, y = np.nonzero(cosines >= threshold)
-                if r["block"] == r["other"]:
-                    x, y = x[x < y], y[x < y]
-                if bands:
-                    codes = [np.frombuffer(r[c], "uint16").reshape(-1, bands) for c in ("lcodes", "rcodes")]
-                    shared = sharing(*codes, x, y)
-                    x, y = x[shared], y[shared]
-                ids = [pa.array([ids[n] for n in at.tolist()], arrow) for ids, at in ((r["lids"], x), (r["rids"], y))]
-                yield pa.RecordBatch.from_arrays([*ids, pa.array(cosines[x, y])], names=["x", "y", "similarity"])
-
-    count = max(1, -(-vectors.count() // block_rows))
+                codes = [np.frombuffer(r[c], "uint16").reshape(-1, bands) for c in ("lcodes", "rcodes")] if bands else []
+                lids, rids = pa.array(r["lids"], arrow), pa.array(r["rids"], arrow)
+                height = max(1, cells // len(right))
+                for top in range(0, len(left), height):
+                    cosines = left[top : top + height] @ right.T
+                    x, y = np.nonzero(cosines >= threshold)
+                    if r["block"] == r["other"]:
+                        x, y = x[x + top < y], y[x + top < y]
+                    values = cosines[x, y]
+                    x = x + top
+                    if bands:
+                        shared = sharing(*codes, x, y)
+                        x, y, values = x[shared], y[shared], values[shared]
+                    yield pa.RecordBatch.from_arrays([lids.take(pa.array(x)), rids.take(pa.array(y)), pa.array(values)], names=["x", "y", "similarity"])
+
+    held = vectors.count()
+    count = max(1, -(-held // max(block_rows, min(BLOCK_VECTORS, -(-held // BLOCKS)))))
     table = durable(vectors.select("id", "vector").repartition(count).mapInArrow(blocks, schema))
     left = table.select(
         "block", F.col("ids").alias("lids"), F.col("data").alias("ldata"), F.col("codes").alias("lcodes"),

@@ -1,4 +1,6 @@
 import itertools
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +103,20 @@ def test_pairs_of_common_sign_bands_are_found_by_rare_elements(spark, monkeypatc
     assert scores(lsh.cosine_lsh_join(frame(spark, sets), "id", "element", **given)) == by_buckets
     exact = brute(sets, "cosine", 0.6)
     assert by_buckets.items() <= exact.items() and 0 < len(by_buckets) < len(exact)
+
+
+def test_large_blocks_of_vectors_are_multiplied_in_strips(spark, monkeypatch):
+    """Before, blocks had a fixed size, and what is sent grew with the square of their number."""
+    monkeypatch.setattr(lsh, "STRIP_CELLS", 40)
+    monkeypatch.setattr(lsh, "BLOCKS", 3)
+    rng = random.Random(4)
+    held = {n: [rng.gauss(0, 1) for _ in range(5)] for n in range(50)}
+    written = []
+    plain = lsh.durable
+    monkeypatch.setattr(lsh, "durable", lambda df: written.append(plain(df)) or written[-1])
+    got = scores(lsh.cosine_join_vectors(spark.createDataFrame(list(held.items()), "id long, v array<double>"), "id", "v", 5, 0.4, block_rows=4))
+    dot = lambda a, b: sum(p * q for p, q in zip(held[a], held[b]))
+    cosine = {(a, b): dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)) for a, b in itertools.combinations(held, 2)}
+    assert got == {p: round(c, 6) for p, c in cosine.items() if c >= 0.4}
+    (table,) = [t for t in written if "data" in t.columns]
+    assert table.count() <= 3
