@@ -16,7 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.operators.lsh import SIGMAS, bits_apart, most_apart, sign_bands, sign_text, sign_words
-from tastegraph.operators.setjoin import Cosine, distinct_sets, prepared, sizes_allow, sketched, verify
+from tastegraph.operators.setjoin import (
+    SHORT,
+    Cosine,
+    distinct_sets,
+    may_reach,
+    prepared,
+    short_apart,
+    short_sketch,
+    sizes_allow,
+    sketched,
+    verify,
+)
 from tastegraph.plans.copies import expand_copies
 from tastegraph.plans.durable import durable
 from tastegraph.plans.numbering import dense_numbers
@@ -79,12 +90,17 @@ def cosine_permuted_join(
         F.array_join(F.transform("order", lambda at: F.substring(F.col("signature"), at, F.lit(1))), "").alias("key"),
     )
     placed = dense_numbers(keyed, ["key", "id"], ["permutation"], "place").select("permutation", "place", "id", "n", *words)
-    met = neighbour_pairs(placed, "permutation", "place", ["id", "n", *words], neighbours)
+    sketches = sketched(unique, members)
+    placed = placed.join(sketches.select("id", *short_sketch(F.col("sketch"))), "id")
+    met = neighbour_pairs(placed, "permutation", "place", ["id", "n", *words, *SHORT], neighbours)
     near = bits_apart([F.col(f"a_{w}") for w in words], [F.col(f"b_{w}") for w in words]) <= most_apart(threshold, bits, sigmas)
-    met = met.where(near & sizes_allow(Cosine, threshold, F.col("a_n"), F.col("b_n")))
+    apart = short_apart(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
+    # most pairs with near signatures are far from the threshold; those that a sketch rules out leave before they are shuffled
+    reach = may_reach(Cosine, threshold, F.col("a_n"), F.col("b_n"), apart)
+    met = met.where(near & sizes_allow(Cosine, threshold, F.col("a_n"), F.col("b_n")) & reach)
     swap = F.col("a_id") > F.col("b_id")
     found = met.select(
         F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"),
         F.when(swap, F.col("b_n")).otherwise(F.col("a_n")).alias("na"), F.when(swap, F.col("a_n")).otherwise(F.col("b_n")).alias("nb"),
     ).distinct()
-    return expand_copies(verify(durable(found), unique, sketched(unique, members), Cosine, threshold), members)
+    return expand_copies(verify(found, unique, sketches, Cosine, threshold, short=True), members)

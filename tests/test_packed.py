@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.operators import lsh, onehash, packed, setjoin
+from tastegraph.operators import lsh, onehash, packed, permuted, setjoin
 from tastegraph.operators.setjoin import cosine_join, jaccard_join
 from tests.test_joins import brute, frame, near_copies, scores, skewed_sets
 
@@ -120,3 +120,14 @@ def test_large_blocks_of_vectors_are_multiplied_in_strips(spark, monkeypatch):
     assert got == {p: round(c, 6) for p, c in cosine.items() if c >= 0.4}
     (table,) = [t for t in written if "data" in t.columns]
     assert table.count() <= 3
+
+
+def test_neighbours_far_from_the_threshold_are_not_checked(spark, monkeypatch):
+    """Before, every neighbour with a near signature was joined with two sketches; all sets here are neighbours."""
+    sets = {n: frozenset(range(30)) | {1000 * (n + 1) + k for k in range(60)} for n in range(40)}
+    sets |= {100 + n: sets[n] | {7_000_000 + n} for n in range(5)}
+    checked, plain = [], permuted.verify
+    monkeypatch.setattr(permuted, "verify", lambda found, *rest, **more: checked.append(found) or plain(found, *rest, **more))
+    found = scores(permuted.cosine_permuted_join(frame(spark, sets), "id", "element", 0.7))
+    assert found == brute(sets, "cosine", 0.7) and len(found) == 5
+    assert checked[0].count() < 20
